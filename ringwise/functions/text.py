@@ -53,7 +53,8 @@ def show_blank(x: Column, shown: str = "(Blank)") -> Column:
     return F.when(x == "", F.lit(shown)).otherwise(x)
 
 
-def na_words_to_null(x: Column) -> Column:
+def blank_to_null_words(x: Column) -> Column:
+    """Blank text and the other words for "no value" become null."""
     return F.when(~x.isin(list(NA_WORDS)), x)
 
 

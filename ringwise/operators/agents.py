@@ -15,6 +15,16 @@ COMPLETED = "Completed"
 MIN_COMPLETED = 100
 ACCEPTED_THRESHOLD = 84.0
 
+# Rates of ``agent_summary``, each in a column ``pct_<name>``.
+RATES = (
+    "accepted",
+    "declined",
+    "does_not_want",
+    "on_own_of_total",
+    "on_own_of_accepted",
+    "submitted_of_accepted",
+)
+
 
 def completed_cases(cases: DataFrame, as_of: date | None = None, period: str = "weekly") -> DataFrame:
     """Completed cases, of the day, week or month around ``as_of`` if one is given."""
@@ -66,15 +76,16 @@ def _mean_tenths(rate: str) -> Column:
 
 
 def performance_stats(agents: DataFrame) -> DataFrame:
-    """One row: 75th percentile and means over agents, nulls skipped.
+    """One row: 75th percentile of own refills and the mean of every rate, nulls skipped.
 
     Rates have one decimal, so the exact percentile keeps about a thousand distinct
-    values at most, however many agents there are.
+    values at most, however many agents there are. Taking all rates, not just the two
+    that decide flags, gives this aggregate the same input as the agent rows, and Spark
+    then shuffles the cases once for both.
     """
     return agents.agg(
         F.percentile("pct_on_own_of_accepted", F.lit(0.75)).alias("p75_on_own"),
-        _mean_tenths("pct_submitted_of_accepted").alias("avg_submitted"),
-        _mean_tenths("pct_does_not_want").alias("avg_does_not_want"),
+        *[_mean_tenths(f"pct_{rate}").alias(f"avg_{rate}") for rate in RATES],
     )
 
 
@@ -90,10 +101,10 @@ def performance_flags(
     """
     kept = agents.filter(F.col("total_completed") >= min_completed)
     # The comparison values come in as one-row scalar subqueries, no join involved.
-    stats = performance_stats(kept).select(F.struct("p75_on_own", "avg_submitted", "avg_does_not_want")).scalar()
+    stats = performance_stats(kept).select(F.struct("*")).scalar()
     compared = kept.withColumn("_stats", stats)
     low_accepted = either(F.col("pct_accepted") < accepted_threshold)
-    low_submitted = either(F.col("pct_submitted_of_accepted") < F.col("_stats.avg_submitted"))
+    low_submitted = either(F.col("pct_submitted_of_accepted") < F.col("_stats.avg_submitted_of_accepted"))
     many_unwilling = either(F.col("pct_does_not_want") > F.col("_stats.avg_does_not_want"))
     flag = F.concat_ws(
         ", ",
@@ -105,7 +116,7 @@ def performance_flags(
         *agents.columns,
         either(F.col("pct_on_own_of_accepted") > F.col("_stats.p75_on_own")).alias("above_75th_percentile"),
         flag.alias("performance_flag"),
-        F.col("_stats.avg_submitted").alias("avg_submitted"),
+        F.col("_stats.avg_submitted_of_accepted").alias("avg_submitted"),
         F.col("_stats.avg_does_not_want").alias("avg_does_not_want"),
     ).orderBy(F.asc_nulls_last("pct_submitted_of_accepted"), "agent")
 
@@ -118,7 +129,7 @@ def thresholds(
     return performance_stats(kept).select(
         F.lit(min_completed).alias("min_completed"),
         F.lit(accepted_threshold).alias("accepted_rate"),
-        "avg_submitted",
+        F.col("avg_submitted_of_accepted").alias("avg_submitted"),
         "avg_does_not_want",
     )
 

@@ -14,7 +14,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from datetime import date
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import labels
@@ -228,11 +228,13 @@ def weekly_funnel(
     received = received_counts(leads, splits)
     available = available_counts(scrubbed, members, splits, scrub_order)
     contacts = contact_counts(dispositions, members, lead_index_dates(leads, splits), splits, rows_per_slice)
-    reported = available.select("split").distinct()
 
     counts = ["attempted_leads", "second_attempts", "available_for_second"]
     outcomes = ["reached_leads", "submitted", "refill_request", "on_own"]
-    joined = received.join(reported, "split", "left_semi").join(available, keys, "left").join(contacts, keys, "left")
+    # Available dates without received leads still make their split count as reported.
+    reported = F.count("leads_available").over(Window.partitionBy("split")) > 0
+    dates = received.join(available, keys, "full_outer").withColumn("reported", reported)
+    joined = dates.filter(F.col("reported") & F.col("leads_received").isNotNull()).join(contacts, keys, "left")
     has_counts = F.col("leads_available").isNotNull() | (F.col("attempted_leads") > 0)
     filled = joined.withColumns(
         {name: F.when(has_counts, F.coalesce(name, F.lit(0))) for name in [*counts, *outcomes]}

@@ -72,26 +72,26 @@ def request_summary(requests: DataFrame, start: date, bot: str) -> DataFrame:
 def request_weekly_summary(requests: DataFrame, start: date, bot: str) -> DataFrame:
     """The same per week. Every label of the whole span appears in every week, with zeros if need be.
 
-    The grid of weeks and labels is made by handing each label the array of weeks that
-    occur, whose length the calendar bounds; counts and totals are then looked up.
+    Both parts of the grid come from the counts per week and label. A label keeps its
+    counts as a map over weeks, and is laid out over the array of weeks with their
+    totals; the calendar bounds the length of both.
     """
     scoped = _requests_since(requests, start, bot).withColumn("week", week_start(F.col("completed_ts")))
     cells = scoped.groupBy("week", "label").agg(*_population_counts())
     totals = cells.groupBy("week").agg(*[F.sum(c).alias(f"all_{c}") for c in _COUNTS])
-    weeks = cells.agg(F.collect_set("week")).scalar()
-    grid = cells.select("label").distinct().withColumn("week", F.explode(weeks))
+    weeks = totals.agg(F.collect_list(F.struct("week", *[f"all_{c}" for c in _COUNTS]))).scalar()
+    by_label = cells.groupBy("label").agg(
+        F.map_from_entries(F.collect_list(F.struct("week", F.struct(*_COUNTS)))).alias("counts")
+    )
     detail = (
-        grid.join(cells, ["week", "label"], "left")
-        .fillna(0, list(_COUNTS))
-        .join(totals, "week")
+        by_label.withColumn("_week", F.explode(weeks))
+        .select("label", "_week.*", F.try_element_at("counts", F.col("_week.week")).alias("_cell"))
+        .withColumns({c: F.coalesce(F.col(f"_cell.{c}"), F.lit(0)) for c in _COUNTS})
         .withColumn("is_total", F.lit(False))
+        .drop("_cell")
     )
-    grand = totals.select(
-        "week",
-        *[F.col(f"all_{c}").alias(c) for c in _COUNTS],
-        *[f"all_{c}" for c in _COUNTS],
-        F.lit(True).alias("is_total"),
-        F.lit("").alias("label"),
+    grand = totals.withColumns({c: F.col(f"all_{c}") for c in _COUNTS}).withColumns(
+        {"is_total": F.lit(True), "label": F.lit("")}
     )
     return _share_rows(detail.unionByName(grand), ["week"])
 

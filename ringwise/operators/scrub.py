@@ -38,11 +38,11 @@ def scrub_rows(leads: DataFrame, reason: str | Column, today: date) -> DataFrame
 
 
 def dnc_numbers(dnc: DataFrame, column: str = "dnc_number") -> DataFrame:
-    return dnc.select(F.col(column).alias("phone")).distinct()
+    return dnc.select(F.col(column).alias("phone"))
 
 
 def numbers_called_on(log: DataFrame, day: date) -> DataFrame:
-    return log.filter(day_range(F.col("ts"), day, day)).select(F.col("number").alias("phone")).distinct()
+    return log.filter(day_range(F.col("ts"), day, day)).select(F.col("number").alias("phone"))
 
 
 def fatigued_numbers(log: DataFrame, today: date, max_days: int = MAX_CONTACT_DAYS) -> DataFrame:
@@ -63,6 +63,7 @@ def numbers_past_call_limit(dialer: DataFrame, limit: int = 2) -> DataFrame:
 
 
 def _leads_with(leads: DataFrame, numbers: DataFrame, rows_per_slice: int) -> DataFrame:
+    numbers = distinct_keys(numbers, ["phone"])
     return spread_join(leads, numbers, ["phone"], "left_semi", null_safe=True, rows_per_slice=rows_per_slice)
 
 
