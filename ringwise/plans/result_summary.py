@@ -26,22 +26,27 @@ def result_summary(
     min_completed: int = ag.MIN_COMPLETED,
     accepted_threshold: float = ag.ACCEPTED_THRESHOLD,
 ) -> dict[str, DataFrame]:
-    """All frames of the job by name. Label lists left out are looked up, one small job each."""
-    results = oc.weekly_result_summary(cases, oc.weekly_distinct_totals(claims))
-    declines = oc.decline_reason_pivot(cases, reasons)
-    accepted = oc.submission_result_pivot(cases, submissions)
-    scored = ag.agent_report(cases, as_of, period, min_completed, accepted_threshold)
+    """The reports by name. Label lists left out are looked up, one small job each."""
     in_period = ag.agent_summary(ag.completed_cases(cases, as_of, period))
     return {
-        "result_summary": results,
-        "decline_reasons": declines,
-        "submission_results": accepted,
-        "agents": scored,
+        "result_summary": oc.weekly_result_summary(cases, oc.weekly_distinct_totals(claims)),
+        "decline_reasons": oc.decline_reason_pivot(cases, reasons),
+        "submission_results": oc.submission_result_pivot(cases, submissions),
+        "agents": ag.performance_flags(in_period, min_completed, accepted_threshold),
         "agent_thresholds": ag.thresholds(in_period, min_completed, accepted_threshold),
+    }
+
+
+def result_alerts(
+    reports: dict[str, DataFrame], as_of: date, accepted_threshold: float = ag.ACCEPTED_THRESHOLD
+) -> dict[str, DataFrame]:
+    """Alerts over the reports, best given as read back from where they were written."""
+    accepted, declines = reports["submission_results"], reports["decline_reasons"]
+    return {
         "week_over_week": al.week_over_week(accepted, as_of),
         "threshold_alerts": al.threshold_alerts(accepted, declines, as_of),
-        "completion_summary": al.completion_summary(results, as_of),
-        "flagged_agents": al.flagged_agents(scored, accepted_threshold),
+        "completion_summary": al.completion_summary(reports["result_summary"], as_of),
+        "flagged_agents": al.flagged_agents(reports["agents"], accepted_threshold),
     }
 
 
@@ -55,21 +60,33 @@ def with_date_range(weekly: DataFrame) -> DataFrame:
     return weekly.select(week_label(F.col("week")).alias("Date Range"), *rest)
 
 
-def export_result_summary(frames: dict[str, DataFrame], path: str, run_date: date, as_of: date, period: str) -> None:
-    """Reports as CSV under known headers, alerts as a table."""
-    base = f"{path.rstrip('/')}/{run_date.isoformat()}"
-    today = run_date.isoformat()
+def export_result_summary(
+    reports: dict[str, DataFrame], path: str, run_date: date, as_of: date, period: str = "weekly"
+) -> dict[str, DataFrame]:
+    """Store reports and alerts as tables, export the reports as CSV under known headers.
+
+    Alerts and exports read the stored tables, so every report is computed once.
+    """
+    base, today = f"{path.rstrip('/')}/{run_date.isoformat()}", run_date.isoformat()
+    stored = {}
+    for key, report in reports.items():
+        write_table(report, f"{base}/tables/{key}")
+        stored[key] = report.sparkSession.read.parquet(f"{base}/tables/{key}")
+    for key, alert in result_alerts(stored, as_of).items():
+        write_table(alert, f"{base}/alerts/{key}")
+
     weekly = {
         f"ytd_refill_result_summary_{today}": ("result_summary", RESULT_SUMMARY),
         f"ytd_decline_reason_counts_{today}": ("decline_reasons", DECLINES),
         f"ytd_refill_submission_result_counts_{today}": ("submission_results", SUBMISSIONS),
     }
     for name, (key, headers) in weekly.items():
-        write_csv(with_headers(with_date_range(frames[key]), headers), f"{base}/{name}.csv", files=1)
-    agents = frames["agents"].drop("avg_submitted", "avg_does_not_want")
+        report = with_date_range(stored[key].orderBy("week"))
+        write_csv(with_headers(report, headers), f"{base}/{name}.csv", files=1)
+    agents = stored["agents"].drop("avg_submitted", "avg_does_not_want")
+    agents = agents.orderBy(F.asc_nulls_last("pct_submitted_of_accepted"), "agent")
     write_csv(with_headers(agents, AGENTS), f"{base}/{period}_agent_refill_submission_rate_{as_of.isoformat()}.csv")
-    for key in ("week_over_week", "threshold_alerts", "completion_summary", "flagged_agents"):
-        write_table(frames[key], f"{base}/alerts/{key}")
+    return stored
 
 
 def export_low_completions(report: DataFrame, path: str, run_date: date, as_of: date) -> None:

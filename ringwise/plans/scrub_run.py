@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from ..functions import PACIFIC
 from ..operators.scrub import MAX_CONTACT_DAYS, scrub_report, validate_scrub, without_scrubbed
 from ..sources.call_log import recent_calls
-from ..sources.sinks import scrub_report_name, scrubbed_leads_name, write_csv
+from ..sources.sinks import path_exists, scrub_report_name, scrubbed_leads_name, write_csv
 
 
 def scrub_run(
@@ -33,26 +33,26 @@ def scrub_run(
     return report, without_scrubbed(leads, report)
 
 
-def counted(df: DataFrame, name: str) -> tuple[DataFrame, Observation]:
-    """The frame with its row count observed while it is written, without another pass."""
-    seen = Observation(name)
-    return df.observe(seen, F.count(F.lit(1)).alias("rows")), seen
+def write_counted(df: DataFrame, path: str, overwrite: bool) -> int | None:
+    """Write and return the row count, observed on the way; None if the path was there and had to stay."""
+    if not overwrite and path_exists(df.sparkSession, path):
+        return None
+    seen = Observation()
+    write_csv(df.observe(seen, F.count(F.lit(1)).alias("rows")), path)
+    return seen.get["rows"]
 
 
 def export_scrub_run(
     leads: DataFrame, report: DataFrame, path: str, run_date: date, overwrite: bool = False
-) -> tuple[int, int]:
+) -> tuple[int | None, int | None]:
     """Write the report, then the remaining leads matched against the written report.
 
     Reading the report back keeps its joins from running twice and makes both files agree.
     Returns how many rows each got.
     """
     base = f"{path.rstrip('/')}/{run_date.isoformat()}"
-    spark = leads.sparkSession
     report_path = f"{base}/{scrub_report_name(run_date)}"
-    scrubbed, scrubbed_rows = counted(report, "scrubbed")
-    write_csv(scrubbed, report_path, overwrite)
-    written = validate_scrub(spark.read.schema(report.schema).option("header", True).csv(report_path))
-    remaining, remaining_rows = counted(without_scrubbed(leads, written), "remaining")
-    write_csv(remaining, f"{base}/{scrubbed_leads_name(run_date)}", overwrite)
-    return scrubbed_rows.get.get("rows", 0), remaining_rows.get.get("rows", 0)
+    scrubbed = write_counted(report, report_path, overwrite)
+    written = leads.sparkSession.read.schema(report.schema).options(header=True, escape='"').csv(report_path)
+    remaining = without_scrubbed(leads, validate_scrub(written))
+    return scrubbed, write_counted(remaining, f"{base}/{scrubbed_leads_name(run_date)}", overwrite)

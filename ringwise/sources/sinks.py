@@ -5,18 +5,33 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from datetime import date, datetime
 
-from pyspark.sql import DataFrame
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+# Quotes inside fields are doubled, as spreadsheets write them.
+CSV_OPTIONS = {"header": True, "nullValue": "", "emptyValue": "", "lineSep": "\n", "escape": '"'}
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Asked of the file listing, so it works for every store Spark can read."""
+    try:
+        spark.read.format("binaryFile").load(path)
+    except AnalysisException as e:
+        if e.getCondition() == "PATH_NOT_FOUND":
+            return False
+        raise
+    return True
+
+
 def write_csv(df: DataFrame, path: str, overwrite: bool = True, files: int | None = None) -> None:
     """CSV with header and nulls as empty text. Without ``overwrite`` an existing path is left alone.
 
     ``files`` merges the output of reports known to be small; large ones keep their parallelism.
     """
     out = df if files is None else df.coalesce(files)
-    options = {"header": True, "nullValue": "", "emptyValue": "", "lineSep": "\n"}
-    out.write.mode("overwrite" if overwrite else "ignore").options(**options).csv(path)
+    out.write.mode("overwrite" if overwrite else "ignore").options(**CSV_OPTIONS).csv(path)
 
 
 def write_table(df: DataFrame, path: str, partition_by: Sequence[str] = (), overwrite: bool = True) -> None:
@@ -33,8 +48,7 @@ def write_split_reports(report: DataFrame, path: str, run_date: date, overwrite:
     """
     out = report.repartition("split").sortWithinPartitions("split", "file_date").drop("file_date")
     target = f"{path.rstrip('/')}/run_date={run_date.isoformat()}"
-    options = {"header": True, "nullValue": "", "emptyValue": ""}
-    out.write.mode("overwrite" if overwrite else "ignore").options(**options).partitionBy("split").csv(target)
+    out.write.mode("overwrite" if overwrite else "ignore").options(**CSV_OPTIONS).partitionBy("split").csv(target)
 
 
 def with_run_date(df: DataFrame, run_date: date) -> DataFrame:

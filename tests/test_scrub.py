@@ -1,0 +1,130 @@
+from datetime import date, datetime, timezone
+
+import pytest
+from pyspark.sql import functions as F
+
+from ringwise.operators import scrub as s
+from ringwise.plans.scrub_run import export_scrub_run, scrub_run
+
+TODAY = date(2026, 3, 10)
+
+
+@pytest.fixture
+def leads(spark):
+    data = [
+        ("L1", "1", "A", "1"),
+        ("L2", "2", "B", "1"),
+        ("L3", "3", "C", "1"),
+        ("L4", "4", "D", None),
+        ("L5", None, "E", "1"),
+        ("L6", "1", "F", "1"),
+        ("L6", "2", "G", "1"),
+        ("L7", "7", "H", None),
+    ]
+    return spark.createDataFrame(data, "leadid string, phone string, card_id string, dependent_code string")
+
+
+@pytest.fixture
+def call_log(spark):
+    days = {"2": [9], "3": [3, 4, 5, 9], "4": [3, 4, 5, 10], "7": [4, 5, 6, 7], None: [5, 6, 7, 8]}
+    data = [(n, datetime(2026, 3, d, 23, 59)) for n, ds in days.items() for d in ds]
+    return spark.createDataFrame(data, "number string, ts timestamp_ntz")
+
+
+@pytest.fixture
+def dnc(spark):
+    return spark.createDataFrame([("1",), ("1",), ("9",)], "dnc_number string")
+
+
+def test_dnc_keeps_all_columns_and_rows(leads, dnc, rows):
+    assert rows(s.members_on_dnc_list(leads, dnc), "leadid") == [("L1",), ("L6",)]
+
+
+def test_missing_phone_matches_missing_number(leads, spark, rows):
+    listed = spark.createDataFrame([(None,)], "dnc_number string")
+    assert rows(s.members_on_dnc_list(leads, listed), "leadid") == [("L5",)]
+
+
+def test_called_yesterday(leads, call_log, rows):
+    got = s.members_called_yesterday(leads, call_log, TODAY)
+    assert rows(got) == [
+        ("L2", "Max attempt reached", "B1", "2026-03-10"),
+        ("L3", "Max attempt reached", "C1", "2026-03-10"),
+        ("L6", "Max attempt reached", "G1", "2026-03-10"),
+    ]
+
+
+def test_fatigue_counts_days_before_today(leads, call_log, rows):
+    assert rows(s.fatigued_members(leads, call_log, TODAY), "leadid") == [("L3",), ("L7",)]
+    assert rows(s.fatigued_members(leads, call_log, TODAY, max_days=3), "leadid") == [("L3",), ("L4",), ("L7",)]
+
+
+def test_call_limit_counts_an_unknown_date(leads, spark, rows):
+    dialer = spark.createDataFrame(
+        [("1", date(2026, 3, 1)), ("1", None), ("2", date(2026, 3, 1)), ("2", date(2026, 3, 1)), ("3", None)],
+        "phone string, contact_date date",
+    )
+    assert rows(s.members_past_call_limit(leads, dialer), "leadid") == [("L1",), ("L6",)]
+
+
+@pytest.mark.parametrize("rows_per_slice", [1, 1_000_000])
+def test_scrub_report_lists_each_lead_once_first_rule_first(leads, dnc, call_log, rows, rows_per_slice):
+    got = s.scrub_report(leads, dnc, call_log, TODAY, rows_per_slice=rows_per_slice)
+    assert rows(got) == [
+        ("L1", "Do not call", "A1", "2026-03-10"),
+        ("L2", "Max attempt reached", "B1", "2026-03-10"),
+        ("L3", "Max attempt reached", "C1", "2026-03-10"),
+        ("L6", "Do not call", "F1", "2026-03-10"),
+        ("L7", "Max attempt reached", None, "2026-03-10"),
+    ]
+    assert rows(s.scrub_report(leads, dnc, None, TODAY, first_day=True), "leadid") == [("L1",), ("L6",)]
+
+
+def test_kept_and_removed_add_up(leads, dnc, call_log, rows):
+    report = s.scrub_report(leads, dnc, call_log, TODAY)
+    kept = s.without_scrubbed(leads, report)
+    # L7 was scrubbed without a member key, so L4, which has none either, goes as well.
+    assert rows(kept, "leadid", "card_id") == [("L5", "E"), ("L6", "G")]
+    removed = s.spread_join(
+        leads.withColumn("idcard_mbr_id", F.concat("card_id", "dependent_code")),
+        report.select("idcard_mbr_id").distinct(), ["idcard_mbr_id"], "left_semi", null_safe=True,
+    )
+    assert kept.count() + removed.count() == leads.count()
+
+
+def test_result_does_not_depend_on_row_order_or_partitions(leads, dnc, call_log, rows):
+    want = rows(s.scrub_report(leads, dnc, call_log, TODAY))
+    for n in (1, 3, 7):
+        mixed = leads.orderBy(F.xxhash64("leadid", F.lit(n))).repartition(n)
+        assert rows(s.scrub_report(mixed, dnc, call_log.repartition(n), TODAY)) == want
+
+
+def test_validation(spark, rows):
+    good = spark.createDataFrame([("L1", "Do not call", "A1", "2026-03-10")], s.SCRUB_COLUMNS)
+    assert s.validate_scrub(good) is good
+    bad = good.union(spark.createDataFrame([("L2", "Moved", "B1", "2026-03-10"), ("L3", None, "C1", "2026-03-10")], good.schema))
+    assert rows(s.scrub_violations(bad)) == [("Moved", 1), (None, 1)]
+    with pytest.raises(s.InvalidScrubFormat, match="reasons"):
+        s.validate_scrub(bad)
+    with pytest.raises(s.InvalidScrubFormat, match="scrub_date"):
+        s.validate_scrub(good.drop("scrub_date"))
+    with pytest.raises(s.InvalidScrubFormat, match="note"):
+        s.validate_scrub(good.withColumn("note", F.lit("x")))
+
+
+def test_scrub_run_writes_both_outputs(leads, dnc, spark, rows, tmp_path):
+    log = spark.createDataFrame(
+        [(datetime(2026, 3, 9, 9), "out", "+12"), (datetime(2026, 3, 9, 9), "in", "+13"), (datetime(2026, 3, 1, 9), "out", "+14")],
+        "ts timestamp_ntz, skill string, destination string",
+    )
+    now = datetime(2026, 3, 10, 18, tzinfo=timezone.utc)
+    report, remaining = scrub_run(leads, dnc, log, now, ["out"])
+    assert rows(report, "leadid", "scrub_reason") == [
+        ("L1", "Do not call"), ("L2", "Max attempt reached"), ("L6", "Do not call"),
+    ]
+    assert export_scrub_run(leads, report, str(tmp_path), TODAY) == (3, remaining.count())
+    written = spark.read.option("header", True).csv(f"{tmp_path}/2026-03-10/2026-03-10_initial_scrub_file.csv")
+    assert rows(written) == rows(report)
+    # A second run without overwrite leaves the files alone.
+    assert export_scrub_run(leads, report.limit(0), str(tmp_path), TODAY) == (None, None)
+    assert export_scrub_run(leads, report, str(tmp_path), TODAY, overwrite=True)[0] == 3
