@@ -12,7 +12,7 @@ sys.path.insert(0, str(Path(__file__).resolve().parent))
 from pyspark.sql import DataFrame, SparkSession  # noqa: E402
 from pyspark.sql import functions as F  # noqa: E402
 
-from oracle_queries import ORACLES, REASONS, RESULTS  # noqa: E402
+from oracle_queries import MIN_COMPLETED, ORACLES, REASONS, RESULTS  # noqa: E402
 from ringwise import functions as fx  # noqa: E402
 from ringwise import labels  # noqa: E402
 from ringwise.bindings import bind  # noqa: E402
@@ -232,15 +232,15 @@ def agent_summary(spark: SparkSession, d: str) -> DataFrame:
 
 
 def agent_performance_flags(spark: SparkSession, d: str) -> DataFrame:
-    return agents.performance_flags(agent_summary(spark, d), accepted_threshold=ACCEPTED_THRESHOLD)
+    return agents.performance_flags(agent_summary(spark, d), MIN_COMPLETED, ACCEPTED_THRESHOLD)
 
 
 def agent_thresholds(spark: SparkSession, d: str) -> DataFrame:
-    return agents.thresholds(agent_summary(spark, d), accepted_threshold=ACCEPTED_THRESHOLD)
+    return agents.thresholds(agent_summary(spark, d), MIN_COMPLETED, ACCEPTED_THRESHOLD)
 
 
 def agent_report_monthly(spark: SparkSession, d: str) -> DataFrame:
-    return agents.agent_report(_cases(spark, d), CASE_DAY, "monthly", 5, ACCEPTED_THRESHOLD)
+    return agents.agent_report(_cases(spark, d), CASE_DAY, "monthly", 2, ACCEPTED_THRESHOLD)
 
 
 def under_min_completions(spark: SparkSession, d: str) -> DataFrame:

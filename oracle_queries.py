@@ -12,6 +12,7 @@ from ringwise.functions.dates import ATTEMPT_TIME_PATTERN
 
 OUTBOUND = "('skill-1', 'skill-2', 'skill-3', 'skill-4', 'skill-5')"
 INBOUND = "('skill-6', 'skill-7')"
+MIN_COMPLETED = 10
 
 
 def quoted(values) -> str:
@@ -207,7 +208,7 @@ def agents(where: str = "true") -> str:
     FROM case_report WHERE disposition = 'Completed' AND agent IS NOT NULL AND {where} GROUP BY agent)"""
 
 
-def flags(agents_sql: str, minimum: int, threshold: float) -> str:
+def flags(threshold: float) -> str:
     low = f"coalesce(pct_accepted < {threshold}, false)"
     sub = "coalesce(pct_submitted_of_accepted < avg_submitted, false)"
     return f"""SELECT * EXCLUDE (p75), coalesce(pct_on_own_of_accepted > p75, false) AS above_75th_percentile,
@@ -396,15 +397,15 @@ ORACLES = {
     "decline_reason_pivot": f"WITH {ctes('case_report')} {DECLINES}",
     "submission_result_pivot": f"WITH {ctes('case_report')} {SUBMISSIONS}",
     "agent_summary": f"WITH {ctes('case_report')} {agents()}",
-    "agent_performance_flags": f"{with_kept(agents(), 100)} {flags('', 100, 33.0)}",
-    "agent_thresholds": f"""{with_kept(agents(), 100)} SELECT DISTINCT 100 AS min_completed, CAST(33.0 AS DOUBLE) AS accepted_rate,
-        avg_submitted, avg_does_not_want FROM ({flags('', 100, 33.0)})""",
-    "agent_report_monthly": f"{with_kept(agents(IN_JUNE), 5)} {flags('', 5, 33.0)}",
+    "agent_performance_flags": f"{with_kept(agents(), MIN_COMPLETED)} {flags(33.0)}",
+    "agent_thresholds": f"""{with_kept(agents(), MIN_COMPLETED)} SELECT DISTINCT {MIN_COMPLETED} AS min_completed, CAST(33.0 AS DOUBLE) AS accepted_rate,
+        avg_submitted, avg_does_not_want FROM ({flags(33.0)})""",
+    "agent_report_monthly": f"{with_kept(agents(IN_JUNE), 2)} {flags(33.0)}",
     "under_min_completions": f"""WITH {ctes('case_report')} SELECT *, '06/15/1998 - 06/21/1998' AS week FROM
         ({agents("interaction_ts >= DATE '1998-06-15' AND interaction_ts < DATE '1998-06-22'")}) WHERE total_completed < 100""",
-    "flagged_agents": f"""{with_kept(agents(), 100)} SELECT f.*, agent, total_completed, pct_accepted,
+    "flagged_agents": f"""{with_kept(agents(), MIN_COMPLETED)} SELECT f.*, agent, total_completed, pct_accepted,
         pct_submitted_of_accepted, pct_on_own_of_accepted, pct_does_not_want, CAST(33.0 AS DOUBLE) AS accepted_rate,
-        avg_submitted, avg_does_not_want FROM ({flags('', 100, 33.0)}) r
+        avg_submitted, avg_does_not_want FROM ({flags(33.0)}) r
         JOIN (VALUES {FLAGGED}) f(flag, title, recommendation) ON contains(r.performance_flag, f.flag)""",
     "request_summary": f"""WITH {REQUESTS}, t AS (SELECT {POPULATIONS} FROM requests), l AS (SELECT label, {POPULATIONS}
         FROM requests GROUP BY label) SELECT {share_columns('all_')} FROM l,

@@ -70,7 +70,7 @@ BINDINGS = {
     "dnc_list": """SELECT concat('555-', CAST(c_custkey AS STRING), '-', CASE c_mktsegment WHEN 'AUTOMOBILE' THEN '1'
     WHEN 'BUILDING' THEN '2' WHEN 'FURNITURE' THEN '3' WHEN 'HOUSEHOLD' THEN '4' ELSE '5' END) AS dnc_number
     FROM customer WHERE c_acctbal < 3000""",
-    # Case and request reports: one row per order, nations are the agents.
+    # Case and request reports: one row per order, customers are the agents.
     "case_report": """SELECT o_orderdate AS interaction_ts,
     CASE WHEN o_totalprice < 450000 THEN 'Completed' ELSE 'Open' END AS disposition,
     CASE o_orderstatus WHEN 'F' THEN 'Yes' WHEN 'O' THEN 'No' ELSE '' END AS result,
@@ -78,14 +78,14 @@ BINDINGS = {
         WHEN '3' THEN 'Provider Changed Dose' WHEN '4' THEN 'Member Stopped Medication' END AS reason,
     CASE substr(o_orderpriority, 1, 1) WHEN '1' THEN 'Refill Submitted' WHEN '2' THEN 'Reminded - Refilled on own'
         WHEN '3' THEN 'Out of Refill - Refill Request' WHEN '4' THEN ' ' END AS submission,
-    CASE WHEN c_nationkey < 24 THEN concat('agent', CAST(c_nationkey AS STRING), '@example.com') END AS agent
-    FROM orders JOIN customer ON o_custkey = c_custkey""",
+    CASE WHEN o_totalprice >= 5000 THEN concat('agent', CAST(o_custkey AS STRING), '@example.com') END AS agent
+    FROM orders""",
     "request_report": """SELECT o_orderdate AS completed_ts,
-    CASE WHEN c_nationkey < 3 THEN ' Bot@Example.com' WHEN c_nationkey < 24
-        THEN concat('clerk', CAST(c_nationkey AS STRING), '@example.com') END AS clerk,
+    CASE WHEN o_totalprice < 100000 THEN ' Bot@Example.com' WHEN o_totalprice < 480000
+        THEN concat('clerk', CAST(o_custkey AS STRING), '@example.com') END AS clerk,
     CASE substr(o_orderpriority, 1, 1) WHEN '1' THEN 'Refill Submitted' WHEN '2' THEN 'Out of Refill - Refill Request'
         WHEN '3' THEN ' Left VM ' WHEN '4' THEN '' END AS label
-    FROM orders JOIN customer ON o_custkey = c_custkey""",
+    FROM orders""",
     "claims": "SELECT CAST(l_shipdate AS DATE) AS day, l_orderkey AS document_key FROM lineitem",
     # Past funnel rows as text, some rates missing.
     "past_report": f"""SELECT {_FILE_DATE} AS file_date, CAST(count(*) AS STRING) AS leads_received,
@@ -107,5 +107,5 @@ def bind(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     tables = {table: spark.read.parquet(f"{sf_dir}/{table}.parquet") for table in TABLES if table in BINDINGS[name]}
     query = BINDINGS[name]
     for table in tables:
-        query = query.replace(f"FROM {table}", f"FROM {{{table}}}").replace(f"JOIN {table}", f"JOIN {{{table}}}")
+        query = query.replace(f"FROM {table}", f"FROM {{{table}}}")
     return spark.sql(query, **tables)

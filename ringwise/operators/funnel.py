@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from .. import labels
 from ..functions import any_of, attempt_timestamp, count_text, either, percent, rate_text
-from .leads import STATUS_COLUMNS, Splits, cols, dedup_leads
+from .leads import STATUS_COLUMNS, Splits, cols, contract_star_splits, dedup_leads
 from .skew import ROWS_PER_SLICE, spread_join
 
 FUNNEL_COLUMNS = [
@@ -59,18 +59,6 @@ def with_attempt_time(dispositions: DataFrame, text: str = "contact_attempt_date
     return dispositions.withColumn("attempt_ts", attempt_timestamp(F.col(text)))
 
 
-def _split_struct(splits: Splits, conditions: Sequence[Column], **fields: Sequence[Column]) -> Column:
-    """Array with one struct per split whose condition holds."""
-    entries = [
-        F.when(
-            condition,
-            F.struct(F.lit(name).alias("split"), *[values[i].alias(field) for field, values in fields.items()]),
-        )
-        for i, (name, condition) in enumerate(zip(splits.names, conditions, strict=True))
-    ]
-    return F.array_compact(F.array(*entries))
-
-
 def member_splits(leads: DataFrame, splits: Splits) -> DataFrame:
     """Per member key: ``in_<i>``, whether any of its leads is in split ``i``."""
     flags = [F.bool_or(c).alias(f"in_{i}") for i, c in enumerate(splits.conditions())]
@@ -84,7 +72,7 @@ def lead_index_dates(leads: DataFrame, splits: Splits) -> DataFrame:
 
 
 def received_counts(leads: DataFrame, splits: Splits) -> DataFrame:
-    in_splits = leads.select("file_date", F.explode(splits.members_of(splits.conditions())).alias("split"))
+    in_splits = contract_star_splits(leads, splits)
     return in_splits.groupBy("split", "file_date").agg(F.count(F.lit(1)).alias("leads_received"))
 
 
@@ -105,7 +93,8 @@ def available_counts(
     )
     conditions = [F.col(f"in_{i}") & F.col(f"star_{i}") for i in range(len(stars))]
     return (
-        matched.select("file_date", "rows", F.explode(splits.members_of(conditions)).alias("split"))
+        matched.select("file_date", "rows", F.explode(splits.entries(conditions)).alias("split"))
+        .filter(F.col("split").isNotNull())
         .groupBy("split", "file_date")
         .agg(F.sum("rows").alias("leads_available"))
     )
@@ -162,10 +151,12 @@ def contact_counts(
 
     n = len(splits.names)
     on_day = [either(F.col("attempt_date") == F.col(f"index_{i}")) for i in range(n)]
-    entries = _split_struct(splits, [F.col(f"in_{i}") for i in range(n)], right_day=on_day)
+    entries = splits.entries([F.col(f"in_{i}") for i in range(n)], right_day=on_day)
     measures = ["calls", "first_call", *flags]
-    per_split = dated.select("file_date", "leadid", *measures, F.explode(entries).alias("s")).select(
-        "file_date", "leadid", *measures, "s.split", "s.right_day"
+    per_split = (
+        dated.select("file_date", "leadid", *measures, F.explode(entries).alias("s"))
+        .filter(F.col("s").isNotNull())
+        .select("file_date", "leadid", *measures, "s.split", "s.right_day")
     )
     per_lead = per_split.groupBy("split", "file_date", "leadid").agg(
         F.sum(F.when(F.col("right_day"), F.col("calls"))).alias("day_calls"),

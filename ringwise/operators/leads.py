@@ -88,15 +88,25 @@ class Splits:
         in_group = ~either(contract.isin(self.listed)) if group == self.default_group else either(contract == group)
         return in_group & self.star_condition(star)
 
-    def members_of(self, conditions: Sequence[Column]) -> Column:
-        """Array of the names whose condition holds."""
-        named = [F.when(c, F.lit(n)) for c, n in zip(conditions, self.names, strict=True)]
-        return F.array_compact(F.array(*named))
+    def entries(self, conditions: Sequence[Column], **fields: Sequence[Column]) -> Column:
+        """Array with one entry per split, null where its condition fails.
+
+        An entry is the split's name, or a struct of ``split`` and the given per-split fields.
+        Exploding it and filtering on null stays in generated code; dropping the nulls
+        inside the array would be interpreted row by row.
+        """
+        found = []
+        for i, (name, condition) in enumerate(zip(self.names, conditions, strict=True)):
+            values = [column[i].alias(field) for field, column in fields.items()]
+            entry = F.struct(F.lit(name).alias("split"), *values) if fields else F.lit(name)
+            found.append(F.when(condition, entry))
+        return F.array(*found)
 
 
 def contract_star_splits(leads: DataFrame, splits: Splits) -> DataFrame:
     """Each lead once per split it belongs to, in one pass."""
-    return leads.withColumn("split", F.explode(splits.members_of(splits.conditions())))
+    split = F.explode(splits.entries(splits.conditions()))
+    return leads.withColumn("split", split).filter(F.col("split").isNotNull())
 
 
 def with_star(df: DataFrame, star: str, stars: Sequence[str] = STAR_COLUMNS) -> DataFrame:

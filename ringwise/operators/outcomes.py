@@ -17,6 +17,7 @@ from ..functions import blank_to_default, col, percent, round_np, safe_ratio, we
 
 ACCEPTED, DECLINED = "Yes", "No"
 RATIO = "follow_up_ratio"
+MAX_LABELS = 1000
 
 
 def with_week(cases: DataFrame, ts: str = "interaction_ts") -> DataFrame:
@@ -70,9 +71,14 @@ def label_counts(rows: DataFrame, label: str, keys: Sequence[str] = ("week",)) -
 
 
 def known_labels(rows: DataFrame, label: str) -> list[str]:
-    """Sorted distinct labels, which become column names. Runs one small job."""
-    found = rows.select(label).filter(F.col(label).isNotNull()).distinct().orderBy(label)
-    return [row[0] for row in found.collect()]
+    """Sorted distinct labels, which become column names. Runs one small job.
+
+    More labels than a frame can have as columns are an error, not a cut: use ``label_counts``.
+    """
+    found = rows.select(label).filter(F.col(label).isNotNull()).distinct().limit(MAX_LABELS + 1).collect()
+    if len(found) > MAX_LABELS:
+        raise ValueError(f"more than {MAX_LABELS} labels in {label!r}; keep them in long form")
+    return sorted(row[0] for row in found)
 
 
 def pivot_counts(rows: DataFrame, label: str, values: Sequence[str], total: str) -> DataFrame:
