@@ -61,7 +61,7 @@ def weekly_report(
     start, end = year if ytd else (max(first, year[0]), min(last, year[1]))
 
     def folders(base: str) -> list[str]:
-        return [f"{base.rstrip('/')}/*"] if ytd else [day_folders(base, first, last)]
+        return [f"{base.rstrip('/')}/*"] if ytd else day_folders(base, first, last)
 
     leads = with_member_key(read_lead_drops(spark, [inputs.leads], inputs.lead_files, start, end))
     scrubbed = renamed(read_dated(spark, folders(inputs.scrubbed), inputs.scrubbed_files), LEAD_DROP)

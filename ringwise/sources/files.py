@@ -162,10 +162,10 @@ def read_lead_drops(
     return drops.filter(F.col("record_kind") != trailer)
 
 
-def day_folders(base: str, first: date, last: date) -> str:
-    """One glob for the day folders ``yyyy-MM-dd`` of a range; missing days match nothing."""
+def day_folders(base: str, first: date, last: date) -> list[str]:
+    """The day folders ``yyyy-MM-dd`` of a range; scans leave out the ones that are missing."""
     days = [first + timedelta(days=i) for i in range((last - first).days + 1)]
-    return f"{base.rstrip('/')}/{{{','.join(d.isoformat() for d in days)}}}"
+    return [f"{base.rstrip('/')}/{d.isoformat()}" for d in days]
 
 
 def folder_name() -> Column:
