@@ -8,6 +8,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 # FIXED VALUES: system disposition code -> label.
 DISPOSITION_BY_CODE = {
@@ -411,10 +412,12 @@ def reporting_by_label(review_label: str = REVIEW) -> dict[str, str]:
     return {label: review_label if to == REVIEW else to for label, to in REPORTING_BY_LABEL.items()}
 
 
-def lookup_frame(spark: SparkSession, mapping: Mapping, key: str, value: str, key_type: str = "string") -> DataFrame:
-    """A mapping as a two-column dimension frame; its size is fixed by the mapping in code."""
-    return spark.createDataFrame(list(mapping.items()), f"{key} {key_type}, {value} string")
+def literal_frame(spark: SparkSession, rows: Sequence[Sequence], columns: Sequence[str]) -> DataFrame:
+    """A small fixed table made of literals: it lives in the plan, and Spark knows its size."""
+    structs = [F.struct(*[F.lit(v).alias(c) for c, v in zip(columns, row, strict=True)]) for row in rows]
+    return spark.range(1).select(F.inline(F.array(*structs)))
 
 
-def label_frame(spark: SparkSession, labels: Sequence[str], column: str) -> DataFrame:
-    return spark.createDataFrame([(label,) for label in labels], f"{column} string")
+def lookup_frame(spark: SparkSession, mapping: Mapping, key: str, value: str) -> DataFrame:
+    """A mapping as a two-column dimension frame; its size is fixed by the mapping in code."""
+    return literal_frame(spark, list(mapping.items()), [key, value])

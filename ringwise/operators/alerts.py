@@ -125,7 +125,7 @@ def threshold_alerts(
 
     Nothing is raised before there are two weeks and one metric to compare.
     """
-    alerts = [submissions.sparkSession.createDataFrame([], ALERT_SCHEMA)]
+    alerts = []
     present = [m for m in metrics if m.column in submissions.columns]
     if present and labels.NO_WORKFLOW in submissions.columns:
         count = F.col(f"curr.`{labels.NO_WORKFLOW}`")
@@ -151,6 +151,8 @@ def threshold_alerts(
                 F.lit(float(share_limit)).alias("threshold"),
             )
         )
+    if not alerts:
+        return submissions.sparkSession.createDataFrame([], ALERT_SCHEMA)
     return reduce(DataFrame.unionByName, alerts)
 
 
@@ -162,7 +164,7 @@ def completion_summary(results: DataFrame, as_of: date) -> DataFrame:
 
 def flag_frame(spark: SparkSession) -> DataFrame:
     rows = [(flag, title, advice) for flag, (title, advice) in FLAG_MEANINGS.items()]
-    return spark.createDataFrame(rows, "flag string, title string, recommendation string")
+    return labels.literal_frame(spark, rows, ["flag", "title", "recommendation"])
 
 
 def flagged_agents(report: DataFrame, accepted_threshold: float = 84.0) -> DataFrame:
@@ -170,8 +172,9 @@ def flagged_agents(report: DataFrame, accepted_threshold: float = 84.0) -> DataF
     flagged = report.filter(F.col("performance_flag") != "").withColumn(
         "flag", F.explode(F.split("performance_flag", ", "))
     )
+    # Three rows, fixed in code; every agent row has one of three keys, so nothing is shuffled by them.
     return (
-        flagged.join(flag_frame(report.sparkSession), "flag")
+        flagged.join(F.broadcast(flag_frame(report.sparkSession)), "flag")
         .select(
             "flag",
             "title",

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .. import labels
-from ..functions import any_equals, either, member_key
+from ..functions import any_equals, area_code, either, member_key
 from .skew import ROWS_PER_SLICE, distinct_keys, spread_join
 
 STAR_COLUMNS = ("stars_1", "stars_2", "stars_3")
@@ -188,5 +188,5 @@ def missing_days(spark: SparkSession, present: DataFrame, first: date, last: dat
 
 def area_code_members(leads: DataFrame, codes: DataFrame, phone: str = "phone") -> DataFrame:
     """Leads whose area code is in ``codes(area_code)``; the code table is the caller's."""
-    keyed = leads.withColumn("area_code", F.substring(phone, 1, 3))
+    keyed = leads.withColumn("area_code", area_code(F.col(phone)))
     return spread_join(keyed, distinct_keys(codes, ["area_code"]), ["area_code"], "left_semi").drop("area_code")
