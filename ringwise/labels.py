@@ -5,6 +5,7 @@ Everything under a FIXED VALUES comment has to equal what the data carries.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -412,12 +413,14 @@ def reporting_by_label(review_label: str = REVIEW) -> dict[str, str]:
     return {label: review_label if to == REVIEW else to for label, to in REPORTING_BY_LABEL.items()}
 
 
-def literal_frame(spark: SparkSession, rows: Sequence[Sequence], columns: Sequence[str]) -> DataFrame:
-    """A small fixed table made of literals: it lives in the plan, and Spark knows its size."""
-    structs = [F.struct(*[F.lit(v).alias(c) for c, v in zip(columns, row, strict=True)]) for row in rows]
-    return spark.range(1).select(F.inline(F.array(*structs)))
+def literal_frame(spark: SparkSession, rows: Sequence[Sequence], schema: str) -> DataFrame:
+    """A small fixed table as one literal: it lives in the plan, and Spark knows its size."""
+    names = [field.split()[0] for field in schema.split(",")]
+    text = json.dumps([dict(zip(names, row, strict=True)) for row in rows])
+    table = F.from_json(F.lit(text), "array<struct<" + schema.replace(" ", ":").replace(",:", ",") + ">>")
+    return spark.range(1).select(F.inline(table))
 
 
-def lookup_frame(spark: SparkSession, mapping: Mapping, key: str, value: str) -> DataFrame:
+def lookup_frame(spark: SparkSession, mapping: Mapping, schema: str) -> DataFrame:
     """A mapping as a two-column dimension frame; its size is fixed by the mapping in code."""
-    return literal_frame(spark, list(mapping.items()), [key, value])
+    return literal_frame(spark, list(mapping.items()), schema)

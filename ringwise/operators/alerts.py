@@ -164,7 +164,7 @@ def completion_summary(results: DataFrame, as_of: date) -> DataFrame:
 
 def flag_frame(spark: SparkSession) -> DataFrame:
     rows = [(flag, title, advice) for flag, (title, advice) in FLAG_MEANINGS.items()]
-    return labels.literal_frame(spark, rows, ["flag", "title", "recommendation"])
+    return labels.literal_frame(spark, rows, "flag string, title string, recommendation string")
 
 
 def flagged_agents(report: DataFrame, accepted_threshold: float = 84.0) -> DataFrame:

@@ -15,11 +15,13 @@ def disposition_rollup(rows: DataFrame, review_label: str = labels.REVIEW) -> Da
     Labels are spelled differently in two of them, hence codes 73 and 74 find no reporting label.
     """
     spark = rows.sparkSession
-    code = labels.lookup_frame(spark, labels.DISPOSITION_BY_CODE, "code", "label")
-    category = labels.lookup_frame(spark, labels.category_by_label(), "label", "category")
-    reporting = labels.lookup_frame(spark, labels.reporting_by_label(review_label), "label", "reporting_label")
+    code = labels.lookup_frame(spark, labels.DISPOSITION_BY_CODE, "code int, label string")
+    category = labels.lookup_frame(spark, labels.category_by_label(), "label string, category string")
+    reporting = labels.lookup_frame(
+        spark, labels.reporting_by_label(review_label), "label string, reporting_label string"
+    )
     presentation = labels.lookup_frame(
-        spark, labels.PRESENTATION_BY_REPORTING, "reporting_label", "presentation_label"
+        spark, labels.PRESENTATION_BY_REPORTING, "reporting_label string, presentation_label string"
     )
     return (
         rows.join(F.broadcast(code), "code", "left")

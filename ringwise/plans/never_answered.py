@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+from datetime import date, datetime, time
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import normalize_phone
+from ..functions import UTC, normalize_phone
 from ..operators.calls import (
     CallRules,
     Window,
@@ -17,6 +20,18 @@ from ..operators.calls import (
 )
 
 
+def year_windows(
+    as_of: date, current_skills: Sequence[str] | None = None, prior_skills: Sequence[str] | None = None
+) -> tuple[Window, Window]:
+    """The year of ``as_of`` up to the end of that day, and the whole year before, both in UTC."""
+    end = datetime.combine(as_of, time(23, 59, 59), UTC)
+    prior_year = as_of.year - 1
+    return (
+        Window(datetime(as_of.year, 1, 1, tzinfo=UTC), end, current_skills),
+        Window(datetime(prior_year, 1, 1, tzinfo=UTC), datetime(prior_year, 12, 31, 23, 59, 59, tzinfo=UTC), prior_skills),
+    )
+
+
 def never_answered_report(
     current: DataFrame,
     current_out: Window,

@@ -1,10 +1,10 @@
-from datetime import datetime, timezone
+from datetime import date, datetime, timezone
 
 import pytest
 
 from ringwise import labels
 from ringwise.operators import calls as c
-from ringwise.plans.never_answered import never_answered_report
+from ringwise.plans.never_answered import never_answered_report, year_windows
 from ringwise.plans.skill_kpis import skill_kpis
 from ringwise.sources.call_log import recent_calls, unify_call_logs
 
@@ -180,3 +180,9 @@ def test_recent_calls(spark, rows):
     df = log(spark, (1, "Busy", False, "+15550000001"), (9, "Busy", False, "+115550000002"), (9, "Busy", False, "x", "in"))
     got = recent_calls(df, ["out"], utc(2026, 1, 10))
     assert rows(got) == [("5550000002", datetime(2026, 1, 9, 9))]
+
+
+def test_year_windows():
+    now, before = year_windows(date(2026, 3, 4), ["out"], ["old"])
+    assert (now.start, now.end, now.skills) == (utc(2026, 1, 1), utc(2026, 3, 4, 23, 59, 59), ["out"])
+    assert (before.start, before.end, before.skills) == (utc(2025, 1, 1), utc(2025, 12, 31, 23, 59, 59), ["old"])
