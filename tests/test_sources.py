@@ -188,3 +188,35 @@ def test_weekly_report_from_files_to_files_and_back(spark, rows, weekly_inputs,
     (tmp_path / "old" / "2026-03-04_S5884_Stars_weekly_report.csv").write_text(part.read_text().replace(",0.0,", ",,", 1))
     again = reread_reports(spark, [str(tmp_path / "old")], "*_weekly_report.csv")
     assert rows(again, "split", "file_date", "leads_received", "scrub_rate") == [("S5884_Stars", date(2026, 3, 2), 1, 0.0)]
+
+
+def test_empty_files_add_nothing(spark, rows, tmp_path):
+    (tmp_path / "2026-03-02").mkdir()
+    (tmp_path / "2026-03-02" / "a_claims.csv").write_text("")
+    put(tmp_path / "2026-03-02" / "b_claims.csv", "Document Key,x", "a,1")
+    (tmp_path / "2026-03-03").mkdir()
+    (tmp_path / "2026-03-03" / "a_claims.csv").write_text("")
+    claims = fs.read_claims(spark, [f"{tmp_path}/2026-03-02", f"{tmp_path}/2026-03-03"], "*_claims.csv")
+    assert rows(claims) == [(date(2026, 3, 2), "a")]
+
+
+def test_damaged_files_are_skipped(spark, rows, tmp_path):
+    put(tmp_path / "a.csv", "id", "1")
+    (tmp_path / "b.csv.gz").write_bytes(b"not gzip at all")
+    assert rows(fs.read_text_table(spark, [str(tmp_path)], columns=["id"])) == [("1",)]
+
+
+def test_nothing_found(spark, tmp_path):
+    empty = fs.read_dated(spark, [str(tmp_path / "nowhere")], DROP, columns=["H", "leadid"])
+    assert empty.columns == ["H", "leadid", "file_date"] and empty.count() == 0
+    with pytest.raises(FileNotFoundError):
+        fs.read_dated(spark, [str(tmp_path / "nowhere")], DROP)
+
+
+def test_dates_out_of_range_are_never_opened(spark, rows, tmp_path):
+    put(tmp_path / "Drop_20260101.csv", "H,leadid", "D,a")
+    put(tmp_path / "Drop_20250101.csv", "other,header", "x,y")
+    found = fs.read_dated(
+        spark, [str(tmp_path)], DROP, date(2026, 1, 1), columns=["H", "leadid"], skip_unreadable=False
+    )
+    assert rows(found, "leadid") == [("a",)]
