@@ -21,6 +21,16 @@ from ringwise.operators.dispositions import disposition_rollup  # noqa: E402
 from ringwise.plans.never_answered import never_answered_report  # noqa: E402
 from ringwise.sources.call_log import recent_calls, unify_call_logs  # noqa: E402
 
+try:
+    import llm
+except ModuleNotFoundError as e:
+    if e.name != "llm":
+        raise
+    llm = None
+else:
+    import corpus_pipeline
+    from llm import queries as llm_queries
+
 SMOKE_DIR = "/root/testdata/sf0.001"
 
 OUTBOUND = [f"skill-{i}" for i in range(1, 6)]
@@ -331,6 +341,13 @@ def entry(spark: SparkSession) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    found = report_queries()
+    if llm is not None:
+        found |= llm_queries.queries() | {"pipeline": corpus_pipeline.run}
+    return found
+
+
+def report_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "skill_metrics": skill_metrics,
         "pickup_rate_by_destination": pickup_rate_by_destination,
@@ -390,4 +407,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return dict(ORACLES)
+    found = dict(ORACLES)
+    if llm is not None:
+        found |= llm_queries.oracle_sql()
+        if corpus_pipeline.ORACLE_SQL is not None:
+            found["pipeline"] = corpus_pipeline.ORACLE_SQL
+    return found
