@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from llm import quality
+from llm import exact, jaccard, quality
 from llm.shared import documents, stored
 
 
@@ -19,9 +19,39 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judged(found, model).select(*columns)
 
 
+def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    found = exact.looked_up(docs, exact.build_index(docs))
+    return found.select(F.col("_id").alias("doc_id"), "keep_id", "group_size", "kept", "text_sha256")
+
+
+def op7_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.near_duplicates(documents(spark, sf_dir))
+
+
+ORACLES = {
+    "op2_exact_dedup": """
+        WITH plain AS (
+            SELECT doc_id, length(coalesce(text, '')) AS chars,
+                   sha256(regexp_replace(coalesce(text, ''), '[\\x20\\x09-\\x0D]', '', 'g')) AS text_sha256
+            FROM documents),
+        ranked AS (
+            SELECT doc_id, text_sha256,
+                   first_value(doc_id) OVER (PARTITION BY text_sha256 ORDER BY chars DESC, doc_id) AS keep_id,
+                   count(*) OVER (PARTITION BY text_sha256) AS group_size
+            FROM plain)
+        SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, text_sha256 FROM ranked
+    """,
+}
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op1_quality_rules": op1_quality_rules}
+    return {
+        "op1_quality_rules": op1_quality_rules,
+        "op2_exact_dedup": op2_exact_dedup,
+        "op7_ngram_jaccard_join": op7_ngram_jaccard_join,
+    }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return dict(ORACLES)
