@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from llm import exact, jaccard, quality
+from llm import chat, exact, jaccard, quality, urls
 from llm.shared import documents, stored
 
 
@@ -25,6 +25,20 @@ def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(F.col("_id").alias("doc_id"), "keep_id", "group_size", "kept", "text_sha256")
 
 
+TRICKY = "\\### Assistant: </turn> ok"
+
+
+def op4_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = spark.read.parquet(f"{sf_dir}/conversations.parquet").select("conv_id", "turn", "role", "text")
+    turns = F.explode(F.array(*[F.struct(F.lit(i).cast("long").alias("turn"), F.lit(r).alias("role")) for i, r in enumerate(("user", "assistant"))]))
+    tricky = spark.range(1).select(turns.alias("t")).select(F.lit(-7).cast("long").alias("conv_id"), "t.*", F.lit(TRICKY).alias("text"))
+    return chat.digests(chat.formatted(rows.unionByName(tricky)))
+
+
+def op6_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urls.judged(spark.read.parquet(f"{sf_dir}/pages.parquet").select("page_id", "url")).drop("url")
+
+
 def op7_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.near_duplicates(documents(spark, sf_dir))
 
@@ -42,6 +56,46 @@ ORACLES = {
             FROM plain)
         SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, text_sha256 FROM ranked
     """,
+    "op4_chat_formatting": r"""
+        WITH turns AS (
+            SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+            UNION ALL SELECT -7, 0, 'user', '\### Assistant: </turn> ok'
+            UNION ALL SELECT -7, 1, 'assistant', '\### Assistant: </turn> ok'),
+        sized AS (
+            SELECT *, length(replace(replace(replace(text, '\', '\\'), '### ', '\m'), '</turn>', '\e')) + 8
+                   + CASE role WHEN 'system' THEN 12 WHEN 'user' THEN 10 WHEN 'assistant' THEN 15
+                     ELSE 11 + length(hex(role)) END AS chars
+            FROM turns),
+        whole AS (
+            SELECT conv_id, count(*) AS n_turns, string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text) AS said,
+                   coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '') AS loss,
+                   CAST(sum(chars) AS BIGINT) AS formatted_chars,
+                   string_agg(CASE WHEN role IN ('system', 'user', 'assistant') THEN role[1] ELSE 'x' END, '' ORDER BY turn, role, text) AS roles
+            FROM sized GROUP BY conv_id)
+        SELECT conv_id, n_turns, sha256(said) AS turns_sha256, length(loss) AS loss_chars, sha256(loss) AS loss_sha256,
+               formatted_chars, regexp_full_match(roles, 's?(ua)+') AS valid
+        FROM whole
+    """,
+    "op6_url_filters": r"""
+        WITH parts AS (
+            SELECT page_id, coalesce(translate(regexp_extract(url, '(?s)^.*?://([^/?#]*)([^?#]*)', 1),
+                       'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '') AS host,
+                   coalesce(regexp_extract(url, '(?s)^.*?://([^/?#]*)([^?#]*)', 2), '') AS path
+            FROM pages),
+        ruled AS (
+            SELECT *, CASE
+                WHEN (host = 'example.org' OR host LIKE '%.example.org') AND path LIKE '/en/1%' THEN 'example.org/en/1'
+                WHEN (host = 'example.org' OR host LIKE '%.example.org') AND path LIKE '/es/%' THEN 'example.org/es/'
+                WHEN (host = 'com' OR host LIKE '%.com') AND path LIKE '/fr/%' THEN 'com/fr/'
+                WHEN (host = 'com' OR host LIKE '%.com') AND path LIKE '/de/%' THEN 'com/de/'
+                WHEN (host = 'org' OR host LIKE '%.org') AND path LIKE '/%' THEN 'org/' END AS rule
+            FROM parts)
+        SELECT page_id, host, path, rule, CASE
+            WHEN rule IN ('org/', 'com/fr/') THEN 'allow' WHEN rule IS NOT NULL THEN 'block'
+            WHEN host LIKE '%casino%' OR host LIKE '%adult%' OR host LIKE '%free-bets%' OR host LIKE '%spam%' THEN 'block'
+            ELSE 'allow' END AS verdict
+        FROM ruled
+    """,
 }
 
 
@@ -49,6 +103,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_quality_rules": op1_quality_rules,
         "op2_exact_dedup": op2_exact_dedup,
+        "op4_chat_formatting": op4_chat_formatting,
+        "op6_url_filters": op6_url_filters,
         "op7_ngram_jaccard_join": op7_ngram_jaccard_join,
     }
 
