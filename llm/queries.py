@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from llm import chat, exact, jaccard, quality, urls
+from llm import chat, exact, jaccard, mixing, packing, quality, urls
 from llm.shared import documents, stored
 
 
@@ -35,6 +35,10 @@ def op4_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.digests(chat.formatted(rows.unionByName(tricky)))
 
 
+def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.packed(documents(spark, sf_dir))
+
+
 def op6_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.judged(spark.read.parquet(f"{sf_dir}/pages.parquet").select("page_id", "url")).drop("url")
 
@@ -43,6 +47,11 @@ def op7_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.near_duplicates(documents(spark, sf_dir))
 
 
+def op10_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = mixing.mixed(documents(spark, sf_dir).select("doc_id", "source"))
+    return found.select("_row.doc_id", "_row.source", "block", "slot", "place")
+
+
 ORACLES = {
     "op2_exact_dedup": """
         WITH plain AS (
@@ -104,8 +113,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op1_quality_rules": op1_quality_rules,
         "op2_exact_dedup": op2_exact_dedup,
         "op4_chat_formatting": op4_chat_formatting,
+        "op5_best_fit_packing": op5_best_fit_packing,
         "op6_url_filters": op6_url_filters,
         "op7_ngram_jaccard_join": op7_ngram_jaccard_join,
+        "op10_source_mixing": op10_source_mixing,
     }
 
 
