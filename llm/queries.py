@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from llm import chat, exact, jaccard, mixing, packing, quality, urls
+from llm import chat, exact, jaccard, licenses, mixing, packing, quality, urls
 from llm.shared import documents, stored
 
 
@@ -47,6 +47,10 @@ def op7_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.near_duplicates(documents(spark, sf_dir))
 
 
+def op9_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scanned(documents(spark, sf_dir).select("doc_id", "text")).drop("text")
+
+
 def op10_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = mixing.mixed(documents(spark, sf_dir).select("doc_id", "source"))
     return found.select("_row.doc_id", "_row.source", "block", "slot", "place")
@@ -116,6 +120,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op5_best_fit_packing": op5_best_fit_packing,
         "op6_url_filters": op6_url_filters,
         "op7_ngram_jaccard_join": op7_ngram_jaccard_join,
+        "op9_license_scans": op9_license_scans,
         "op10_source_mixing": op10_source_mixing,
     }
 
