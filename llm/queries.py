@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from llm import chat, exact, jaccard, licenses, mixing, packing, quality, urls
+from llm import chat, exact, jaccard, licenses, mixing, packing, quality, urls, warc
 from llm.shared import documents, stored
 
 
@@ -25,6 +25,11 @@ def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(F.col("_id").alias("doc_id"), "keep_id", "group_size", "kept", "text_sha256")
 
 
+def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = warc.archived(spark.read.parquet(f"{sf_dir}/pages.parquet"))
+    return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 TRICKY = "\\### Assistant: </turn> ok"
 
 
@@ -116,6 +121,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_quality_rules": op1_quality_rules,
         "op2_exact_dedup": op2_exact_dedup,
+        "op3_warc": op3_warc,
         "op4_chat_formatting": op4_chat_formatting,
         "op5_best_fit_packing": op5_best_fit_packing,
         "op6_url_filters": op6_url_filters,
