@@ -4,15 +4,42 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from llm import quality
+from llm import exact, jaccard, mixing, packing, quality
 from llm.shared import documents, stored
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the rules reject go."""
     return quality.good_documents(docs)
 
 
-STAGES = [("quality rules", quality_rules)]
+def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The longest document of each set of equal texts stays."""
+    return exact.deduplicated(docs)
+
+
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The document with the smallest id of each group of near duplicates stays."""
+    return jaccard.one_of_each(docs)
+
+
+def source_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, in the order of the mixture."""
+    return mixing.in_order(docs)
+
+
+def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The bin and place of every document or piece of one."""
+    return packing.packed(docs)
+
+
+STAGES = [
+    ("quality rules", quality_rules),
+    ("exact dedup", exact_dedup),
+    ("n-gram Jaccard join", near_dedup),
+    ("mixing sources to target weights", source_mixing),
+    ("best-fit packing", best_fit_packing),
+]
 
 #: Packing keeps state from bin to bin, which SQL cannot express.
 ORACLE_SQL = None

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from llm import chat, exact, jaccard, licenses, mixing, packing, quality, urls, warc
+from llm import chat, exact, jaccard, licenses, mixing, packing, pii, quality, urls, warc
 from llm.shared import documents, stored
 
 
@@ -52,6 +52,10 @@ def op7_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.near_duplicates(documents(spark, sf_dir))
 
 
+def op8_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.pseudonymised(documents(spark, sf_dir).select("doc_id", "text"), secret="example key")
+
+
 def op9_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scanned(documents(spark, sf_dir).select("doc_id", "text")).drop("text")
 
@@ -126,6 +130,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op5_best_fit_packing": op5_best_fit_packing,
         "op6_url_filters": op6_url_filters,
         "op7_ngram_jaccard_join": op7_ngram_jaccard_join,
+        "op8_pii_surrogates": op8_pii_surrogates,
         "op9_license_scans": op9_license_scans,
         "op10_source_mixing": op10_source_mixing,
     }
