@@ -335,7 +335,7 @@ def near_duplicates(
     classes = stored(classes.select("f1", "f2", "n", "first.*"), "classes")
     members = classes.filter("doc_id IS NOT NULL").join(candidates, F.col("f1") == F.col("node"))
     members = stored(_grouped(members.select("root", "n", "doc_id", "text_key"), block_shingles), "members")
-    texts = rows.join(members, ["doc_id", "text_key"])
+    texts = rows.hint("merge").join(members, ["doc_id", "text_key"])  # the same plan at every size
     links = texts.groupBy("grp", "low", "high").applyInArrow(_group_links(percent), "a long, b long")
     linked = components(links)
 
@@ -349,4 +349,4 @@ def near_duplicates(
 def one_of_each(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """The rows of docs whose id is the smallest of its component; rows that repeat an id stay with it."""
     kept = near_duplicates(docs, doc_id, text).filter("doc_id = component_id").select(F.col("doc_id").alias("_kept")).distinct()
-    return docs.join(kept, docs[doc_id].cast("long") == F.col("_kept"), "left_semi")
+    return docs.hint("merge").join(kept, docs[doc_id].cast("long") == F.col("_kept"), "left_semi")
