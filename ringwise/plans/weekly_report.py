@@ -83,8 +83,8 @@ def export_weekly_report(report: DataFrame, path: str, run_date: date, overwrite
     write_split_reports(with_headers(dated, FUNNEL), path, run_date, overwrite)
 
 
-def reread_reports(spark: SparkSession, roots: Sequence[str], glob: str) -> DataFrame:
-    """All exported reports again, typed, missing rates filled in, in date order."""
+def reread_reports(spark: SparkSession, roots: Sequence[str], glob: str = "*.csv") -> DataFrame:
+    """All exported reports again, as they were written, typed, missing rates filled in, in date order."""
     text = read_past_reports(spark, roots, glob)
     short = text.withColumnsRenamed({header: name for name, header in FUNNEL.items()})
     return impute_rates(short.withColumn("file_date", F.to_date("contact_date", "MM/dd/yyyy")).drop("contact_date"))

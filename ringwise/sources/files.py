@@ -6,7 +6,10 @@ time instead of reading them.
 
 from __future__ import annotations
 
+import csv
+import re
 from collections.abc import Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from datetime import date, datetime, timedelta
 from functools import reduce
@@ -16,7 +19,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions import blank_to_null_words, col, normalize_phone_loose, to_utc
+from ..functions import blank_to_null_words, col, normalize_phone_loose, parse_first, to_utc
 
 LATIN_1 = "ISO-8859-1"
 
@@ -64,13 +67,9 @@ def string_schema(columns: Sequence[str]) -> T.StructType:
     return T.StructType([T.StructField(c, T.StringType()) for c in columns])
 
 
-def _reader(spark: SparkSession, glob: str | None, recursive: bool, encoding: str, skip_unreadable: bool):
+def _options(encoding: str) -> dict:
     # enforceSchema=false checks every file's header instead of mapping columns by position.
-    options = {"header": True, "enforceSchema": False, "encoding": encoding, "recursiveFileLookup": recursive}
-    options |= {"ignoreCorruptFiles": skip_unreadable, "ignoreMissingFiles": skip_unreadable, "escape": '"'}
-    if glob:
-        options["pathGlobFilter"] = glob
-    return spark.read.options(**options)
+    return {"header": True, "enforceSchema": False, "encoding": encoding, "escape": '"'}
 
 
 def _clean(df: DataFrame, names: Sequence[str], na_words: bool) -> DataFrame:
@@ -79,6 +78,65 @@ def _clean(df: DataFrame, names: Sequence[str], na_words: bool) -> DataFrame:
     return df.withColumns({n: blank(col(n)) for n in names})
 
 
+def listed_files(
+    spark: SparkSession, paths: Sequence[str], glob: str | None = None, recursive: bool = False, where: Column | None = None
+) -> list[str]:
+    """Files below the paths, from the listing alone; ``where`` may use ``_metadata``. Paths that match nothing are left out."""
+    found = set()
+    for path in paths:
+        reader = spark.read.format("binaryFile").option("recursiveFileLookup", recursive)
+        if glob:
+            reader = reader.option("pathGlobFilter", glob)
+        try:
+            listing = reader.load(path)
+        except AnalysisException as e:
+            if e.getCondition() == "PATH_NOT_FOUND":
+                continue
+            raise
+        if where is not None:
+            listing = listing.filter(where)
+        found |= {row[0] for row in listing.select("path").collect()}
+    return sorted(found)
+
+
+def file_header(spark: SparkSession, path: str, encoding: str = "UTF-8") -> tuple[str, ...]:
+    """Column names in a CSV file's first line, empty for an empty file. Compressed files are told by their suffix."""
+    jvm = spark._jvm
+    where = jvm.org.apache.hadoop.fs.Path(path)
+    conf = spark._jsc.hadoopConfiguration()
+    stream = where.getFileSystem(conf).open(where)
+    try:
+        codec = jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(conf).getCodec(where)
+        if codec is not None:
+            stream = codec.createInputStream(stream)
+        line = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(stream, encoding)).readLine()
+    finally:
+        stream.close()
+    return tuple(next(csv.reader([(line or "").removeprefix("\ufeff")]), ()))
+
+
+def _escaped(path: str) -> str:
+    """A file name as a pattern that matches only itself."""
+    return re.sub(r"([\\{}\[\]*?])", r"\\\1", path)
+
+
+def _scan(spark: SparkSession, paths: Sequence[str], header: Sequence[str], encoding: str, na_words: bool, derived: Mapping[str, Column]) -> DataFrame:
+    df = spark.read.options(**_options(encoding)).schema(string_schema(header)).csv(list(paths))
+    return _clean(df.select("*", *[c.alias(n) for n, c in derived.items()]), df.columns, na_words)
+
+
+def _united(
+    spark: SparkSession, headers: Mapping[str, tuple[str, ...]], encoding: str, na_words: bool, derived: Mapping[str, Column]
+) -> DataFrame | None:
+    """One scan for each distinct header, united by name; None without a header."""
+    by_header: dict[tuple[str, ...], list[str]] = {}
+    for path, header in headers.items():
+        if header:
+            by_header.setdefault(header, []).append(_escaped(path))
+    frames = [_scan(spark, paths, header, encoding, na_words, derived) for header, paths in by_header.items()]
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames) if frames else None
+
+
 def read_text_table(
     spark: SparkSession,
     paths: Sequence[str],
@@ -87,37 +145,61 @@ def read_text_table(
     recursive: bool = False,
     encoding: str = "UTF-8",
     na_words: bool = True,
-    skip_unreadable: bool = True,
     derived: Mapping[str, Column] | None = None,
+    where: Column | None = None,
 ) -> DataFrame:
-    """CSV files with all columns as text.
+    """CSV files with all columns as text; a file that cannot be read fails the job.
 
-    With ``columns`` all paths are one scan and must have just that header. Without, each
-    path is read under its own header, and the column sets are united by name. ``derived``
-    columns may use ``_metadata``. Paths that match nothing are left out.
+    Every file is read under its own header: there is one scan for each distinct header,
+    and the scans are united by name. Empty files add nothing. With ``columns`` the headers
+    are not looked up; all files are one scan and must have just that header. ``derived``
+    columns and ``where``, which picks files before one is opened, may use ``_metadata``.
+    Paths that match nothing are left out.
     """
     derived = dict(derived or {})
-
-    def scan(where: Sequence[str]) -> DataFrame | None:
-        reader = _reader(spark, glob, recursive, encoding, skip_unreadable)
-        if columns is not None:
-            reader = reader.schema(string_schema(columns))
-        try:
-            df = reader.csv(list(where))
-        except AnalysisException as e:
-            if e.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
-                return None
-            raise
-        return _clean(df.select("*", *[c.alias(n) for n, c in derived.items()]), df.columns, na_words)
-
-    frames = [scan(paths)] if columns is not None else [scan([p]) for p in paths]
-    found = [f for f in frames if f is not None]
-    if not found:
+    files = listed_files(spark, paths, glob, recursive, where)
+    if columns is not None:
+        headers = dict.fromkeys(files, tuple(columns))
+    else:
+        with ThreadPoolExecutor(8) as pool:
+            headers = dict(zip(files, pool.map(lambda f: file_header(spark, f, encoding), files)))
+    found = _united(spark, headers, encoding, na_words, derived)
+    if found is None:
         if columns is None:
-            raise FileNotFoundError(f"no readable files under {list(paths)}")
+            raise FileNotFoundError(f"no files with a header under {list(paths)}")
         empty = spark.createDataFrame([], string_schema(columns))
         return empty.withColumns({n: F.lit(None).cast("date") for n in derived})
-    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), found)
+    return found
+
+
+def read_readable(
+    spark: SparkSession,
+    paths: Sequence[str],
+    glob: str | None = None,
+    recursive: bool = False,
+    encoding: str = "UTF-8",
+    na_words: bool = True,
+    derived: Mapping[str, Column] | None = None,
+) -> tuple[DataFrame | None, DataFrame]:
+    """Like ``read_text_table``, but leaves out files that cannot be read to the end.
+
+    The second frame says which (``path``, ``error``); the first is None if no file is left. Every file
+    is read once more for the check, and a file is taken as a whole or not at all.
+    """
+
+    def checked(path: str) -> tuple[str, tuple[str, ...], str | None]:
+        try:
+            header = file_header(spark, path, encoding)
+            spark.read.text(_escaped(path)).count()
+        except Exception as e:  # whatever the store or the codec raises is the finding
+            return path, (), str(e).splitlines()[0][:500]
+        return path, header, None
+
+    with ThreadPoolExecutor(8) as pool:
+        results = list(pool.map(checked, listed_files(spark, paths, glob, recursive)))
+    skipped = [(path, error) for path, _, error in results if error is not None]
+    found = _united(spark, {p: h for p, h, e in results if e is None}, encoding, na_words, dict(derived or {}))
+    return found, spark.createDataFrame(skipped, "path string, error string")
 
 
 def renamed(df: DataFrame, layout: Mapping[str, str]) -> DataFrame:
@@ -140,12 +222,10 @@ def read_dated(
     **options,
 ) -> DataFrame:
     """Files of one drop with ``file_date`` from their names, optionally only those of a date range."""
-    df = read_text_table(spark, roots, columns, files.glob, derived={"file_date": files.file_date()}, **options)
-    if first is not None:
-        df = df.filter(F.col("file_date") >= F.lit(first))
-    if last is not None:
-        df = df.filter(F.col("file_date") <= F.lit(last))
-    return df
+    day = files.file_date()
+    bounds = ([day >= F.lit(first)] if first is not None else []) + ([day <= F.lit(last)] if last is not None else [])
+    where = reduce(Column.__and__, bounds) if bounds else None
+    return read_text_table(spark, roots, columns, files.glob, derived={"file_date": day}, where=where, **options)
 
 
 def read_lead_drops(
@@ -202,15 +282,21 @@ def read_request_report(
 ) -> DataFrame:
     """Request report with ``completed_ts``; text that fits no format becomes null."""
     rows = renamed(read_text_table(spark, paths), REQUEST_REPORT)
-    parsed = F.coalesce(*[F.try_to_timestamp("completed_text", F.lit(f)) for f in formats])
-    return rows.withColumn("completed_ts", parsed.cast("timestamp_ntz"))
+    return rows.withColumn("completed_ts", parse_first(F.col("completed_text"), formats).cast("timestamp_ntz"))
 
 
 def read_past_reports(
-    spark: SparkSession, roots: Sequence[str], glob: str, split_pattern: str = r"^\d{4}-\d{2}-\d{2}_(.*)_weekly"
+    spark: SparkSession, roots: Sequence[str], glob: str = "*.csv", split_pattern: str = r"^\d{4}-\d{2}-\d{2}_(.*)_weekly"
 ) -> DataFrame:
-    """All exported funnel reports below the roots, with the split taken from the file name."""
-    split = F.regexp_extract("_metadata.file_name", split_pattern, 1)
+    """All exported funnel reports below the roots.
+
+    The split is that of the ``split=`` folder as the export writes it, else it is taken from the file name.
+    """
+    # the folder name is escaped once by the export and once more in the file's address
+    folder = F.regexp_extract("_metadata.file_path", r"/split=([^/]+)/", 1)
+    for _ in range(2):
+        folder = F.url_decode(F.replace(folder, F.lit("+"), F.lit("%2B")))
+    split = F.coalesce(F.nullif(folder, F.lit("")), F.regexp_extract("_metadata.file_name", split_pattern, 1))
     return read_text_table(spark, roots, glob=glob, recursive=True, derived={"split": split})
 
 
@@ -237,9 +323,26 @@ DNC_PAGE = T.StructType(
 
 
 def read_dnc_pages(spark: SparkSession, paths: Sequence[str], cutoff: datetime | None = None) -> DataFrame:
-    """Numbers on landed do-not-call pages of any number of groups, as of ``cutoff``."""
-    pages = spark.read.schema(DNC_PAGE).option("multiLine", True).json(list(paths))
-    records = pages.select(F.inline("dncList.dncRecords"))
+    """Numbers on landed do-not-call pages, one path per group, as of ``cutoff``.
+
+    A page that is no JSON or lacks its list fails the job, and so does a group whose pages hold
+    another number of records than they say in ``totalRecords``: a missing page would free numbers
+    for calling.
+    """
+    groups = []
+    for path in paths:
+        pages = spark.read.schema(DNC_PAGE).options(multiLine=True, mode="FAILFAST").json(path)
+        listed = F.col("dncList.dncRecords")
+        pages = pages.select(
+            F.when(listed.isNotNull(), listed).otherwise(F.raise_error(F.lit(f"a page under {path} has no records"))).alias("records"),
+            F.col("dncList.totalRecords").cast("long").alias("stated"),
+        )
+        whole = pages.agg(F.sum(F.size("records")).alias("held"), F.min("stated").alias("low"), F.max("stated").alias("high"))
+        complete = F.expr("held = low AND held = high")
+        message = F.format_string(f"%s of %s records on the pages under {path}", F.col("held"), F.col("high"))
+        check = whole.select(F.when(complete, F.lit(True)).otherwise(F.raise_error(message)).alias("complete")).scalar()
+        groups.append(pages.filter(check).select(F.inline("records")))
+    records = reduce(DataFrame.unionAll, groups)
     if cutoff is not None:
         micros = int(to_utc(cutoff).timestamp() * 1_000_000)
         records = records.filter(F.col("dateCollected").cast("timestamp") <= F.timestamp_micros(F.lit(micros)))

@@ -1,6 +1,9 @@
+import gzip
 import json
 from datetime import date, datetime, timezone
 
+from pathlib import Path
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -51,7 +54,7 @@ def test_another_header_in_the_same_scan_is_an_error(spark, tmp_path):
     put(tmp_path / "a" / "x.csv", "id,name", "1,n")
     put(tmp_path / "a" / "y.csv", "name,id", "n,1")
     with pytest.raises(Exception, match="header|CSV"):
-        fs.read_text_table(spark, [str(tmp_path / "a")], columns=["id", "name"], skip_unreadable=False).collect()
+        fs.read_text_table(spark, [str(tmp_path / "a")], columns=["id", "name"]).collect()
 
 
 def test_dates_from_file_names_skip_files(spark, rows, tmp_path):
@@ -64,9 +67,9 @@ def test_dates_from_file_names_skip_files(spark, rows, tmp_path):
     assert rows(year, "leadid", "file_date") == [("20260101", date(2026, 1, 1)), ("20260105", date(2026, 1, 5))]
     one = fs.read_lead_drops(spark, [str(tmp_path)], DROP, date(2026, 1, 5), date(2026, 1, 5))
     assert rows(one, "leadid") == [("20260105",)]
-    # The date filter prunes at listing time: a broken file outside the range is never opened.
-    plan = one._jdf.queryExecution().executedPlan().toString()
-    assert "file_name" in plan
+    # The date filter picks files while listing: a broken file outside the range is never opened.
+    (tmp_path / "Drop_20260201.csv.gz").write_bytes(b"not gzip at all")
+    assert fs.read_lead_drops(spark, [str(tmp_path)], fs.DatedFiles("Drop_*", DROP.date_pattern, DROP.date_format), date(2026, 1, 5), date(2026, 1, 5)).count() == 1
 
 
 def test_claims_days_are_folders(spark, rows, tmp_path):
@@ -96,13 +99,15 @@ def test_case_report_is_strict_and_request_report_is_not(spark, rows, tmp_path):
     assert rows(found, "completed_ts") == [(datetime(2026, 3, 2),), (datetime(2026, 3, 2, 10),), (None,)]
 
 
-def test_dnc_pages(spark, rows, tmp_path):
-    def page(*records):
-        return json.dumps({"dncList": {"totalRecords": "3", "dncRecords": [dict(phoneNumber=p, dateCollected=d) for p, d in records]}}, indent=1)
+def dnc_page(total, *records):
+    return json.dumps({"dncList": {"totalRecords": str(total), "dncRecords": [dict(phoneNumber=p, dateCollected=d) for p, d in records]}}, indent=1)
+
 
-    put(tmp_path / "g1" / "p1.json", page(("+15550000001", "2026-03-01T10:00:00+00:00"), ("+115550000002", "2026-03-01T10:00:00-08:00")))
-    put(tmp_path / "g1" / "p2.json", page())
-    put(tmp_path / "g2" / "p1.json", page(("5550000001", "2026-01-01T00:00:00+00:00"), ("5550000009", "2026-03-05T00:00:00+00:00")))
+def test_dnc_pages(spark, rows, tmp_path):
+    first = ("+15550000001", "2026-03-01T10:00:00+00:00"), ("+115550000002", "2026-03-01T10:00:00-08:00")
+    put(tmp_path / "g1" / "p1.json", dnc_page(2, *first))
+    put(tmp_path / "g1" / "p2.json", dnc_page(2))
+    put(tmp_path / "g2" / "p1.json", dnc_page(2, ("5550000001", "2026-01-01T00:00:00+00:00"), ("5550000009", "2026-03-05T00:00:00+00:00")))
     paths = [str(tmp_path / g) for g in ("g1", "g2")]
     cutoff = datetime(2026, 3, 1, 18, tzinfo=timezone.utc)
     assert rows(fs.read_dnc_pages(spark, paths, cutoff)) == [("5550000001",), ("5550000001",), ("5550000002",)]
@@ -111,6 +116,20 @@ def test_dnc_pages(spark, rows, tmp_path):
     assert fs.read_dnc_pages(spark, paths, before).count() == 2
 
 
+@pytest.mark.parametrize("second", [None, "cut", "no list", "other total"])
+def test_broken_or_missing_dnc_pages_fail(spark, tmp_path, second):
+    one, other = ("5550000001", "2026-03-01T10:00:00+00:00"), ("5550000002", "2026-03-01T10:00:00+00:00")
+    put(tmp_path / "p1.json", dnc_page(2, one))
+    whole = dnc_page(2, other)
+    texts = {"cut": whole[: len(whole) // 2], "no list": "{}", "other total": dnc_page(3, other)}
+    if second is not None:
+        put(tmp_path / "p2.json", texts[second])
+    with pytest.raises(Exception):
+        fs.read_dnc_pages(spark, [str(tmp_path)]).collect()
+    put(tmp_path / "p2.json", whole)
+    assert fs.read_dnc_pages(spark, [str(tmp_path)]).count() == 2
+
+
 def test_csv_sink_round_trip(spark, rows, tmp_path):
     df = spark.createDataFrame([(1, None), (2, "x, y"), (3, 'say "hi"')], "a int, b string")
     path = str(tmp_path / "out.csv")
@@ -182,12 +201,16 @@ def test_weekly_report_from_files_to_files_and_back(spark, rows, weekly_inputs,
     out = str(tmp_path / "out")
     export_weekly_report(report, out, as_of)
     written = fs.read_text_table(spark, [f"{out}/run_date=2026-03-04"])
-    assert written.columns[0] == "Contact Date" and len(written.columns) == 19
-    (tmp_path / "old").mkdir()
+    assert written.columns[0] == "Contact Date" and len(written.columns) == 18
+    again = reread_reports(spark, [out])
+    columns = ("split", "file_date", "leads_received", "leads_available", "submitted", "scrub_rate", "submitted_of_attempted_rate")
+    assert rows(again, *columns) == rows(report, *columns)
+    old = tmp_path / "old" / "2026-03-04_S5884_Stars_weekly_report.csv"
     (part,) = (tmp_path / "out" / "run_date=2026-03-04" / "split=S5884%3AStars").glob("part-*.csv")
-    (tmp_path / "old" / "2026-03-04_S5884_Stars_weekly_report.csv").write_text(part.read_text().replace(",0.0,", ",,", 1))
-    again = reread_reports(spark, [str(tmp_path / "old")], "*_weekly_report.csv")
-    assert rows(again, "split", "file_date", "leads_received", "scrub_rate") == [("S5884_Stars", date(2026, 3, 2), 1, 0.0)]
+    old.parent.mkdir()
+    old.write_text(part.read_text().replace(",0.0,", ",,", 1))
+    named = reread_reports(spark, [str(old.parent)], "*_weekly_report.csv")
+    assert rows(named, "split", "file_date", "leads_received", "scrub_rate") == [("S5884_Stars", date(2026, 3, 2), 1, 0.0)]
 
 
 def test_empty_files_add_nothing(spark, rows, tmp_path):
@@ -200,10 +223,50 @@ def test_empty_files_add_nothing(spark, rows, tmp_path):
     assert rows(claims) == [(date(2026, 3, 2), "a")]
 
 
-def test_damaged_files_are_skipped(spark, rows, tmp_path):
+def test_damaged_files_fail_or_are_returned(spark, rows, tmp_path):
     put(tmp_path / "a.csv", "id", "1")
+    whole = gzip.compress(("id\n" + "".join(f"{i}\n" for i in range(50_000))).encode())
     (tmp_path / "b.csv.gz").write_bytes(b"not gzip at all")
-    assert rows(fs.read_text_table(spark, [str(tmp_path)], columns=["id"])) == [("1",)]
+    (tmp_path / "c.csv.gz").write_bytes(whole[: len(whole) // 2])
+    (tmp_path / "d.csv").write_text("")
+    for options in ({}, {"columns": ["id"]}):
+        with pytest.raises(Exception):
+            fs.read_text_table(spark, [str(tmp_path)], **options).collect()
+    found, skipped = fs.read_readable(spark, [str(tmp_path)])
+    assert rows(found) == [("1",)]
+    assert sorted(r.path.rsplit("/", 1)[1] for r in skipped.collect()) == ["b.csv.gz", "c.csv.gz"]
+    assert all(r.error for r in skipped.collect())
+    nothing, skipped = fs.read_readable(spark, [str(tmp_path)], glob="*.gz")
+    assert nothing is None and skipped.count() == 2
+
+
+def test_files_of_one_folder_keep_their_own_headers(spark, rows, tmp_path):
+    put(tmp_path / "Drop_20260101.csv", "H,leadid,RecipientPhoneNumber", "D,a,1", "D,b,2")
+    put(tmp_path / "Drop_20260102.csv", "H,leadid,RecipientPhoneNumber,extra", "D,c,3,x", "F,,,")
+    put(tmp_path / "Drop_20260103.csv", "RecipientPhoneNumber,H,leadid", "4,D,d")
+    put(tmp_path / "Drop_20260104[1].csv", "H,leadid", "D,e")
+    drops = fs.read_lead_drops(spark, [str(tmp_path)], DROP)
+    want = [("a", "1", None), ("b", "2", None), ("c", "3", "x"), ("d", "4", None), ("e", None, None)]
+    assert rows(drops, "leadid", "phone", "extra") == want
+    day = tmp_path / "2026-03-02"
+    put(day / "p_claims.csv", "Document Key,x", "a,1")
+    put(day / "q_claims.csv", "x,Document Key", "1,b")
+    assert rows(fs.read_claims(spark, [str(tmp_path)], "*_claims.csv"), "document_key") == [("a",), ("b",)]
+
+
+def test_year_to_date_unites_headers(spark, rows, weekly_inputs):
+    kept = "idcard_mbr_id,leadid,Stars_Nonstars_1,Stars_Nonstars_2,Stars_Nonstars_3,note"
+    put(Path(weekly_inputs.scrubbed) / "2026-03-09" / "2026-03-09_scrubbed.csv", kept, "A1,L1,Stars,,,x")
+    put(
+        Path(weekly_inputs.dispositions) / "2026-03-09" / "Calls-2026030918.csv",
+        "call_status_1,leadid,idcard_mbr_id,contact_attempt_date_time,call_status_2,call_status_3",
+        "Refill Submitted,L1,A1,2026-03-09 09:00:00.000000-05:00,,",
+    )
+    put(Path(weekly_inputs.leads) / "Drop_20260309.csv", "leadid,H,RecipientMemberCardId,RecipientMemberDependentCode,MCO_Contract_Number,Stars_Nonstars_1,Stars_Nonstars_2,Stars_Nonstars_3", "L1,D,A,1,S5884,Stars,,")
+    ytd = weekly_report(spark, weekly_inputs, date(2026, 3, 11), ytd=True).filter("split = 'ALL:All'")
+    assert rows(ytd, "file_date", "leads_received", "leads_available", "submitted") == [
+        (date(2026, 3, 2), 2, 1, 1), (date(2026, 3, 9), 1, 1, 1), (date(2026, 3, 11), 1, None, None)
+    ]
 
 
 def test_nothing_found(spark, tmp_path):
@@ -217,6 +280,6 @@ def test_dates_out_of_range_are_never_opened(spark, rows, tmp_path):
     put(tmp_path / "Drop_20260101.csv", "H,leadid", "D,a")
     put(tmp_path / "Drop_20250101.csv", "other,header", "x,y")
     found = fs.read_dated(
-        spark, [str(tmp_path)], DROP, date(2026, 1, 1), columns=["H", "leadid"], skip_unreadable=False
+        spark, [str(tmp_path)], DROP, date(2026, 1, 1), columns=["H", "leadid"]
     )
     assert rows(found, "leadid") == [("a",)]
