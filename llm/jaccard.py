@@ -21,6 +21,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -29,8 +30,9 @@ from llm.shared import shared_path, stored
 from llm.shingles import arrow_bytes, mixed, shingle_sets
 
 PERCENT = 80
-BLOCK_SHINGLES = 1_500_000
-_FLUSH = 2_000_000
+BLOCK_SHINGLES = 1_000_000
+_FLUSH = 1_000_000
+_SLICE = 1_500_000
 _META, _ENTRY, _EDGE = 0, 1, 2
 _SIGNED = "kind int, doc_id long, text_key long, n long, f1 long, f2 long, part int, entries binary, nodes binary"
 _ARROW = pa.schema(
@@ -171,18 +173,17 @@ def _signer(parts: int, percent: int):
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         entries, nodes, held, seen = [], [], 0, set()
-        for batch in batches:
+        for batch in _slices(batches):
             values, offsets = shingle_sets(*arrow_bytes(batch.column("text")))
             n = np.diff(offsets)
             total = np.zeros((2, len(n)), np.uint64)
+            some = n > 0
             if len(values):
-                some = n > 0
                 for k in (0, 1):
                     total[k][some] = np.add.reduceat(mixed(values, 20 + k), offsets[:-1][some])
             prints = mixed(total + n.astype(np.uint64), 22).view(np.int64)
-            prints[:, n == 0] = 0
-            empty = n == 0
-            f1, f2 = (pa.array(p, pa.int64(), mask=empty) for p in prints)
+            prints[:, ~some] = 0
+            f1, f2 = (pa.array(p, pa.int64(), mask=~some) for p in prints)
             yield _batch(_META, len(n), doc_id=batch.column("doc_id"), text_key=batch.column("text_key"), n=n, f1=f1, f2=f2)
             fresh = np.zeros(len(n), bool)
             for i, f in enumerate(prints[0].tolist()):
@@ -198,10 +199,24 @@ def _signer(parts: int, percent: int):
                 yield from out(entries, nodes)
                 entries, nodes, held, seen = [], [], 0, set()
         yield from out(entries, nodes)
+        entries, nodes = [], []
+        pa.default_memory_pool().release_unused()
 
     return task
 
 
+def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The batches again in parts of about _SLICE bytes of text, a text at least: work arrays are many times its size."""
+    for batch in batches:
+        ends = np.cumsum(pc.fill_null(pc.binary_length(batch.column("text")), 0).to_numpy(zero_copy_only=False))
+        first = 0
+        while first < batch.num_rows:
+            done = int(ends[first - 1]) if first else 0
+            last = max(first + 1, int(np.searchsorted(ends, done + _SLICE, "right")))
+            yield batch.slice(first, last - first)
+            first = last
+
+
 def _part_edges(table: pa.Table) -> pa.Table:
     entries = np.concatenate([np.frombuffer(x, np.uint64) for x in table.column("entries").to_pylist()])
     nodes = np.concatenate([np.frombuffer(x, np.int64) for x in table.column("nodes").to_pylist()])
