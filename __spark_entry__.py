@@ -97,6 +97,13 @@ def never_answered(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
+def never_answered_clean_first(spark: SparkSession, d: str) -> DataFrame:
+    log = _calls(spark, d)
+    return never_answered_report(
+        _year(log, 2026), NOW_OUT, NOW_IN, _year(log, 2025), THEN_OUT, THEN_IN, never_answered_only=True, clean_first=True
+    )
+
+
 def never_answered_current(spark: SparkSession, d: str) -> DataFrame:
     return never_answered_report(_year(_calls(spark, d), 2026), NOW_OUT, NOW_IN)
 
@@ -229,6 +236,30 @@ def weekly_result_summary(spark: SparkSession, d: str) -> DataFrame:
     return outcomes.weekly_result_summary(_cases(spark, d), weekly_distinct_totals(spark, d))
 
 
+def decline_reason_long(spark: SparkSession, d: str) -> DataFrame:
+    return outcomes.decline_reason_long(_cases(spark, d))
+
+
+def submission_result_long(spark: SparkSession, d: str) -> DataFrame:
+    return outcomes.submission_result_long(_cases(spark, d))
+
+
+def total_and_shares(spark: SparkSession, d: str) -> DataFrame:
+    return outcomes.add_total_and_shares(decline_reason_pivot(spark, d).select("week", *REASONS), skip=["week"])
+
+
+def outcome_counts_outer(spark: SparkSession, d: str) -> DataFrame:
+    rows, flags = bind(spark, d, "call_disposition"), funnel.status_flags()
+    frames = [leads.counts_by_file_date(rows.filter(flags[n]), {n: flags[n]}) for n in ("submitted", "refill_request", "on_own")]
+    return leads.outer_fold(frames, ["file_date"])
+
+
+def area_code_members(spark: SparkSession, d: str) -> DataFrame:
+    numbers = bind(spark, d, "raw_numbers")
+    codes = numbers.filter(F.col("l_linenumber").isin(2, 5)).select(fx.area_code(F.col("phone")).alias("area_code"))
+    return leads.area_code_members(numbers, codes)
+
+
 def decline_reason_pivot(spark: SparkSession, d: str) -> DataFrame:
     return outcomes.decline_reason_pivot(_cases(spark, d), REASONS)
 
@@ -249,6 +280,14 @@ def agent_thresholds(spark: SparkSession, d: str) -> DataFrame:
     return agents.thresholds(agent_summary(spark, d), MIN_COMPLETED, ACCEPTED_THRESHOLD)
 
 
+def agent_report_daily(spark: SparkSession, d: str) -> DataFrame:
+    return agents.agent_report(_cases(spark, d), CASE_DAY, "daily", 1, ACCEPTED_THRESHOLD)
+
+
+def agent_report_weekly(spark: SparkSession, d: str) -> DataFrame:
+    return agents.agent_report(_cases(spark, d), CASE_DAY, "weekly", 1, ACCEPTED_THRESHOLD)
+
+
 def agent_report_monthly(spark: SparkSession, d: str) -> DataFrame:
     return agents.agent_report(_cases(spark, d), CASE_DAY, "monthly", 2, ACCEPTED_THRESHOLD)
 
@@ -269,6 +308,10 @@ def request_weekly_summary(spark: SparkSession, d: str) -> DataFrame:
     return requests.request_weekly_summary(bind(spark, d, "request_report"), REQUESTS_SINCE, BOT)
 
 
+def clerk_daily_long(spark: SparkSession, d: str) -> DataFrame:
+    return requests.clerk_daily_long(bind(spark, d, "request_report"), date(1998, 6, 15), BOT)
+
+
 def clerk_daily(spark: SparkSession, d: str) -> DataFrame:
     values = ["Refill Submitted", "Out of Refill - Refill Request", "Left VM", ""]
     return requests.clerk_daily(bind(spark, d, "request_report"), date(1998, 6, 15), BOT, values)
@@ -332,7 +375,7 @@ def threshold_alerts(spark: SparkSession, d: str) -> DataFrame:
 
 
 def completion_summary(spark: SparkSession, d: str) -> DataFrame:
-    return alerts.completion_summary(weekly_result_summary(spark, d), CASE_DAY)
+    return alerts.completion_summary(weekly_result_summary(spark, d), submission_result_pivot(spark, d), CASE_DAY)
 
 
 def entry(spark: SparkSession) -> DataFrame:
@@ -356,6 +399,7 @@ def report_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "outbound_both_periods": outbound_both_periods,
         "inbound_callbacks": inbound_callbacks,
         "never_answered": never_answered,
+        "never_answered_clean_first": never_answered_clean_first,
         "never_answered_current": never_answered_current,
         "never_answered_subset": never_answered_subset,
         "normalize_phone": _numbers(fx.normalize_phone),
@@ -380,16 +424,24 @@ def report_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "reports_of_year": reports_of_year,
         "weekly_distinct_totals": weekly_distinct_totals,
         "weekly_result_summary": weekly_result_summary,
+        "decline_reason_long": decline_reason_long,
+        "submission_result_long": submission_result_long,
+        "total_and_shares": total_and_shares,
+        "outcome_counts_outer": outcome_counts_outer,
+        "area_code_members": area_code_members,
         "decline_reason_pivot": decline_reason_pivot,
         "submission_result_pivot": submission_result_pivot,
         "agent_summary": agent_summary,
         "agent_performance_flags": agent_performance_flags,
         "agent_thresholds": agent_thresholds,
+        "agent_report_daily": agent_report_daily,
+        "agent_report_weekly": agent_report_weekly,
         "agent_report_monthly": agent_report_monthly,
         "under_min_completions": under_min_completions,
         "flagged_agents": flagged_agents,
         "request_summary": request_summary,
         "request_weekly_summary": request_weekly_summary,
+        "clerk_daily_long": clerk_daily_long,
         "clerk_daily": clerk_daily,
         "recent_calls": recent,
         "scrub_dnc": scrub_dnc,

@@ -81,6 +81,10 @@ CLEAN = """CASE WHEN length(local) = 10 THEN local END"""
 BARE = "ltrim(trim(phone), '+')"
 LOCAL = f"CASE WHEN length({BARE}) > 10 AND starts_with({BARE}, '1') THEN substr({BARE}, 2) ELSE {BARE} END"
 
+CLEAN_CALLS = CALLS.replace("calls AS (", "written AS (") + f""", calls AS (SELECT * REPLACE (
+    CASE WHEN length(a) = 10 THEN a END AS number, CASE WHEN length(b) = 10 THEN b END AS inbound) FROM (SELECT *,
+    {LOCAL.replace('phone', 'number')} AS a, {LOCAL.replace('phone', 'inbound')} AS b FROM written))"""
+
 ATTEMPT = f"TRY_CAST(nullif(regexp_extract(contact_attempt_date_time, '{ATTEMPT_TIME_PATTERN}'), '') AS TIMESTAMP)"
 STATUS = ("call_status_1", "call_status_2", "call_status_3")
 
@@ -135,7 +139,7 @@ outcomes AS (SELECT split, file_date, count(*) FILTER (WHERE {any_status(REACHED
     count(*) FILTER (WHERE {any_status("('Out of Refill - Refill Request')")}) AS request,
     count(*) FILTER (WHERE {any_status("('Reminded - Refilled on own')")}) AS own FROM d GROUP BY split, file_date),
 per_lead AS (SELECT split, file_date, leadid, count(*) AS n, max(CASE WHEN rn = 1 AND retry THEN 1 ELSE 0 END) AS first_retry
-    FROM (SELECT *, row_number() OVER (PARTITION BY split, file_date, leadid ORDER BY attempt_ts, retry DESC) AS rn
+    FROM (SELECT *, row_number() OVER (PARTITION BY split, file_date, leadid ORDER BY attempt_ts, retry) AS rn
         FROM d WHERE on_day AND leadid IS NOT NULL) GROUP BY split, file_date, leadid),
 attempted AS (SELECT split, file_date, count(*) AS attempted, count(*) FILTER (WHERE n >= 2) AS second,
     sum(first_retry) AS retry_leads FROM per_lead GROUP BY split, file_date),
@@ -178,6 +182,15 @@ def wide(rows: str, label: str, values: list[str], total: str) -> str:
 
 
 DECLINES = wide("SELECT * FROM case_report WHERE result = 'No'", "reason", REASONS, "total_declined")
+DECLINED_ROWS = "SELECT * FROM case_report WHERE result = 'No'"
+OUTCOMES = {"submitted": "('Refill Submitted')", "refill_request": "('Out of Refill - Refill Request')", "on_own": "('Reminded - Refilled on own')"}
+
+
+def long_form(rows: str, label: str, total: str) -> str:
+    return f"""SELECT week, label, rows, {total}, {pct('rows', total)} AS share FROM (SELECT *, CAST(sum(rows) OVER (PARTITION BY week) AS BIGINT)
+    AS {total} FROM (SELECT {WEEK} AS week, {label} AS label, count(*) AS rows FROM ({rows}) WHERE {label} IS NOT NULL GROUP BY 1, 2))"""
+
+
 ACCEPTED_ROWS = f"""SELECT * REPLACE (CASE WHEN submission IS NULL OR trim(submission) = '' THEN '{labels.NO_WORKFLOW}'
     ELSE submission END AS submission) FROM case_report WHERE result = 'Yes'"""
 SUBMISSIONS = f"""SELECT *, round_even(CAST("{labels.ON_OWN}" + "{labels.NO_WORKFLOW}" AS DOUBLE)
@@ -225,6 +238,8 @@ def with_kept(agents_sql: str, minimum: int) -> str:
     return f"WITH {ctes('case_report')}, kept AS (SELECT * FROM ({agents_sql}) WHERE total_completed >= {minimum})"
 
 
+ON_17_JUNE = "interaction_ts >= DATE '1998-06-17' AND interaction_ts < DATE '1998-06-18'"
+WEEK_OF_17_JUNE = "interaction_ts >= DATE '1998-06-15' AND interaction_ts < DATE '1998-06-22'"
 IN_JUNE = "interaction_ts >= DATE '1998-06-01' AND interaction_ts < DATE '1998-07-01'"
 FLAGGED = ", ".join(
     "(" + ", ".join("'" + x.replace("'", "''") + "'" for x in (flag, *meaning)) + ")"
@@ -268,7 +283,7 @@ report AS (SELECT leadid, CASE WHEN rule = 1 THEN 'Do not call' ELSE 'Max attemp
 
 LABELS = {
     "codes": pairs(labels.DISPOSITION_BY_CODE, "code", "label"),
-    "categories": pairs(labels.category_by_label(), "label", "category"),
+    "categories": pairs(labels.CATEGORY_BY_LABEL, "label", "category"),
     "reporting": pairs(labels.reporting_by_label(), "label", "reporting_label"),
     "presentation": pairs(labels.PRESENTATION_BY_REPORTING, "reporting_label", "presentation_label"),
 }
@@ -327,6 +342,12 @@ ORACLES = {
         coalesce(ib26.inbound_calls, 0) AS inbound_callbacks_2026, coalesce(ib25.inbound_calls, 0) AS inbound_callbacks_2025,
         coalesce(ib26.inbound_calls, 0) + coalesce(ib25.inbound_calls, 0) > 0 AS ever_called_back FROM both_periods b
         LEFT JOIN ib26 ON b.member_phone = ib26.member_phone LEFT JOIN ib25 ON b.member_phone = ib25.member_phone""",
+    "never_answered_clean_first": f"""WITH {CLEAN_CALLS}, {both(NEVER)}, ib26 AS ({CALLBACKS.format(year=2026)}), ib25 AS ({CALLBACKS.format(year=2025)})
+        SELECT b.member_phone, attempts_2026, attempt_days_2026, pickups_2026, pickup_rate_2026, attempts_2025,
+        attempt_days_2025, pickups_2025, pickup_rate_2025, attempts_2026 + attempts_2025 AS total_attempts_combined,
+        coalesce(ib26.inbound_calls, 0) AS inbound_callbacks_2026, coalesce(ib25.inbound_calls, 0) AS inbound_callbacks_2025,
+        coalesce(ib26.inbound_calls, 0) + coalesce(ib25.inbound_calls, 0) > 0 AS ever_called_back FROM both_periods b
+        LEFT JOIN ib26 ON b.member_phone = ib26.member_phone LEFT JOIN ib25 ON b.member_phone = ib25.member_phone""",
     "never_answered_current": f"""WITH {CALLS}, s AS ({stats('2026', 3)}), ib26 AS ({CALLBACKS.format(year=2026)})
         SELECT s.member_phone, total_calls AS attempts_2026, attempt_days AS attempt_days_2026,
         answered_calls AS pickups_2026, {rate()} AS pickup_rate_2026,
@@ -371,7 +392,7 @@ ORACLES = {
     "right_day_contacts": f"""WITH {LEADS}, {ATTEMPTS}, {INDEX}, {RIGHT_DAY} SELECT leadid, idcard_mbr_id, file_date,
         attempt_ts, lead_index_date FROM right_day""",
     "first_disposition": f"""WITH {ATTEMPTS} SELECT leadid, file_date, attempt_ts, call_status_1, call_status_2, call_status_3
-        FROM (SELECT *, row_number() OVER (PARTITION BY leadid, file_date ORDER BY attempt_ts, call_status_1,
+        FROM (SELECT *, row_number() OVER (PARTITION BY leadid, file_date ORDER BY attempt_ts, {any_status(RETRYABLE)}, call_status_1,
         call_status_2 NULLS FIRST, call_status_3 NULLS FIRST) AS rn FROM attempts
         WHERE attempt_ts IS NOT NULL AND leadid IS NOT NULL) WHERE rn = 1""",
     "attempt_counts": f"""WITH {ATTEMPTS} SELECT file_date, count(*) AS attempted_leads,
@@ -394,12 +415,24 @@ ORACLES = {
         WHERE year(file_date) = 1998""",
     "weekly_distinct_totals": f"WITH {ctes('claims')} {WEEK_TOTALS}",
     "weekly_result_summary": f"WITH {ctes('case_report', 'claims')} {RESULT_SUMMARY}",
+    "decline_reason_long": f"WITH {ctes('case_report')} {long_form(DECLINED_ROWS, 'reason', 'total_declined')}",
+    "submission_result_long": f"WITH {ctes('case_report')} {long_form(ACCEPTED_ROWS, 'submission', 'total_accepted')}",
+    "total_and_shares": f"""WITH {ctes('case_report')}, w AS ({wide(DECLINED_ROWS, 'reason', REASONS, 'n')})
+        SELECT week, {", ".join(f'"{r}"' for r in REASONS)}, CAST({" + ".join(f'"{r}"' for r in REASONS)} AS DOUBLE) AS total,
+        {", ".join(pct(f'"{r}"', "(" + " + ".join(f'"{x}"' for x in REASONS) + ")") + f' AS "% {r}"' for r in REASONS)} FROM w""",
+    "outcome_counts_outer": f"""WITH {ctes('call_disposition')} SELECT file_date,
+        {", ".join(f"count(*) FILTER (WHERE {any_status(v)}) AS {n}" for n, v in OUTCOMES.items())} FROM call_disposition
+        GROUP BY file_date HAVING {" OR ".join(f"count(*) FILTER (WHERE {any_status(v)}) > 0" for v in OUTCOMES.values())}""",
+    "area_code_members": f"""WITH {ctes('raw_numbers')} SELECT l_orderkey, l_linenumber, phone FROM raw_numbers
+        WHERE substr(phone, 1, 3) IN (SELECT substr(phone, 1, 3) FROM raw_numbers WHERE l_linenumber IN (2, 5))""",
     "decline_reason_pivot": f"WITH {ctes('case_report')} {DECLINES}",
     "submission_result_pivot": f"WITH {ctes('case_report')} {SUBMISSIONS}",
     "agent_summary": f"WITH {ctes('case_report')} {agents()}",
     "agent_performance_flags": f"{with_kept(agents(), MIN_COMPLETED)} {flags(33.0)}",
     "agent_thresholds": f"""{with_kept(agents(), MIN_COMPLETED)} SELECT DISTINCT {MIN_COMPLETED} AS min_completed, CAST(33.0 AS DOUBLE) AS accepted_rate,
         avg_submitted, avg_does_not_want FROM ({flags(33.0)})""",
+    "agent_report_daily": f"{with_kept(agents(ON_17_JUNE), 1)} {flags(33.0)}",
+    "agent_report_weekly": f"{with_kept(agents(WEEK_OF_17_JUNE), 1)} {flags(33.0)}",
     "agent_report_monthly": f"{with_kept(agents(IN_JUNE), 2)} {flags(33.0)}",
     "under_min_completions": f"""WITH {ctes('case_report')} SELECT *, '06/15/1998 - 06/21/1998' AS week FROM
         ({agents("interaction_ts >= DATE '1998-06-15' AND interaction_ts < DATE '1998-06-22'")}) WHERE total_completed < 100""",
@@ -418,6 +451,12 @@ ORACLES = {
             FROM t CROSS JOIN l LEFT JOIN c ON c.w = t.week AND c.lab = l.label)
         SELECT week, {share_columns('all_')} FROM g UNION ALL SELECT week, {TOTAL_COLUMNS} FROM
         (SELECT week, all_requests AS requests, all_bot AS bot, all_human AS human FROM t)""",
+    "clerk_daily_long": f"""WITH {ctes('request_report')}, c AS (SELECT clerk, trim(coalesce(label, '')) AS label, count(*) AS rows
+        FROM request_report WHERE CAST(completed_ts AS DATE) = DATE '1998-06-15' AND lower(trim(clerk)) <> 'bot@example.com' GROUP BY 1, 2)
+        SELECT clerk, CASE WHEN label = '' THEN '(Blank)' ELSE label END AS label, rows, total_completed, combined_refills,
+        {pct('rows', 'total_completed')} AS share FROM (SELECT *, CAST(sum(rows) OVER w AS BIGINT) AS total_completed,
+        CAST(coalesce(sum(rows) FILTER (WHERE label IN ('Refill Submitted', 'Out of Refill - Refill Request')) OVER w, 0) AS BIGINT)
+        AS combined_refills FROM c WINDOW w AS (PARTITION BY clerk))""",
     "clerk_daily": f"""WITH {ctes('request_report')}, r AS (SELECT clerk, trim(coalesce(label, '')) AS label FROM request_report
         WHERE CAST(completed_ts AS DATE) = DATE '1998-06-15' AND lower(trim(clerk)) <> 'bot@example.com')
         SELECT *, {", ".join(f'{pct(chr(34) + (v or "(Blank)") + chr(34), "total_completed")} AS "% {v or "(Blank)"}"' for v in CLERK_LABELS)}
@@ -449,6 +488,6 @@ ORACLES = {
         FROM {picked('subs', '1998-06-15')} WHERE "{labels.NO_WORKFLOW}" > 2 AND (SELECT count(*) FROM subs) >= 2
         UNION ALL SELECT '% Member Does Not Want Refill', week, "% Member Does Not Want Refill", CAST(5 AS DOUBLE)
         FROM {picked('decl', '1998-06-15')} WHERE "% Member Does Not Want Refill" > 5 AND (SELECT count(*) FROM subs) >= 2""",
-    "completion_summary": f"""WITH {ctes('case_report', 'claims')}, s AS ({RESULT_SUMMARY}) SELECT week, total, pct_completed,
-        pct_not_completed FROM {picked('s', '1998-06-15')}""",
+    "completion_summary": f"""WITH {ctes('case_report', 'claims')}, s AS ({RESULT_SUMMARY}), subs AS ({SUBMISSIONS}) SELECT week, total, pct_completed,
+        pct_not_completed FROM {picked('s', '1998-06-15')} WHERE (SELECT count(*) FROM subs) >= 2""",
 }

@@ -48,7 +48,7 @@ BINDINGS = {
     {_STARS}, {_FILE_DATE} AS file_date FROM lineitem""",
     "scrubbed_lead": f"""SELECT CAST(l_orderkey AS STRING) AS leadid,
     concat({_MEMBER}, CASE WHEN l_linenumber < 7 THEN CAST(l_linenumber AS STRING) ELSE '' END) AS idcard_mbr_id,
-    {_STARS}, {_FILE_DATE} AS file_date FROM lineitem WHERE l_discount < 0.08""",
+    {_STARS}, {_FILE_DATE} AS file_date FROM lineitem""",
     "call_disposition": f"""SELECT CASE WHEN l_quantity >= 3 THEN CAST(l_orderkey AS STRING) END AS leadid,
     CASE WHEN l_linenumber < 7 THEN concat({_MEMBER}, CAST(l_linenumber AS STRING)) END AS idcard_mbr_id,
     concat(CAST(CASE WHEN l_tax < 0.06 THEN {_FILE_DATE} ELSE CAST(l_shipdate AS DATE) END AS STRING),
@@ -69,7 +69,7 @@ BINDINGS = {
     ts, event_type AS skill FROM events""",
     "dnc_list": """SELECT concat('555-', CAST(c_custkey AS STRING), '-', CASE c_mktsegment WHEN 'AUTOMOBILE' THEN '1'
     WHEN 'BUILDING' THEN '2' WHEN 'FURNITURE' THEN '3' WHEN 'HOUSEHOLD' THEN '4' ELSE '5' END) AS dnc_number
-    FROM customer WHERE c_acctbal < 3000""",
+    FROM customer""",
     # Case and request reports: one row per order, customers are the agents.
     "case_report": """SELECT o_orderdate AS interaction_ts,
     CASE WHEN o_totalprice < 450000 THEN 'Completed' ELSE 'Open' END AS disposition,

@@ -110,59 +110,57 @@ DISPOSITION_BY_CODE = {
     98: "Invalid Caller ID",
 }
 
-# FIXED VALUES: labels per disposition category.
-LABELS_BY_CATEGORY = {
-    "Voicemail / Answering Machine": [
-        "Agent Override Answering Machine - No Message",
-        "Agent Override Answering Machine - System Left Message",
-        "Answering Machine",
-        "Answering Machine Left Message",
-        "Answering Machine Left Message Attempts Max",
-        "Answering Machine Left Message Partial",
-        "Live Person Left Message",
-        "Live Person Left Message Attempts Max",
-        "Live Person Left Message Partial",
-        "Retry — Answering Machine",
-        "Final — Answering Machine",
-        "Proactive Identified - Answering Machine",
-        "Proactive Identified - Answering Machine Left Message Long",
-    ],
-    "Interrupted Call": ["Called Party Hang Up", "Force Agent Disconnect"],
-    "Fax Machine": ["Fax Machine", "Fax", "Proactive Identified - Fax", "Agent Override Fax Machine"],
-    "Error / Failure": [
-        "Error",
-        "Number Changed",
-        "Disconnect",
-        "Network Busy",
-        "Call Takeover",
-        "Disposition Timeout",
-        "No Disposition",
-        "Forced Remove Call",
-        "System Failure",
-        "No Ports",
-        "Bad Number",
-        "ISDN Cause Code 18",
-        "ISDN Cause Code 21",
-        "ISDN Cause Code 102",
-        "SysUnclassified",
-        "SMS Failure",
-        "SMS Failure Message too Long",
-        "SMS Failure Invalid Transport Code",
-        "Email Failure",
-        "SMS Final - Record",
-        "Agent Session Timed Out",
-        "Invalid Caller ID",
-        "Proactive Identified - Bad Number",
-    ],
-    "Suppressed": [
-        "Manual Suppression",
-        "Webservice Suppression",
-        "IVR Suppression",
-        "Script Action Suppression",
-        "Bulk Upload Suppression",
-        "Script Action 1",
-        "Script Action 2",
-    ],
+# FIXED VALUES: disposition category of each label.
+CATEGORY_BY_LABEL = {
+    "Agent Override Answering Machine - No Message": "Voicemail / Answering Machine",
+    "Agent Override Answering Machine - System Left Message": "Voicemail / Answering Machine",
+    "Answering Machine": "Voicemail / Answering Machine",
+    "Answering Machine Left Message": "Voicemail / Answering Machine",
+    "Answering Machine Left Message Attempts Max": "Voicemail / Answering Machine",
+    "Answering Machine Left Message Partial": "Voicemail / Answering Machine",
+    "Live Person Left Message": "Voicemail / Answering Machine",
+    "Live Person Left Message Attempts Max": "Voicemail / Answering Machine",
+    "Live Person Left Message Partial": "Voicemail / Answering Machine",
+    "Retry — Answering Machine": "Voicemail / Answering Machine",
+    "Final — Answering Machine": "Voicemail / Answering Machine",
+    "Proactive Identified - Answering Machine": "Voicemail / Answering Machine",
+    "Proactive Identified - Answering Machine Left Message Long": "Voicemail / Answering Machine",
+    "Called Party Hang Up": "Interrupted Call",
+    "Force Agent Disconnect": "Interrupted Call",
+    "Fax Machine": "Fax Machine",
+    "Fax": "Fax Machine",
+    "Proactive Identified - Fax": "Fax Machine",
+    "Agent Override Fax Machine": "Fax Machine",
+    "Error": "Error / Failure",
+    "Number Changed": "Error / Failure",
+    "Disconnect": "Error / Failure",
+    "Network Busy": "Error / Failure",
+    "Call Takeover": "Error / Failure",
+    "Disposition Timeout": "Error / Failure",
+    "No Disposition": "Error / Failure",
+    "Forced Remove Call": "Error / Failure",
+    "System Failure": "Error / Failure",
+    "No Ports": "Error / Failure",
+    "Bad Number": "Error / Failure",
+    "ISDN Cause Code 18": "Error / Failure",
+    "ISDN Cause Code 21": "Error / Failure",
+    "ISDN Cause Code 102": "Error / Failure",
+    "SysUnclassified": "Error / Failure",
+    "SMS Failure": "Error / Failure",
+    "SMS Failure Message too Long": "Error / Failure",
+    "SMS Failure Invalid Transport Code": "Error / Failure",
+    "Email Failure": "Error / Failure",
+    "SMS Final - Record": "Error / Failure",
+    "Agent Session Timed Out": "Error / Failure",
+    "Invalid Caller ID": "Error / Failure",
+    "Proactive Identified - Bad Number": "Error / Failure",
+    "Manual Suppression": "Suppressed",
+    "Webservice Suppression": "Suppressed",
+    "IVR Suppression": "Suppressed",
+    "Script Action Suppression": "Suppressed",
+    "Bulk Upload Suppression": "Suppressed",
+    "Script Action 1": "Suppressed",
+    "Script Action 2": "Suppressed",
 }
 
 # FIXED VALUES: labels that mean a person was on the line.
@@ -399,14 +397,9 @@ EVERYTHING = ("ALL", "All")
 NOT_DIALED_CATEGORIES = ["Error / Failure", "Suppressed"]
 
 
-def category_by_label() -> dict[str, str]:
-    return {label: category for category, labels in LABELS_BY_CATEGORY.items() for label in labels}
-
-
 def not_dialed_labels() -> list[str]:
     """System labels whose category says that no call went out."""
-    category = category_by_label()
-    return [label for label in DISPOSITION_BY_CODE.values() if category.get(label) in NOT_DIALED_CATEGORIES]
+    return [label for label in DISPOSITION_BY_CODE.values() if CATEGORY_BY_LABEL.get(label) in NOT_DIALED_CATEGORIES]
 
 
 def reporting_by_label(review_label: str = REVIEW) -> dict[str, str]:

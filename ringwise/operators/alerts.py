@@ -156,10 +156,18 @@ def threshold_alerts(
     return reduce(DataFrame.unionByName, alerts)
 
 
-def completion_summary(results: DataFrame, as_of: date) -> DataFrame:
-    """Total and completion shares of the current week."""
+def completion_summary(
+    results: DataFrame, submissions: DataFrame, as_of: date, metrics: tuple[Metric, ...] = WEEKLY_METRICS
+) -> DataFrame:
+    """Total and completion shares of the current week.
+
+    Like the other alerts, only once there are two weeks and one metric to compare.
+    """
     current = results.agg(week_row(results, as_of, "total", "pct_completed", "pct_not_completed").alias("curr"))
-    return current.filter(F.col("curr").isNotNull()).select("curr.*")
+    comparable = F.lit(False)
+    if any(m.column in submissions.columns for m in metrics):
+        comparable = submissions.agg(F.count(F.lit(1)) >= 2).scalar()
+    return current.filter(F.col("curr").isNotNull() & comparable).select("curr.*")
 
 
 def flag_frame(spark: SparkSession) -> DataFrame:

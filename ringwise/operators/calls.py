@@ -182,8 +182,8 @@ def inbound_callbacks(
     """Inbound calls per number, optionally only for given numbers.
 
     ``numbers`` is a frame with ``member_phone`` or a short list; None or an empty list
-    keeps all. Counts come first, so the semi join meets one row per number; Spark moves
-    it below the aggregate by itself when the number list is small enough to broadcast.
+    keeps all. The semi join comes first, so calls of other numbers are neither counted nor
+    shuffled for the count; AQE splits a number that fills too large a partition of it.
     """
     scoped = calls_in_scope(calls, window, rules, drop_unresolved=False).withColumn(
         "member_phone", F.col("inbound_number")
@@ -192,20 +192,21 @@ def inbound_callbacks(
         if numbers:
             scoped = scoped.filter(F.col("member_phone").isin(list(numbers)))
         numbers = None
-    counts = scoped.groupBy("member_phone").agg(F.count(F.lit(1)).alias("inbound_calls"))
-    return counts if numbers is None else counts.join(numbers.select("member_phone"), "member_phone", "left_semi")
+    if numbers is not None:
+        scoped = scoped.select("member_phone").join(numbers.select("member_phone"), "member_phone", "left_semi")
+    return scoped.groupBy("member_phone").agg(F.count(F.lit(1)).alias("inbound_calls"))
 
 
 def never_answered_destinations(calls: DataFrame, numbers: DataFrame, rules: CallRules = CallRules()) -> DataFrame:
     """Those of the given ``destination`` numbers that no call in the log ever reached."""
     return (
-        calls.groupBy("destination")
+        calls.join(numbers.select("destination"), "destination", "left_semi")
+        .groupBy("destination")
         .agg(
             F.count_if(rules.is_dialed()).alias("total_calls"),
             F.count_if(rules.is_answered()).alias("answered_calls"),
         )
         .filter(F.col("answered_calls") == 0)
-        .join(numbers.select("destination"), "destination", "left_semi")
     )
 
 

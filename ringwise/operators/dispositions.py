@@ -16,7 +16,7 @@ def disposition_rollup(rows: DataFrame, review_label: str = labels.REVIEW) -> Da
     """
     spark = rows.sparkSession
     code = labels.lookup_frame(spark, labels.DISPOSITION_BY_CODE, "code int, label string")
-    category = labels.lookup_frame(spark, labels.category_by_label(), "label string, category string")
+    category = labels.lookup_frame(spark, labels.CATEGORY_BY_LABEL, "label string, category string")
     reporting = labels.lookup_frame(
         spark, labels.reporting_by_label(review_label), "label string, reporting_label string"
     )

@@ -111,21 +111,22 @@ def contact_counts(
 
     Attempts need the call to fall on the lead's contact date; reached and outcome
     counts take every row. A lead's first call decides whether a second one is allowed;
-    of calls at the very same time a retryable one counts as first, which lets time of
-    day and flag travel as one sortable long.
+    of calls at the very same time a final one counts as first, as in ``first_disposition``,
+    which lets time of day and flag travel as one sortable long. Hot keys of both joins are
+    counted on the folded rows, whose shuffle is read again for it.
     """
     flags = status_flags()
     attempt = F.col("attempt_ts")
     millis = (
         (F.hour(attempt) * 60 + F.minute(attempt)) * 60000 + F.extract(F.lit("SECOND"), attempt) * 1000
     ).cast("long")
-    final = F.when(any_of(cols(STATUS_COLUMNS), labels.RETRYABLE), 0).otherwise(1)
+    retryable = F.when(any_of(cols(STATUS_COLUMNS), labels.RETRYABLE), 1).otherwise(0)
     rows = dispositions.select(
         "file_date",
         "idcard_mbr_id",
         "leadid",
         F.to_date(attempt).alias("attempt_date"),
-        (millis * 2 + final).alias("first_call"),
+        (millis * 2 + retryable).alias("first_call"),
         *[flag.alias(name) for name, flag in flags.items()],
     )
     folded = rows.groupBy("file_date", "idcard_mbr_id", "leadid", "attempt_date").agg(
@@ -139,15 +140,12 @@ def contact_counts(
         ["idcard_mbr_id"],
         "inner",
         null_safe=True,
-        counted=dispositions.select("idcard_mbr_id"),
+        counted=folded.select("idcard_mbr_id"),
         rows_per_slice=rows_per_slice,
     )
-    # A left join sends all null leads to one task; they match nothing, so spread them by hand.
-    salted = in_member.withColumn(
-        "_null_salt", F.when(F.col("leadid").isNull(), F.xxhash64("idcard_mbr_id", "file_date", "attempt_date"))
-        .otherwise(F.lit(0).cast("long"))
+    dated = spread_join(
+        in_member, index_dates, ["leadid"], "left", counted=folded.select("leadid"), rows_per_slice=rows_per_slice
     )
-    dated = salted.join(index_dates.withColumn("_null_salt", F.lit(0).cast("long")), ["leadid", "_null_salt"], "left")
 
     n = len(splits.names)
     on_day = [either(F.col("attempt_date") == F.col(f"index_{i}")) for i in range(n)]
@@ -167,7 +165,7 @@ def contact_counts(
     return per_lead.groupBy("split", "file_date").agg(
         F.count_if(known & (F.col("day_calls") >= 1)).alias("attempted_leads"),
         F.count_if(known & (F.col("day_calls") >= 2)).alias("second_attempts"),
-        F.count_if(known & (F.col("day_first") % 2 == 0)).alias("available_for_second"),
+        F.count_if(known & (F.col("day_first") % 2 == 1)).alias("available_for_second"),
         F.sum("reached").alias("reached_leads"),
         *[F.sum(name).alias(name) for name in ("submitted", "refill_request", "on_own")],
     )

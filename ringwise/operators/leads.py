@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .. import labels
-from ..functions import any_equals, area_code, either, member_key
+from ..functions import any_equals, any_of, area_code, either, member_key
 from .skew import ROWS_PER_SLICE, distinct_keys, spread_join
 
 STAR_COLUMNS = ("stars_1", "stars_2", "stars_3")
@@ -109,10 +109,6 @@ def contract_star_splits(leads: DataFrame, splits: Splits) -> DataFrame:
     return leads.withColumn("split", split).filter(F.col("split").isNotNull())
 
 
-def with_star(df: DataFrame, star: str, stars: Sequence[str] = STAR_COLUMNS) -> DataFrame:
-    return df.filter(any_equals(cols(stars), star))
-
-
 def member_semi_join(
     rows: DataFrame,
     members: DataFrame,
@@ -138,13 +134,19 @@ def right_day_contacts(
     return dated.filter(F.to_date("attempt_ts") == F.col("lead_index_date"))
 
 
-def first_disposition(attempts: DataFrame, order: Sequence[str | Column] | None = None) -> DataFrame:
-    """First attempt per lead and file date by time; ties go by ``order`` (default: all columns).
+def first_disposition(
+    attempts: DataFrame, order: Sequence[str | Column] | None = None, statuses: Sequence[str] = STATUS_COLUMNS
+) -> DataFrame:
+    """First attempt per lead and file date by time.
 
-    Attempts without a time or lead cannot be first.
+    Of attempts at the very same time a final one goes before a retryable one, as in the
+    funnel; further ties go by ``order`` (default: all columns). Attempts without a time or
+    lead cannot be first.
     """
     usable = attempts.filter(F.col("attempt_ts").isNotNull() & F.col("leadid").isNotNull())
-    return keep_first(usable, ["leadid", "file_date"], ["attempt_ts", *(order or attempts.columns)])
+    known = [name for name in statuses if name in attempts.columns]
+    retryable = any_of(cols(known), labels.RETRYABLE) if known else F.lit(False)
+    return keep_first(usable, ["leadid", "file_date"], ["attempt_ts", retryable, *(order or attempts.columns)])
 
 
 def attempt_counts(attempts: DataFrame) -> DataFrame:
@@ -165,10 +167,6 @@ def counts_by_file_date(rows: DataFrame, flags: dict[str, Column], keys: Sequenc
     return rows.groupBy(*keys).agg(*[F.count_if(flag).alias(name) for name, flag in flags.items()])
 
 
-def rows_by_file_date(rows: DataFrame, name: str = "rows", keys: Sequence[str] = ("file_date",)) -> DataFrame:
-    return rows.groupBy(*keys).agg(F.count(F.lit(1)).alias(name))
-
-
 def outer_fold(frames: Sequence[DataFrame], keys: Sequence[str]) -> DataFrame:
     """Full outer join of small per-date frames, missing counts as 0."""
     result = frames[0]

@@ -17,7 +17,6 @@ from ..functions import blank_to_default, col, percent, round_np, safe_ratio, we
 
 ACCEPTED, DECLINED = "Yes", "No"
 RATIO = "follow_up_ratio"
-MAX_LABELS = 1000
 
 
 def with_week(cases: DataFrame, ts: str = "interaction_ts") -> DataFrame:
@@ -70,15 +69,14 @@ def label_counts(rows: DataFrame, label: str, keys: Sequence[str] = ("week",)) -
     )
 
 
-def known_labels(rows: DataFrame, label: str) -> list[str]:
-    """Sorted distinct labels, which become column names. Runs one small job.
+def label_shares(rows: DataFrame, label: str, total: str, key: str = "week") -> DataFrame:
+    """Long form with the total of all labelled rows per key and each label's share of it.
 
-    More labels than a frame can have as columns are an error, not a cut: use ``label_counts``.
+    The total is summed from the counts per label, so the rows are shuffled once.
     """
-    found = rows.select(label).filter(F.col(label).isNotNull()).distinct().limit(MAX_LABELS + 1).collect()
-    if len(found) > MAX_LABELS:
-        raise ValueError(f"more than {MAX_LABELS} labels in {label!r}; keep them in long form")
-    return sorted(row[0] for row in found)
+    counts = label_counts(rows, label, (key,))
+    totals = counts.groupBy(key).agg(F.sum("rows").alias(total))
+    return counts.join(totals, key).withColumn("share", percent(F.col("rows"), F.col(total))).orderBy(key, "label")
 
 
 def pivot_counts(rows: DataFrame, label: str, values: Sequence[str], total: str) -> DataFrame:
@@ -110,30 +108,38 @@ def add_total_and_shares(wide: DataFrame, skip: Sequence[str] = (), total: str =
     )
 
 
-def decline_reason_pivot(cases: DataFrame, values: Sequence[str] | None = None) -> DataFrame:
-    """Declined cases per week and reason, with total and shares."""
-    declined = with_week(cases).filter(F.col("result") == DECLINED)
-    values = known_labels(declined, "reason") if values is None else list(values)
-    return with_shares(pivot_counts(declined, "reason", values, "total_declined"), values, "total_declined").orderBy(
-        "week"
-    )
+def _declined(cases: DataFrame) -> DataFrame:
+    return with_week(cases).filter(F.col("result") == DECLINED)
+
+
+def _accepted(cases: DataFrame, default: str) -> DataFrame:
+    accepted = with_week(cases).filter(F.col("result") == ACCEPTED)
+    return accepted.withColumn("submission", blank_to_default(F.col("submission"), default))
+
+
+def decline_reason_long(cases: DataFrame) -> DataFrame:
+    """Declined cases per week and reason, with the week's total and the share; any number of reasons."""
+    return label_shares(_declined(cases), "reason", "total_declined")
+
 
+def decline_reason_pivot(cases: DataFrame, values: Sequence[str]) -> DataFrame:
+    """Declined cases per week, a column per given reason, with total and shares."""
+    wide = pivot_counts(_declined(cases), "reason", list(values), "total_declined")
+    return with_shares(wide, values, "total_declined").orderBy("week")
 
-def submission_result_pivot(
-    cases: DataFrame, values: Sequence[str] | None = None, default: str = labels.NO_WORKFLOW
-) -> DataFrame:
-    """Accepted cases per week and submission result, with total, shares and follow-up ratio.
+
+def submission_result_long(cases: DataFrame, default: str = labels.NO_WORKFLOW) -> DataFrame:
+    """Accepted cases per week and submission result, with the week's total and the share; any number of results."""
+    return label_shares(_accepted(cases, default), "submission", "total_accepted")
+
+
+def submission_result_pivot(cases: DataFrame, values: Sequence[str], default: str = labels.NO_WORKFLOW) -> DataFrame:
+    """Accepted cases per week, a column per given submission result, with total, shares and follow-up ratio.
 
     The ratio sets cases that still need follow-up (refilled on own, or no result at
     all) against the ones settled in the call; null while nothing was settled.
     """
-    accepted = (
-        with_week(cases)
-        .filter(F.col("result") == ACCEPTED)
-        .withColumn("submission", blank_to_default(F.col("submission"), default))
-    )
-    values = known_labels(accepted, "submission") if values is None else list(values)
-    wide = pivot_counts(accepted, "submission", values, "total_accepted")
+    wide = pivot_counts(_accepted(cases, default), "submission", list(values), "total_accepted")
 
     def count(name: str) -> Column:
         return col(name) if name in values else F.lit(0)

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from .. import labels
 from ..functions import col, day_range, null_to_blank, percent, percent_text, same_account, show_blank, week_start
-from .outcomes import known_labels
+from .outcomes import label_counts
 
 GRAND_TOTAL = "Grand Total"
 BLANK = "(Blank)"
@@ -96,17 +96,28 @@ def request_weekly_summary(requests: DataFrame, start: date, bot: str) -> DataFr
     return _share_rows(detail.unionByName(grand), ["week"])
 
 
-def clerk_daily(requests: DataFrame, day: date, bot: str, values: Sequence[str] | None = None) -> DataFrame:
-    """People's requests of one day per clerk: total, count and share per label, refills combined.
+def _clerk_rows(requests: DataFrame, day: date, bot: str) -> DataFrame:
+    """People's requests of one day. Only the bot comparison ignores case and spaces of the mail."""
+    people = requests.filter(day_range(F.col("completed_ts"), day, day) & ~same_account(F.col("clerk"), bot))
+    return people.select("clerk", null_to_blank(F.col("label")).alias("label"))
 
-    The clerk is the mail as written; only the bot comparison ignores case and spaces.
-    """
-    clerks = (
-        requests.filter(day_range(F.col("completed_ts"), day, day) & ~same_account(F.col("clerk"), bot))
-        .withColumn("label", null_to_blank(F.col("label")))
+
+def clerk_daily_long(requests: DataFrame, day: date, bot: str) -> DataFrame:
+    """Requests of one day per clerk and label, with the clerk's total, share and refills combined; any number of labels."""
+    counts = label_counts(_clerk_rows(requests, day, bot), "label", ("clerk",))
+    combined = F.when(F.col("label").isin(labels.SUBMITTED, labels.OUT_OF_REFILL), F.col("rows")).otherwise(0)
+    totals = counts.groupBy("clerk").agg(F.sum("rows").alias("total_completed"), F.sum(combined).alias(COMBINED))
+    return (
+        counts.join(totals, "clerk")
+        .withColumn("share", percent(F.col("rows"), F.col("total_completed")))
+        .withColumn("label", show_blank(F.col("label"), BLANK))
+        .orderBy(F.desc(COMBINED), "clerk", "label")
     )
-    values = known_labels(clerks, "label") if values is None else list(values)
-    counts = clerks.groupBy("clerk").agg(
+
+
+def clerk_daily(requests: DataFrame, day: date, bot: str, values: Sequence[str]) -> DataFrame:
+    """The same with a column per given label: total, count and share per label, refills combined."""
+    counts = _clerk_rows(requests, day, bot).groupBy("clerk").agg(
         F.count(F.lit(1)).alias("total_completed"),
         *[F.count_if(F.col("label") == v).alias(v or BLANK) for v in values],
         F.count_if(F.col("label").isin(labels.SUBMITTED, labels.OUT_OF_REFILL)).alias(COMBINED),

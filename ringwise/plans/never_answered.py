@@ -64,20 +64,18 @@ def never_answered_report(
             F.col("pickup_rate").alias(f"pickup_rate_{now_label}"),
         )
         volume, combined = f"attempts_{now_label}", []
-        callbacks = [(now_label, inbound_callbacks(current, current_in))]
-        periods = [now_label]
+        inbound = [(now_label, current, current_in)]
     else:
         stats = outbound_both_periods(
             current, prior, current_out, prior_out, min_attempts, never_answered_only, rules, period_labels
         ).withColumn("total_attempts_combined", F.col(f"attempts_{now_label}") + F.col(f"attempts_{before_label}"))
         volume, combined = "total_attempts_combined", ["total_attempts_combined"]
-        callbacks = [
-            (now_label, inbound_callbacks(current, current_in)),
-            (before_label, inbound_callbacks(prior, prior_in)),
-        ]
-        periods = [now_label, before_label]
+        inbound = [(now_label, current, current_in), (before_label, prior, prior_in)]
 
-    result = attach_callbacks(with_clean_number(stats), callbacks)
+    periods = [label for label, _, _ in inbound]
+    stats = with_clean_number(stats)
+    callbacks = [(label, inbound_callbacks(calls, window, stats)) for label, calls, window in inbound]
+    result = attach_callbacks(stats, callbacks)
     measures = [f"{m}_{p}" for p in periods for m in ("attempts", "attempt_days", "pickups", "pickup_rate")]
     return result.select(
         "member_phone", *measures, *combined, *[f"inbound_callbacks_{p}" for p in periods], "ever_called_back"

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import week_label
-from ..operators.requests import clerk_daily, request_summary, request_weekly_summary
+from ..operators.requests import clerk_daily, clerk_daily_long, request_summary, request_weekly_summary
 from ..sources.sinks import with_headers, write_csv
 from .headers import CLERKS, REQUESTS
 
@@ -22,12 +22,15 @@ def request_reports(
     day: date | None = None,
     labels: Sequence[str] | None = None,
 ) -> dict[str, DataFrame]:
-    """The three frames by name; the clerk report is of ``day``, by default the day before the run."""
+    """The three frames by name; the clerk report is of ``day``, by default the day before the run.
+
+    It has a row per clerk and label, or with ``labels`` a row per clerk and a column per given label.
+    """
     day = day or run_date - timedelta(days=1)
     return {
         "summary": request_summary(requests, start, bot),
         "weekly": request_weekly_summary(requests, start, bot),
-        "clerks": clerk_daily(requests, day, bot, labels),
+        "clerks": clerk_daily_long(requests, day, bot) if labels is None else clerk_daily(requests, day, bot, labels),
     }
 
 

@@ -8,6 +8,7 @@ from datetime import date
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .. import labels
 from ..functions import calendar_week, week_label
 from ..operators import agents as ag
 from ..operators import alerts as al
@@ -16,6 +17,9 @@ from ..sources.sinks import with_headers, write_csv, write_table
 from .headers import AGENTS, DECLINES, RESULT_SUMMARY, SUBMISSIONS
 
 
+ALERT_RESULTS = (labels.NO_WORKFLOW, labels.OUT_OF_REFILL, labels.SUBMITTED, labels.ON_OWN)
+
+
 def result_summary(
     cases: DataFrame,
     claims: DataFrame,
@@ -26,12 +30,19 @@ def result_summary(
     min_completed: int = ag.MIN_COMPLETED,
     accepted_threshold: float = ag.ACCEPTED_THRESHOLD,
 ) -> dict[str, DataFrame]:
-    """The reports by name. Label lists left out are looked up, one small job each."""
+    """The reports by name; the two by label have a row per label, or with given lists a column per label.
+
+    The metrics hold, as columns, the labels that alerts are about.
+    """
     in_period = ag.agent_summary(ag.completed_cases(cases, as_of, period))
     return {
         "result_summary": oc.weekly_result_summary(cases, oc.weekly_distinct_totals(claims)),
-        "decline_reasons": oc.decline_reason_pivot(cases, reasons),
-        "submission_results": oc.submission_result_pivot(cases, submissions),
+        "decline_reasons": oc.decline_reason_long(cases) if reasons is None else oc.decline_reason_pivot(cases, reasons),
+        "submission_results": (
+            oc.submission_result_long(cases) if submissions is None else oc.submission_result_pivot(cases, submissions)
+        ),
+        "decline_metrics": oc.decline_reason_pivot(cases, [labels.DOES_NOT_WANT]),
+        "submission_metrics": oc.submission_result_pivot(cases, ALERT_RESULTS),
         "agents": ag.performance_flags(in_period, min_completed, accepted_threshold),
         "agent_thresholds": ag.thresholds(in_period, min_completed, accepted_threshold),
     }
@@ -41,11 +52,11 @@ def result_alerts(
     reports: dict[str, DataFrame], as_of: date, accepted_threshold: float = ag.ACCEPTED_THRESHOLD
 ) -> dict[str, DataFrame]:
     """Alerts over the reports, best given as read back from where they were written."""
-    accepted, declines = reports["submission_results"], reports["decline_reasons"]
+    accepted, declines = reports["submission_metrics"], reports["decline_metrics"]
     return {
         "week_over_week": al.week_over_week(accepted, as_of),
         "threshold_alerts": al.threshold_alerts(accepted, declines, as_of),
-        "completion_summary": al.completion_summary(reports["result_summary"], as_of),
+        "completion_summary": al.completion_summary(reports["result_summary"], accepted, as_of),
         "flagged_agents": al.flagged_agents(reports["agents"], accepted_threshold),
     }
 
@@ -81,7 +92,8 @@ def export_result_summary(
         f"ytd_refill_submission_result_counts_{today}": ("submission_results", SUBMISSIONS),
     }
     for name, (key, headers) in weekly.items():
-        report = with_date_range(stored[key].orderBy("week"))
+        by = ["week", "label"] if "label" in stored[key].columns else ["week"]
+        report = with_date_range(stored[key].orderBy(*by))
         write_csv(with_headers(report, headers), f"{base}/{name}.csv", files=1)
     agents = stored["agents"].drop("avg_submitted", "avg_does_not_want")
     agents = agents.orderBy(F.asc_nulls_last("pct_submitted_of_accepted"), "agent")

@@ -80,6 +80,38 @@ def test_first_disposition(spark, rows):
     assert rows(got, "leadid", "call_status_1") == [("a", None), ("b", "DNC")]
 
 
+@pytest.mark.parametrize("statuses, first, again", [(("Declined", "No Answer"), "Declined", 0), (("No Answer", "No Answer"), "No Answer", 1)])
+def test_funnel_and_first_disposition_break_ties_alike(spark, rows, statuses, first, again):
+    drop = "idcard_mbr_id string, leadid string, contract string, stars_1 string, stars_2 string, stars_3 string, file_date date"
+    leads = spark.createDataFrame([("m", "a", "H1", None, None, None, D1)], drop)
+    at = datetime.combine(D1, datetime.min.time())
+    calls = spark.createDataFrame(
+        [("m", "a", D1, at, s, None, None) for s in (*statuses, "No Answer")[:2]],
+        "idcard_mbr_id string, leadid string, file_date date, attempt_ts timestamp_ntz, call_status_1 string, call_status_2 string, call_status_3 string",
+    )
+    assert rows(le.first_disposition(calls), "call_status_1") == [(first,)]
+    funnel = fu.weekly_funnel(leads, leads, calls, scrub_order=["idcard_mbr_id"])
+    assert rows(funnel, "split", "attempted_leads", "available_for_second") == [("ALL:All", 1, again), ("MAPD:Stars", None, None)][:1]
+
+
+def test_funnel_splits_a_filler_lead_id(spark):
+    n = 900
+    leads = spark.range(n).select(
+        F.concat(F.lit("m"), F.col("id").cast("string")).alias("idcard_mbr_id"),
+        F.when(F.col("id") % 3 == 0, "0").otherwise(F.col("id").cast("string")).alias("leadid"),
+        F.lit("H1").alias("contract"), *[F.lit(None).cast("string").alias(f"stars_{i}") for i in (1, 2, 3)], F.lit(D1).alias("file_date"),
+    )
+    calls = leads.select(
+        "idcard_mbr_id", "leadid", "file_date", F.lit(D1).cast("timestamp_ntz").alias("attempt_ts"), F.lit("No Answer").alias("call_status_1"),
+        *[F.lit(None).cast("string").alias(f"call_status_{i}") for i in (2, 3)],
+    )
+    one = fu.weekly_funnel(leads, leads, calls, scrub_order=["idcard_mbr_id"], rows_per_slice=50)
+    whole = fu.weekly_funnel(leads, leads, calls, scrub_order=["idcard_mbr_id"])
+    assert sorted(map(str, one.collect())) == sorted(map(str, whole.collect())) and one.count() == 1
+    plan = one._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("_key_salt") > 4  # both joins of the calls carry salts
+
+
 def test_attempt_counts(spark, rows):
     df = spark.createDataFrame([(D1, "a"), (D1, "a"), (D1, "b"), (D1, None)], "file_date date, leadid string")
     assert rows(le.attempt_counts(df)) == [(D1, 2, 1)]
@@ -166,7 +198,7 @@ def twin(leads, scrubbed, calls, splits, listed):
                 n["attempted"] = len(tried)
                 n["second"] = sum(len(v) >= 2 for v in tried.values())
                 retry = lambda c: bool(statuses(c) & set(labels.RETRYABLE))
-                n["retry"] = sum(retry(min(v, key=lambda c: (c["attempt_ts"], not retry(c)))) for v in tried.values())
+                n["retry"] = sum(retry(min(v, key=lambda c: (c["attempt_ts"], retry(c)))) for v in tried.values())
                 n["reached"] = sum(bool(statuses(c) & set(labels.REACHED)) for c in on_day)
                 for name, label in (("submitted", labels.SUBMITTED), ("request", labels.OUT_OF_REFILL), ("own", labels.ON_OWN)):
                     n[name] = sum(label in statuses(c) for c in on_day)
@@ -276,6 +308,3 @@ def test_status_flags(spark, rows):
         "file_date date, call_status_1 string, call_status_2 string, call_status_3 string",
     )
     assert rows(le.counts_by_file_date(df, fu.status_flags())) == [(D1, 2, 1, 0, 0)]
-    assert rows(le.rows_by_file_date(df)) == [(D1, 3)]
-    assert rows(df.filter(F.lit(True)).transform(lambda d: le.with_star(d.withColumnsRenamed(
-        {f"call_status_{i}": f"stars_{i}" for i in (1, 2, 3)}), "DNC")), "stars_2") == [("DNC",)]

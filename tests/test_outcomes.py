@@ -50,7 +50,7 @@ def test_decline_pivot_drops_null_reasons_and_keeps_all_in_the_total(spark, rows
     df = cases(
         spark, case(W1, "No", "a"), case(W1, "No", "a"), case(W1, "No", "b.c"), case(W1, "No"), case(W1, "Yes", "a"), case(W2, "No")
     )
-    got = oc.decline_reason_pivot(df)
+    got = oc.decline_reason_pivot(df, ["a", "b.c"])
     assert got.columns == ["week", "a", "b.c", "total_declined", "% a", "% b.c"]
     assert [tuple(r) for r in got.collect()] == [(W1, 2, 1, 3, 66.7, 33.3)]
     assert [tuple(r) for r in oc.decline_reason_pivot(df, ["a"]).collect()] == [(W1, 2, 3, 66.7)]
@@ -65,12 +65,30 @@ def test_submission_pivot(spark):
         sub(W1, None), sub(W1, " "), sub(W1, labels.ON_OWN), sub(W1, labels.SUBMITTED), sub(W1, labels.OUT_OF_REFILL),
         sub(W1, labels.SUBMITTED), sub(W2, labels.ON_OWN), case(W2, "No", submission=labels.SUBMITTED),
     )
-    first, second = oc.submission_result_pivot(df).collect()
+    first, second = oc.submission_result_pivot(df, [labels.NO_WORKFLOW, labels.OUT_OF_REFILL, labels.SUBMITTED, labels.ON_OWN]).collect()
     assert first[labels.NO_WORKFLOW] == 2 and first.total_accepted == 6 and first[oc.RATIO] == 1.0
     assert first[f"% {labels.SUBMITTED}"] == 33.3
     assert second[oc.RATIO] is None and second[labels.SUBMITTED] == 0 and second[f"% {labels.ON_OWN}"] == 100.0
 
 
+def test_long_reports_take_any_number_of_labels(spark, rows):
+    many = [case(W1, "No", f"r{i}") for i in range(1200)]
+    long = oc.decline_reason_long(cases(spark, *many, case(W1, "No", "r0"), case(W1, "No"), case(W2, "No", "x"), case(W2, "Yes", "y")))
+    assert long.count() == 1201
+    got = rows(long.filter("label IN ('r0', 'r1', 'x')"))
+    assert got == [(W1, "r0", 2, 1201, 0.2), (W1, "r1", 1, 1201, 0.1), (W2, "x", 1, 1, 100.0)]
+    accepted = oc.submission_result_long(cases(spark, case(W1, "Yes"), case(W1, "Yes", submission=" "), case(W1, "Yes", submission="z")))
+    assert rows(accepted) == [(W1, labels.NO_WORKFLOW, 2, 3, 66.7), (W1, "z", 1, 3, 33.3)]
+
+
+def test_completion_summary_waits_for_a_second_week(spark, rows):
+    results = spark.createDataFrame([(W1, 5, 60.0, 40.0), (W2, 6, 50.0, 50.0)], "week date, total long, pct_completed double, pct_not_completed double")
+    two = weekly(spark, (W1, 1.0, 1.0, 1.0, 1), (W2, 1.0, 1.0, 1.0, 1))
+    assert rows(al.completion_summary(results, two, W2)) == [(W2, 6, 50.0, 50.0)]
+    assert al.completion_summary(results, two.filter(F.col("week") == W1), W2).count() == 0
+    assert al.completion_summary(results, two.select("week"), W2).count() == 0
+
+
 def test_long_form_and_generic_totals(spark, rows):
     df = oc.with_week(cases(spark, case(W1, "No", "a"), case(W1, "No", "a"), case(W1, "No", "b"), case(W1, "No")))
     assert rows(oc.label_counts(df, "reason")) == [(W1, "a", 2), (W1, "b", 1)]

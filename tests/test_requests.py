@@ -52,18 +52,22 @@ def test_weekly_summary_has_every_label_in_every_week(spark, rows):
 
 
 def test_clerks(spark, rows):
-    got = rq.clerk_daily(requests(spark), date(2026, 3, 3), BOT)
+    got = rq.clerk_daily(requests(spark), date(2026, 3, 3), BOT, ["", O, S])
     assert got.columns == ["clerk", "total_completed", "(Blank)", "% (Blank)", O, f"% {O}", S, f"% {S}", "combined_refills"]
     assert rows(got, ordered=True) == [
         ("ann@example.com", 2, 0, 0.0, 1, 50.0, 1, 50.0, 2),
         ("bob@example.com", 1, 1, 100.0, 0, 0.0, 0, 0.0, 0),
     ]
-    assert rq.clerk_daily(requests(spark), date(2026, 3, 8), BOT).count() == 0
+    assert rq.clerk_daily(requests(spark), date(2026, 3, 8), BOT, []).count() == 0
+    long = rq.clerk_daily_long(requests(spark), date(2026, 3, 3), BOT)
+    assert rows(long, "clerk", "label", "rows", "total_completed", "share", "combined_refills", ordered=True) == [
+        ("ann@example.com", O, 1, 2, 50.0, 2), ("ann@example.com", S, 1, 2, 50.0, 2), ("bob@example.com", "(Blank)", 1, 1, 100.0, 0),
+    ]
 
 
 def test_reports_default_to_yesterday(spark, tmp_path):
     frames = request_reports(requests(spark), date(2026, 3, 4), BOT, START)
-    assert frames["clerks"].count() == 2
+    assert frames["clerks"].select("clerk").distinct().count() == 2 and frames["clerks"].count() == 3
     export_request_reports(frames, str(tmp_path), date(2026, 3, 4))
     weekly = spark.read.option("header", True).csv(f"{tmp_path}/2026-03-04/pharmacy_request_weekly_ai_vs_agent_2026-03-04.csv")
     assert weekly.columns == ["Week", "Row Labels", "Count of dispo", "Total %", "AI", "AI %", "Agent", "Agent %"]
