@@ -363,5 +363,6 @@ def near_duplicates(
 
 def one_of_each(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """The rows of docs whose id is the smallest of its component; rows that repeat an id stay with it."""
-    kept = near_duplicates(docs, doc_id, text).filter("doc_id = component_id").select(F.col("doc_id").alias("_kept")).distinct()
-    return docs.hint("merge").join(kept, docs[doc_id].cast("long") == F.col("_kept"), "left_semi")
+    kept = near_duplicates(docs, doc_id, text).filter("doc_id = component_id").select("component_id").distinct()
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"), F.col(f"`{doc_id}`").cast("long").alias("component_id"))
+    return rows.hint("merge").join(kept, "component_id", "left_semi").select("_row.*")

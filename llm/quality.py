@@ -164,6 +164,6 @@ def judged(measurements: DataFrame, model: VoteModel, threshold: float = 0.5, ru
 
 def good_documents(docs: DataFrame, text: str = "text") -> DataFrame:
     """The rows of docs that the rules keep, with the columns of docs."""
-    model = fit(vote_patterns(measured(docs.select(text), text)))
-    out = judged(measured(docs.select(F.struct(*docs.columns).alias("_row"), F.col(f"`{text}`").alias("_text")), "_text"), model)
+    model = fit(vote_patterns(measured(docs.select(F.col(f"`{text}`").alias("text")))))
+    out = judged(measured(docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"), F.col(f"`{text}`").alias("_text")), "_text"), model)
     return out.filter("kept").select("_row.*")
