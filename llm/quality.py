@@ -166,4 +166,6 @@ def good_documents(docs: DataFrame, text: str = "text") -> DataFrame:
     """The rows of docs that the rules keep, with the columns of docs."""
     model = fit(vote_patterns(measured(docs.select(F.col(f"`{text}`").alias("text")))))
     out = judged(measured(docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"), F.col(f"`{text}`").alias("_text")), "_text"), model)
-    return out.filter("kept").select("_row.*")
+    # a filter would be pushed below the measurements and work them out again for each use in its condition
+    kept = F.when(F.col("kept"), F.array("_row")).otherwise(F.filter(F.array("_row"), lambda r: F.lit(False)))
+    return out.select(F.explode(kept).alias("_row")).select("_row.*")
