@@ -22,14 +22,12 @@ from ringwise.plans.never_answered import never_answered_report  # noqa: E402
 from ringwise.sources.call_log import recent_calls, unify_call_logs  # noqa: E402
 
 try:
-    import llm
+    import corpus_pipeline
+    import llm.queries as llm_queries
 except ModuleNotFoundError as e:
-    if e.name != "llm":
+    if e.name not in ("corpus_pipeline", "llm", "llm.queries"):
         raise
-    llm = None
-else:
-    import corpus_pipeline
-    from llm import queries as llm_queries
+    llm_queries = None
 
 SMOKE_DIR = "/root/testdata/sf0.001"
 
@@ -385,7 +383,7 @@ def entry(spark: SparkSession) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = report_queries()
-    if llm is not None:
+    if llm_queries is not None:
         found |= llm_queries.queries() | {"pipeline": corpus_pipeline.run}
     return found
 
@@ -460,7 +458,7 @@ def report_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 def oracle_sql() -> dict[str, str]:
     found = dict(ORACLES)
-    if llm is not None:
+    if llm_queries is not None:
         found |= llm_queries.oracle_sql()
         if corpus_pipeline.ORACLE_SQL is not None:
             found["pipeline"] = corpus_pipeline.ORACLE_SQL
