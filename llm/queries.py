@@ -65,6 +65,8 @@ def op10_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("_row.doc_id", "_row.source", "block", "slot", "place")
 
 
+TEMPLATE_ROWS = ", ".join(f"('{name}', {bigrams})" for name, bigrams in licenses.prepared())
+
 ORACLES = {
     "op2_exact_dedup": """
         WITH plain AS (
@@ -78,6 +80,20 @@ ORACLES = {
             FROM plain)
         SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, text_sha256 FROM ranked
     """,
+    "op3_warc": r"""
+        WITH paid AS (SELECT page_id, coalesce(html, '') AS html FROM pages),
+        bits AS (
+            SELECT page_id, strlen(html) AS payload_bytes, max(page_id) OVER (PARTITION BY html) AS last,
+                   array_to_string(list_transform(range(1, 41), lambda i: format('{:04b}', strpos('0123456789abcdef', sha1(html)[i]) - 1)), '') AS b
+            FROM paid)
+        SELECT page_id, payload_bytes,
+               array_to_string(list_transform(range(0, 32), lambda g: 'ABCDEFGHIJKLMNOPQRSTUVWXYZ234567'[
+                   1 + 16 * CAST(b[5 * g + 1] AS INT) + 8 * CAST(b[5 * g + 2] AS INT) + 4 * CAST(b[5 * g + 3] AS INT)
+                   + 2 * CAST(b[5 * g + 4] AS INT) + CAST(b[5 * g + 5] AS INT)]), '') AS payload_digest,
+               CASE WHEN page_id < last THEN 'revisit' ELSE 'response' END AS record_type,
+               CASE WHEN page_id < last THEN last END AS refers_to
+        FROM bits
+    """,
     "op4_chat_formatting": r"""
         WITH turns AS (
             SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
@@ -98,6 +114,48 @@ ORACLES = {
                formatted_chars, regexp_full_match(roles, 's?(ua)+') AS valid
         FROM whole
     """,
+    "op7_ngram_jaccard_join": r"""
+        WITH RECURSIVE worded AS (
+            SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                       'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w
+            FROM documents),
+        shingles AS (
+            SELECT DISTINCT doc_id, s FROM (
+                SELECT doc_id, unnest(CASE
+                    WHEN len(w) >= 5 THEN list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))
+                    WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END) AS s
+                FROM worded)),
+        sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+        shared AS (
+            SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS n FROM shingles a JOIN shingles b ON a.s = b.s AND a.doc_id <> b.doc_id
+            GROUP BY a.doc_id, b.doc_id),
+        links AS (
+            SELECT x, y FROM shared h JOIN sizes p ON p.doc_id = x JOIN sizes q ON q.doc_id = y
+            WHERE 100 * h.n >= 80 * (p.n + q.n - h.n)),
+        reached AS (SELECT x, y FROM links UNION SELECT r.x, l.y FROM reached r JOIN links l ON r.y = l.x)
+        SELECT d.doc_id, coalesce(max(s.n), 0) AS n_shingles, least(d.doc_id, min(r.y)) AS component_id
+        FROM documents d LEFT JOIN sizes s ON s.doc_id = d.doc_id LEFT JOIN reached r ON r.x = d.doc_id GROUP BY d.doc_id
+    """,
+    "op9_license_scans": rf"""
+        WITH templates(name, t) AS (VALUES {TEMPLATE_ROWS}),
+        units AS (
+            SELECT DISTINCT doc_id, unnest(list_concat(regexp_split_to_array(text, '\r?\n'),
+                   regexp_split_to_array(text, '\r?\n[\x20\t]*\r?\n'), [text])) AS u
+            FROM documents),
+        worded AS (
+            SELECT doc_id, u, regexp_extract_all(translate(u, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[a-z0-9]+') AS w
+            FROM units),
+        paired AS (
+            SELECT doc_id, u, list_distinct(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) AS b FROM worded
+            WHERE len(w) BETWEEN 2 AND 1000),
+        scored AS (
+            SELECT doc_id, u, name, 2.0 * len(list_intersect(b, t)) / CAST(len(b) + len(t) AS DOUBLE) AS dice
+            FROM paired, templates WHERE len(b) BETWEEN 0.6 * len(t) AND 1.6 * len(t)),
+        best AS (SELECT doc_id, u, max({{'dice': dice, 'name': name}}) AS m FROM scored WHERE dice >= 0.8 GROUP BY doc_id, u),
+        found AS (SELECT doc_id, max(m) AS m, count(*) AS n FROM best GROUP BY doc_id)
+        SELECT d.doc_id, f.m.name AS license, f.m.dice AS dice, coalesce(f.n, 0) AS n_notices
+        FROM documents d LEFT JOIN found f ON f.doc_id = d.doc_id
+    """,
     "op6_url_filters": r"""
         WITH parts AS (
             SELECT page_id, coalesce(translate(regexp_extract(url, '(?s)^.*?://([^/?#]*)([^?#]*)', 1),
