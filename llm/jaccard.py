@@ -26,13 +26,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from llm.graph import components
-from llm.shared import shared_path, stored
+from llm.shared import arrow_batches, shared_path, stored
 from llm.shingles import arrow_bytes, mixed, shingle_sets
 
 PERCENT = 80
 BLOCK_SHINGLES = 1_000_000
 _FLUSH = 1_000_000
 _SLICE = 1_500_000
+TEXT_ROWS = 400
 _META, _ENTRY, _EDGE = 0, 1, 2
 _SIGNED = "kind int, doc_id long, text_key long, n long, f1 long, f2 long, part int, entries binary, nodes binary"
 _ARROW = pa.schema(
@@ -336,7 +337,8 @@ def near_duplicates(
     rows = rows.withColumn("text_key", F.xxhash64("text"))
     parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 2 * docs.rdd.getNumPartitions())
     path = shared_path(spark, "jaccard")
-    rows.mapInArrow(_signer(parts, percent), _SIGNED).write.partitionBy("kind").parquet(path)
+    with arrow_batches(spark, TEXT_ROWS):
+        rows.mapInArrow(_signer(parts, percent), _SIGNED).write.partitionBy("kind").parquet(path)
     signed = spark.read.schema(_SIGNED).parquet(path)
 
     dealt = signed.filter(F.col("kind") == _ENTRY).select("part", "entries", "nodes")
@@ -352,6 +354,8 @@ def near_duplicates(
     members = stored(_grouped(members.select("root", "n", "doc_id", "text_key"), block_shingles), "members")
     texts = rows.hint("merge").join(members, ["doc_id", "text_key"])  # the same plan at every size
     links = texts.groupBy("grp", "low", "high").applyInArrow(_group_links(percent), "a long, b long")
+    with arrow_batches(spark, TEXT_ROWS):
+        links = stored(links, "links")
     linked = components(links)
 
     named = classes.join(linked, F.col("doc_id") == F.col("node"), "left")
