@@ -20,12 +20,14 @@ _MALE = r"Mr|Herr|Señor|Monsieur|Sir|Г-н|Господин"
 _EITHER = r"Dr|Prof"
 _NAME = r"\p{Lu}[\p{L}'’-]{1,40}(?: \p{Lu}[\p{L}'’-]{1,40}){0,2}"
 _DIGIT = r"(?<![0-9A-Za-z])"
+#: A group of digits in a run is no start of a word or mail address.
+_GROUP_END = r"(?![A-Za-z]|[A-Za-z0-9._%+-]{0,64}@)"
 PATTERNS = (
     ("email", r"[A-Za-z0-9][A-Za-z0-9._%+-]{0,63}@[A-Za-z0-9](?:[A-Za-z0-9-]{0,62}\.){1,8}[A-Za-z]{2,24}"),
     ("secret", r"(?<=(?i:password|passwd|token|secret|api_key)\s?[=:]\s?[\x22']?)[A-Za-z0-9+/_.-]{8,512}"),
     ("key", r"(?<![0-9A-Za-z])AKIA[0-9A-Z]{16}(?![0-9A-Za-z])"),
     ("ip", r"(?<![0-9A-Za-z.])(?:(?:25[0-5]|2[0-4][0-9]|1[0-9]{2}|[1-9]?[0-9])\.){3}(?:25[0-5]|2[0-4][0-9]|1[0-9]{2}|[1-9]?[0-9])(?!\.?[0-9A-Za-z])"),
-    ("card", _DIGIT + r"[0-9](?:[ -]?[0-9]){12,18}(?![0-9A-Za-z])"),
+    ("run", _DIGIT + rf"(?=[0-9](?:[ .-]?[0-9]){{12}})[0-9]++{_GROUP_END}(?:[ .-][0-9]++{_GROUP_END})*+"),
     ("ssn", _DIGIT + r"[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9A-Za-z])"),
     ("phone", r"(?<![0-9A-Za-z])(?:\+[0-9]{1,3}[ .-]?)?(?:\([0-9]{3}\)|[0-9]{3})[ .-][0-9]{3}[ .-]?[0-9]{4}(?![0-9A-Za-z])"),
     ("phone", r"(?<![0-9A-Za-z])\+[0-9]{1,3}(?:[ .-]?[0-9]{2,4}){2,4}(?![0-9A-Za-z])"),
@@ -35,6 +37,8 @@ PATTERNS = (
     ),
 )
 ANY = "|".join(f"(?:{pattern})" for _, pattern in PATTERNS)
+_CARD = r"^[0-9](?:[ -]?[0-9]){12,18}$"
+_OWN_CARD = r"^(?:[0-9]{13,19}|[0-9]{4}([ -])[0-9]{4}\1[0-9]{4}\1[0-9]{4}(?:\1[0-9]{3})?|[0-9]{4}([ -])[0-9]{6}\2[0-9]{4,5})$"
 #: Every entity holds one of these, and most texts hold none.
 HINT = rf"[0-9@]|password|(?i:passwd|token|secret|api_key)|\b(?:{_FEMALE}|{_MALE}|{_EITHER})\b"
 
@@ -60,13 +64,68 @@ def _typed(before: Column, entity: Column) -> Column:
     for name, pattern in reversed(PATTERNS):
         if name not in ("female", "male", "name", "secret"):
             fits = entity.rlike(f"^(?:{pattern})$")
-            if name == "card":
-                kind = F.when(fits, F.when(luhn_valid(_digits(entity)), name).otherwise("other")).otherwise(kind)
-            else:
-                kind = F.when(fits, F.lit(name)).otherwise(kind)
+            kind = F.when(fits, F.lit(name)).otherwise(kind)
     return F.when(before.rlike(r"(?i:password|passwd|token|secret|api_key)\s?[=:]\s?[\x22']?$"), "secret").otherwise(kind)
 
 
+def _let(value: Column, body) -> Column:
+    """body applied to a value that is computed once."""
+    return F.transform(F.array(value), body)[0]
+
+
+def _part(lead: Column, entity: Column, kind: Column, tail: Column) -> Column:
+    return F.struct(lead.alias("lead"), entity.alias("entity"), kind.alias("kind"), tail.alias("tail"))
+
+
+def _parts(run: Column) -> Column:
+    """A run of digit groups as its entities, each with the text before it, the last with the text after it.
+
+    From left to right, each group not yet taken begins a card in a usual grouping, an address, a social
+    security or phone number, or else the longest card in any grouping; cards need their check digit. A
+    run that holds none is one part of kind other.
+    """
+    patterns = {name: f"^(?:{pattern})$" for name, pattern in reversed(PATTERNS)}
+
+    def parsed(groups: Column) -> Column:
+        def candidate(i: Column, k: Column) -> Column:
+            def judged(text: Column) -> Column:
+                valid = lambda pattern: text.rlike(pattern) & luhn_valid(_digits(text))
+                apart = ~F.coalesce(F.get(groups, i - 2), F.lit("")).endswith(".") & ~F.get(groups, i + k - 2).endswith(".")
+                of = lambda rank, kind: F.struct(
+                    F.lit(rank).alias("rank"), (-k).alias("less"), F.lit(kind).alias("kind"), text.alias("text")
+                )
+                found = F.when(valid(_OWN_CARD), of(1, "card")).when((k == 4) & text.rlike(patterns["ip"]) & apart, of(2, "ip"))
+                found = found.when((k == 3) & text.rlike(patterns["ssn"]), of(3, "ssn"))
+                return found.when((k <= 3) & text.rlike(patterns["phone"]), of(4, "phone")).when(valid(_CARD), of(5, "card"))
+
+            return _let(F.regexp_replace(F.array_join(F.slice(groups, i, k), ""), "[ .-]$", ""), judged)
+
+        def step(state: Column, i: Column) -> Column:
+            def take(best: Column) -> Column:
+                whole = F.array_join(F.slice(groups, i, -best["less"]), "")
+                part = _part(state["lead"], best["text"], best["kind"], F.lit(""))
+                after = F.substring(whole, F.char_length(best["text"]) + 1, F.lit(1))
+                taken = F.struct((i - best["less"]).alias("next"), after.alias("lead"), F.concat(state["parts"], F.array(part)).alias("parts"))
+                lead = F.concat(state["lead"], F.element_at(groups, i))
+                return F.when(best.isNotNull(), taken).otherwise(F.struct((i + 1).alias("next"), lead.alias("lead"), state["parts"].alias("parts")))
+
+            ks = F.sequence(F.lit(1), F.least(F.lit(19), F.size(groups) - i + 1))
+            best = F.array_min(F.filter(F.transform(ks, lambda k: candidate(i, k)), lambda c: c.isNotNull()))
+            return F.when(i < state["next"], state).otherwise(_let(best, take))
+
+        def finish(state: Column) -> Column:
+            count = F.size(state["parts"])
+            last = lambda p, n: _part(p["lead"], p["entity"], p["kind"], F.when(n == count - 1, state["lead"]).otherwise(""))
+            none = F.array(_part(F.lit(""), run, F.lit("other"), F.lit("")))
+            return F.when(count == 0, none).otherwise(F.transform(state["parts"], last))
+
+        parts = F.array().cast("array<struct<lead:string,entity:string,kind:string,tail:string>>")
+        start = F.struct(F.lit(1).alias("next"), F.lit("").alias("lead"), parts.alias("parts"))
+        return F.aggregate(F.sequence(F.lit(1), F.size(groups)), start, step, finish)
+
+    return _let(F.regexp_extract_all(run, F.lit("[0-9]+[ .-]?"), 0), parsed)
+
+
 def _canonical(kind: Column, entity: Column) -> Column:
     numbers = F.when(kind == "phone", F.right(_digits(entity), F.lit(10))).otherwise(_digits(entity))
     out = F.when(kind.isin("phone", "card", "ssn"), numbers)
@@ -188,7 +247,7 @@ def pseudonymised(docs: DataFrame, secret: str, text: str = "text") -> DataFrame
     """docs with the text rewritten and n_entities (replaced occurrences) added or replaced.
 
     A text without entities, a null or empty one included, stays as it is. Numbers of 13 to 19 digits
-    count only if their check digit fits. Equal texts are rewritten once and equally.
+    count only if their check digit fits; of adjacent numbers each counts. Equal texts are rewritten once and equally.
     """
     own = F.col(f"`{text}`")
     has = F.coalesce(own.rlike(HINT) & own.rlike(ANY), F.lit(False))
@@ -199,22 +258,29 @@ def pseudonymised(docs: DataFrame, secret: str, text: str = "text") -> DataFrame
         before = F.right(F.element_at("_pieces", i + 1), F.lit(40))
         before = F.when(before != "", before).when(i > 0, F.element_at("_found", i)).otherwise("")
         entity = F.element_at("_found", i + 1)
-        return F.struct(i.alias("place"), entity.alias("entity"), _typed(before, entity).alias("kind"))
+        one = lambda kind: F.when(kind == "run", _parts(entity)).otherwise(F.array(_part(F.lit(""), entity, kind, F.lit(""))))
+        return F.struct(i.alias("place"), _let(_typed(before, entity), one).alias("parts"))
 
     found = dirty.groupBy("_key").agg(F.any_value("_text").alias("_text"))
     found = found.withColumns({"_pieces": F.split("_text", ANY, -1), "_found": F.regexp_extract_all("_text", F.lit(ANY), 0)})
     each = F.explode(F.transform(F.sequence(F.lit(0), F.size("_found") - 1), occurrence))
-    found = found.select("_key", each.alias("o")).select("_key", "o.*").withColumn("canonical", _canonical(F.col("kind"), F.col("entity")))
+    found = found.select("_key", each.alias("o")).select("_key", "o.place", F.posexplode("o.parts").alias("sub", "p"))
+    found = found.select("_key", "place", "sub", "p.*").withColumn("canonical", _canonical(F.col("kind"), F.col("entity")))
     found = stored(found, "occurrences")
     named = assigned(found.filter("kind <> 'other'").select("kind", "canonical").distinct(), secret)
     new = F.when(F.col("surrogate").isNull(), F.col("entity")).otherwise(_rendered(F.col("kind"), F.col("entity"), F.col("surrogate")))
-    rewritten = found.join(named, ["kind", "canonical"], "left").select("_key", "place", new.alias("new"), F.col("surrogate").isNotNull().alias("hit"))
+    new = F.concat("lead", new, "tail").alias("new")
+    rewritten = found.join(named, ["kind", "canonical"], "left").select("_key", "place", "sub", new, F.col("surrogate").isNotNull().alias("hit"))
     rewritten = rewritten.groupBy("_key").agg(
-        F.sort_array(F.collect_list(F.struct("place", "new"))).alias("_new"), F.count_if("hit").alias("_hits")
+        F.sort_array(F.collect_list(F.struct("place", "sub", "new"))).alias("_new"), F.count_if("hit").alias("_hits")
     )
-    pieces = F.split("_text", ANY, -1)
     out = dirty.join(rewritten, "_key")
-    joined = F.array_join(F.zip_with(pieces, F.col("_new"), lambda p, n: F.concat(p, F.coalesce(n["new"], F.lit("")))), "")
+
+    def filled(pieces: Column) -> Column:
+        own = lambda n: F.concat(F.when(n["sub"] == 0, F.element_at(pieces, n["place"] + 1)).otherwise(""), n["new"])
+        return F.concat(F.array_join(F.transform("_new", own), ""), F.element_at(pieces, -1))
+
+    joined = _let(F.split("_text", ANY, -1), filled)
 
     def result(rows: DataFrame, new_text: Column, hits: Column) -> DataFrame:
         columns = [new_text.alias(c) if c == text else F.col(f"_row.`{c}`") for c in docs.columns if c != "n_entities"]

@@ -83,3 +83,20 @@ def test_copies_and_clashing_columns(docs, rows):
     assert sorted(found.columns) == sorted(frame.columns)
     assert len({r.text for r in found.filter("doc_id < 99").collect()}) == 1
     assert rows(found.filter("doc_id IN (0, 99)"), "doc_id", "n_entities", "kind") == [(0, 1, "k"), (99, 0, "k")]
+
+
+def test_adjacent_numbers_are_all_replaced(docs):
+    texts = [
+        "4111 1111 1111 1111 12/25", "4111111111111111 123", "123-45-6789 123-45-6780", "386-555-3733 386-555-3734",
+        "386-555-3733 386.555.3734", "123-45-6789 4111 1111 1111 1111 386-555-3733", "0000 4111 1111 1111 1111 end",
+        "386-555-3733 10.2.3.4, 4111 1111 1111 1111 12x", "386-555-3733 3865@a.example.com", "3782 822463 10005 1234",
+        "40 418949 74608 795", "1 2 3 4 5 6 7 8 9 0 1 2 3 4 5 7",
+    ]
+    got, counts = rewritten(docs, *texts)
+    assert counts == [1, 1, 2, 2, 2, 3, 1, 3, 2, 1, 1, 0]
+    for old, new in zip(texts[:-1], got):
+        assert re.sub("[0-9]", "0", old.split("@")[0]) == re.sub("[0-9]", "0", new.split("@")[0]) or "10.2.3.4" in old or "@" in old
+    for n, gone in enumerate(["4111", "4111111111111111", "123-45", "386-555", "386", "6789 4111 1111", "4111 1111", "10.2.3.4", "3865@", "822463", "418949"]):
+        assert gone not in got[n]
+    assert got[0].endswith("/25") and got[1].endswith(" 123") and got[6].startswith("0000 ") and got[7].endswith(" 12x") and got[9].endswith(" 1234")
+    assert got[-1] == texts[-1]
