@@ -40,7 +40,7 @@ ANY = "|".join(f"(?:{pattern})" for _, pattern in PATTERNS)
 _CARD = r"^[0-9](?:[ -]?[0-9]){12,18}$"
 _OWN_CARD = r"^(?:[0-9]{13,19}|[0-9]{4}([ -])[0-9]{4}\1[0-9]{4}\1[0-9]{4}(?:\1[0-9]{3})?|[0-9]{4}([ -])[0-9]{6}\2[0-9]{4,5})$"
 #: Every entity holds one of these, and most texts hold none.
-HINT = rf"[0-9@]|password|(?i:passwd|token|secret|api_key)|\b(?:{_FEMALE}|{_MALE}|{_EITHER})\b"
+HINT = rf"[0-9@]|(?i:password|passwd|token|secret|api_key)|\b(?:{_FEMALE}|{_MALE}|{_EITHER})\b"
 
 
 def _digits(text: Column) -> Column:

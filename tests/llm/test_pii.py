@@ -100,3 +100,11 @@ def test_adjacent_numbers_are_all_replaced(docs):
         assert gone not in got[n]
     assert got[0].endswith("/25") and got[1].endswith(" 123") and got[6].startswith("0000 ") and got[7].endswith(" 12x") and got[9].endswith(" 1234")
     assert got[-1] == texts[-1]
+
+
+def test_no_entity_lacks_a_hint(spark, docs):
+    texts = ["Password: correcthorse", "PASSWORD=correcthorse", "pAssWord = 'correcthorse'", "Api_Key=correcthorse", "TOKEN: correcthorse", "Mr Bob", "Г-жа Анна", "a@b.com", "10.2.3.4"]
+    frame = docs(list(enumerate(texts)))
+    assert frame.filter(F.col("text").rlike(pii.ANY) & F.col("text").rlike(pii.HINT)).count() == len(texts)
+    got, counts = rewritten(docs, *texts[:3])
+    assert counts == [1, 1, 1] and not any("correcthorse" in t for t in got)
