@@ -24,7 +24,7 @@ _DIGIT = r"(?<![0-9A-Za-z])"
 _GROUP_END = r"(?![A-Za-z]|[A-Za-z0-9._%+-]{0,64}@)"
 PATTERNS = (
     ("email", r"[A-Za-z0-9][A-Za-z0-9._%+-]{0,63}@[A-Za-z0-9](?:[A-Za-z0-9-]{0,62}\.){1,8}[A-Za-z]{2,24}"),
-    ("secret", r"(?<=(?i:password|passwd|token|secret|api_key)\s?[=:]\s?[\x22']?)[A-Za-z0-9+/_.-]{8,512}"),
+    ("secret", r"(?<=(?i:password|passwd|token|secret|api_key)\s?[=:]\s?[\x22']?)[A-Za-z0-9+/_.-]{8,}"),
     ("key", r"(?<![0-9A-Za-z])AKIA[0-9A-Z]{16}(?![0-9A-Za-z])"),
     ("ip", r"(?<![0-9A-Za-z.])(?:(?:25[0-5]|2[0-4][0-9]|1[0-9]{2}|[1-9]?[0-9])\.){3}(?:25[0-5]|2[0-4][0-9]|1[0-9]{2}|[1-9]?[0-9])(?!\.?[0-9A-Za-z])"),
     ("run", _DIGIT + rf"(?=[0-9](?:[ .-]?[0-9]){{12}})[0-9]++{_GROUP_END}(?:[ .-][0-9]++{_GROUP_END})*+"),
@@ -43,6 +43,11 @@ _OWN_CARD = r"^(?:[0-9]{13,19}|[0-9]{4}([ -])[0-9]{4}\1[0-9]{4}\1[0-9]{4}(?:\1[0
 HINT = rf"[0-9@]|(?i:password|passwd|token|secret|api_key)|\b(?:{_FEMALE}|{_MALE}|{_EITHER})\b"
 
 
+def _let(value: Column, body) -> Column:
+    """body applied to a value that is computed once."""
+    return F.transform(F.array(value), body)[0]
+
+
 def _digits(text: Column) -> Column:
     return F.regexp_replace(text, "[^0-9]+", "")
 
@@ -68,11 +73,6 @@ def _typed(before: Column, entity: Column) -> Column:
     return F.when(before.rlike(r"(?i:password|passwd|token|secret|api_key)\s?[=:]\s?[\x22']?$"), "secret").otherwise(kind)
 
 
-def _let(value: Column, body) -> Column:
-    """body applied to a value that is computed once."""
-    return F.transform(F.array(value), body)[0]
-
-
 def _part(lead: Column, entity: Column, kind: Column, tail: Column) -> Column:
     return F.struct(lead.alias("lead"), entity.alias("entity"), kind.alias("kind"), tail.alias("tail"))
 
@@ -142,15 +142,16 @@ def _scrambled(canonical: Column, stream: Column) -> Column:
     """Letters for letters, digits for digits, hexadecimal for all-hexadecimal; other characters stay."""
     is_hex = canonical.rlike("^(?=.*[0-9])[0-9a-f]+$")
 
-    def add(state: Column, char: Column) -> Column:
-        h = F.conv(F.substring(stream, state["at"] * 2 % 1024 + 1, F.lit(2)), 16, 10).cast("int")
-        new = F.when(char.rlike("[0-9]"), (h % 10).cast("string"))
-        new = new.when(char.rlike("[a-z]"), F.chr(97 + h % F.when(is_hex, 6).otherwise(26)))
-        new = new.when(char.rlike("[A-Z]"), F.chr(65 + h % 26)).otherwise(char)
-        return F.struct(F.concat(state["out"], new).alias("out"), (state["at"] + 1).alias("at"))
+    def scrambled(stream: Column, is_hex: Column) -> Column:
+        def one(char: Column, at: Column) -> Column:
+            h = F.conv(F.substring(stream, at * 2 % 1024 + 1, F.lit(2)), 16, 10).cast("int")
+            new = F.when(char.rlike("[0-9]"), (h % 10).cast("string"))
+            new = new.when(char.rlike("[a-z]"), F.chr(97 + h % F.when(is_hex, 6).otherwise(26)))
+            return new.when(char.rlike("[A-Z]"), F.chr(65 + h % 26)).otherwise(char)
 
-    start = F.struct(F.lit("").alias("out"), F.lit(0).alias("at"))
-    return F.aggregate(F.filter(F.split(canonical, ""), lambda c: c != ""), start, add)["out"]
+        return F.array_join(F.transform(F.filter(F.split(canonical, ""), lambda c: c != ""), one), "")
+
+    return _let(F.struct(stream.alias("stream"), is_hex.alias("hex")), lambda v: scrambled(v["stream"], v["hex"]))
 
 
 def _numbers(stream: Column, count: Column) -> Column:

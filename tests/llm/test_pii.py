@@ -108,3 +108,13 @@ def test_no_entity_lacks_a_hint(spark, docs):
     assert frame.filter(F.col("text").rlike(pii.ANY) & F.col("text").rlike(pii.HINT)).count() == len(texts)
     got, counts = rewritten(docs, *texts[:3])
     assert counts == [1, 1, 1] and not any("correcthorse" in t for t in got)
+
+
+def test_long_secrets_are_replaced_whole(docs):
+    token = "".join(f"aB{i % 10}-cD_{i % 7}." for i in range(500))
+    (got,), counts = rewritten(docs, f"token={token} end")
+    assert counts == [1]
+    new = got.removeprefix("token=").removesuffix(" end")
+    assert len(new) == len(token) > 4000
+    for at in range(0, len(token) - 20, 10):
+        assert new[at : at + 20] != token[at : at + 20]
