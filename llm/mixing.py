@@ -2,24 +2,35 @@
 
 The rows of a source form blocks. With weights of q_s / A, the i-th block of a source is released at
 slot floor((i - 1) * A / q_s) and due at ceil(i * A / q_s); earliest deadline first over released blocks
-keeps every source within less than one block of its share at every slot. The schedule repeats after A
-slots, so one period is worked out from the weights alone and every row finds its slot by arithmetic.
-When a source runs out, the others go on with their weights scaled up: a new phase.
+keeps every source within less than one block of its share at every slot. By default A is so large that
+the quotas are the weights to within 2^-62, and the driver deals all blocks once, without holding them;
+rows look their block's slot up. With a resolution A is about that many slots and repeats, so every row
+finds its slot by arithmetic, but the bound holds against the rounded quotas only. When a source runs
+out, the others go on with their weights scaled up: a new phase.
 """
 
 from __future__ import annotations
 
 import json
-from collections.abc import Mapping
+from collections.abc import Iterator, Mapping
 from dataclasses import asdict, dataclass
+from fractions import Fraction
+from heapq import heapify, heappop, heappush
+from itertools import islice
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from llm.shared import shared_path
+
 BLOCK_ROWS = 64
 RESOLUTION = 1000
 BUCKET_ROWS = 20_000
+CHUNK_BLOCKS = 256
+_EXACT = 1 << 62
+_CHUNKS_AT_ONCE = 400
+_CHUNK = "struct<source string, chunk bigint, slots array<bigint>>"
 _LEG = "struct<source string, first bigint, last bigint, start bigint, period bigint, quota bigint, slots array<bigint>>"
 
 
@@ -74,6 +85,52 @@ def schedule(weights: Mapping[str, float], blocks: Mapping[str, int], resolution
     return legs
 
 
+def exact_order(weights: Mapping[str, float], blocks: Mapping[str, int]) -> Iterator[str]:
+    """The source of every slot, by the weights themselves; every block of a source that has a weight comes once."""
+    left = {s: n for s, n in blocks.items() if n and s in weights}
+    while left:
+        total = sum(Fraction(weights[s]) for s in left)
+        quota = {s: max(1, round(Fraction(weights[s]) * _EXACT / total)) for s in sorted(left)}
+        period, given = sum(quota.values()), dict.fromkeys(left, 0)
+        ready, later = [(-(-period // q), s) for s, q in quota.items()], []
+        heapify(ready)
+        for slot in range(sum(left.values())):
+            while later and later[0][0] <= slot:
+                s = heappop(later)[1]
+                heappush(ready, (-(-(given[s] + 1) * period // quota[s]), s))
+            s = heappop(ready)[1]
+            yield s
+            given[s] += 1
+            if given[s] == left[s]:
+                break
+            heappush(later, (given[s] * period // quota[s], s))
+        left = {s: n - given[s] for s, n in left.items() if n > given[s]}
+
+
+def slot_chunks(weights: Mapping[str, float], blocks: Mapping[str, int], size: int = CHUNK_BLOCKS) -> Iterator[dict]:
+    """exact_order() as the slots of blocks chunk * size and on of a source; holds one chunk a source."""
+    held: dict[str, list[int]] = {}
+    chunk = dict.fromkeys(blocks, 0)
+    for slot, s in enumerate(exact_order(weights, blocks)):
+        own = held.setdefault(s, [])
+        own.append(slot)
+        if len(own) == size:
+            yield {"source": s, "chunk": chunk[s], "slots": held.pop(s)}
+            chunk[s] += 1
+    for s, own in held.items():
+        yield {"source": s, "chunk": chunk[s], "slots": own}
+
+
+def _stored_chunks(spark: SparkSession, chunks: Iterator[dict]) -> DataFrame:
+    path = shared_path(spark, "slots")
+    some = list(islice(chunks, _CHUNKS_AT_ONCE))
+    while True:
+        rows = spark.range(1).select(F.explode(F.from_json(F.lit(json.dumps(some)), f"array<{_CHUNK}>")).alias("c"))
+        rows.select("c.*").write.mode("append").parquet(path)
+        if not (some := list(islice(chunks, _CHUNKS_AT_ONCE))):
+            return spark.read.schema("source string, chunk bigint, slots array<bigint>").parquet(path)
+
+
 def row_counts(docs: DataFrame, source: str = "source") -> dict[str, int]:
     """Rows of each source; a null source is named "". One row a source comes to the driver."""
     name = F.coalesce(F.col(f"`{source}`").cast("string"), F.lit(""))
@@ -91,7 +148,7 @@ def mixed(
     source: str = "source",
     doc_id: str = "doc_id",
     block_rows: int = BLOCK_ROWS,
-    resolution: int = RESOLUTION,
+    resolution: int | None = None,
     bucket_rows: int = BUCKET_ROWS,
 ) -> DataFrame:
     """docs as _row with _source, block (of its source), slot (of the mixture) and place in the block.
@@ -99,16 +156,14 @@ def mixed(
     No row is dropped or repeated. Sources are cut into hash buckets of about bucket_rows rows, ranked
     there and shifted by the sizes of the buckets before, so a source that holds a third of all rows is
     ranked by many tasks. Rows of the same id share a bucket. weights must name every source ("" for
-    null); by default balanced_weights() of all rows.
+    null); by default balanced_weights() of all rows. At every slot a source is less than a block away
+    from its share by the weights, or by quotas() if a resolution is given.
     """
     rows = row_counts(docs, source)
     weights = balanced_weights(rows) if weights is None else weights
     if missing := set(rows) - set(weights):
         raise ValueError(f"no target weight for {sorted(missing)[:5]}")
-    legs = schedule(weights, {s: -(-n // block_rows) for s, n in rows.items()}, resolution)
-    spark = docs.sparkSession
-    text = json.dumps([asdict(leg) for leg in legs])
-    plan = spark.range(1).select(F.explode(F.from_json(F.lit(text), f"array<{_LEG}>")).alias("leg")).select("leg.*")
+    blocks, spark = {s: -(-n // block_rows) for s, n in rows.items()}, docs.sparkSession
     buckets = F.lit(json.dumps({s: -(-n // bucket_rows) for s, n in rows.items()}))
     buckets = F.from_json(buckets, "map<string, bigint>")
 
@@ -122,10 +177,19 @@ def mixed(
     rank = F.row_number().over(W.partitionBy("_source", "_bucket").orderBy("_hash", F.col(f"_row.`{doc_id}`"))) - 1
     out = out.withColumn("_rank", rank).join(sizes, ["_source", "_bucket"]).withColumn("_rank", F.col("_rank") + F.col("_before"))
     out = out.withColumn("block", F.floor(F.col("_rank") / block_rows))
-    out = out.join(F.broadcast(plan), (F.col("_source") == F.col("source")) & (F.col("block") >= F.col("first")) & (F.col("block") < F.col("last")))
-    n = F.col("block") - F.col("first")
-    turn = F.floor(n / F.col("quota"))
-    slot = F.col("start") + turn * F.col("period") + F.get("slots", (n - turn * F.col("quota")).cast("int"))
+    if resolution is None:
+        chunk = F.floor(F.col("block") / CHUNK_BLOCKS)
+        plan = _stored_chunks(spark, slot_chunks(weights, blocks))
+        out = out.join(plan, (F.col("_source") == F.col("source")) & (chunk == F.col("chunk")))
+        slot = F.get("slots", (F.col("block") - F.col("chunk") * CHUNK_BLOCKS).cast("int"))
+    else:
+        text = json.dumps([asdict(leg) for leg in schedule(weights, blocks, resolution)])
+        plan = spark.range(1).select(F.explode(F.from_json(F.lit(text), f"array<{_LEG}>")).alias("leg")).select("leg.*")
+        within = (F.col("block") >= F.col("first")) & (F.col("block") < F.col("last"))
+        out = out.join(F.broadcast(plan), (F.col("_source") == F.col("source")) & within)
+        n = F.col("block") - F.col("first")
+        turn = F.floor(n / F.col("quota"))
+        slot = F.col("start") + turn * F.col("period") + F.get("slots", (n - turn * F.col("quota")).cast("int"))
     return out.select("_row", "_source", "block", slot.alias("slot"), (F.col("_rank") - F.col("block") * block_rows).alias("place"))
 
 

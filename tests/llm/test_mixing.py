@@ -65,3 +65,29 @@ def test_given_weights(docs, rows):
     with pytest.raises(ValueError, match="no target weight"):
         mixing.mixed(frame, weights={"a": 1})
     assert mixing.in_order(docs([])).count() == 0
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_slots_stay_within_a_block_of_the_target_weights(seed):
+    rng = random.Random(seed)
+    weights = {f"s{i}": rng.random() ** 3 + 0.001 for i in range(2 + 3 * seed)} | {"rare": 0.0001, "root": 12345**0.5 / 100}
+    blocks = {s: int(40_000 * w) + 1 for s, w in weights.items()}
+    left, given, start = dict(blocks), dict.fromkeys(blocks, 0), 0
+    for slot, source in enumerate(mixing.exact_order(weights, blocks)):
+        given[source] += 1
+        total = sum(weights[s] for s in left)
+        if slot < 500 or slot % 97 == 0:
+            assert all(abs(given[s] - (slot - start + 1) * weights[s] / total) < 1 + 1e-6 for s in left)
+        if given[source] == left[source]:
+            left = {s: n - given[s] for s, n in left.items() if n > given[s]}
+            given, start = dict.fromkeys(left, 0), slot + 1
+    assert not left
+
+
+def test_rows_follow_the_target_weights(docs):
+    frame = docs([(i, "t") for i in range(900)], ["a", "b", "b"])
+    found = mixing.mixed(frame, weights={"a": 1, "b": 5000}, block_rows=1).collect()
+    assert sorted(r.slot for r in found) == list(range(900))
+    assert [r._source for r in sorted(found, key=lambda r: r.slot)].index("a") > 590
+    order = list(mixing.exact_order({"a": 1, "b": 5000}, {"a": 300, "b": 600}))
+    assert [r._source for r in sorted(found, key=lambda r: r.slot)] == order
