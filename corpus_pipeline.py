@@ -3,10 +3,14 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from llm import exact, jaccard, mixing, packing, quality
 from llm.shared import documents, stored
 
+#: Target weight of every source; None: mixing.balanced_weights().
+WEIGHTS: dict[str, float] | None = None
+
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the rules reject go."""
@@ -25,12 +29,17 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def source_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, in the order of the mixture."""
-    return mixing.in_order(docs)
+    return mixing.in_order(docs, weights=WEIGHTS)
 
 
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The bin and place of every document or piece of one."""
-    return packing.packed(docs)
+    """The bin and place of every document or piece of one; shards follow each other in the mixture."""
+
+    def position(items: DataFrame) -> DataFrame:
+        at = F.col("slot") * mixing.BLOCK_ROWS + F.col("place")
+        return mixing.mixed(items, weights=WEIGHTS, source="from").withColumn("position", at)
+
+    return packing.packed(docs, position=position)
 
 
 STAGES = [

@@ -1,7 +1,7 @@
 """Best-fit packing of documents into sequences of fixed length, without conflicts within a sequence.
 
-Rows are dealt to shards by hash and each shard is packed on its own, so shards and not documents meet
-in a task. A bin carries one bitmap of the sources and one of the duplicate clusters it holds; a document
+Rows are dealt to shards by hash, or by ranges of a given order, and each shard is packed on its own, so
+shards and not documents meet in a task. A bin carries one bitmap of the sources and one of the duplicate clusters it holds; a document
 may not join a bin that holds its source or its cluster. Bins are kept in order of what is left in them,
 and the search goes from the first bin that is large enough to its successors until one is compatible.
 """
@@ -9,6 +9,7 @@ and the search goes from the first bin that is large enough to its successors un
 from __future__ import annotations
 
 from bisect import bisect_left, insort
+from collections.abc import Callable
 
 import numpy as np
 import pandas as pd
@@ -55,10 +56,15 @@ def best_fit(lengths: np.ndarray, sources: np.ndarray, clusters: np.ndarray, cap
     return out
 
 
-def _packer(capacity: int):
+def _packer(capacity: int, ordered: bool):
     def pack(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values(["length", "doc_id", "cluster", "piece"], ascending=[False, True, True, True], kind="stable")
+        ties = ["position", "piece"] if ordered else ["doc_id", "cluster", "piece"]
+        rows = rows.sort_values(["length", *ties], ascending=[False] + [True] * len(ties), kind="stable")
         rows["bin"] = best_fit(rows["length"].to_numpy(), rows["source"].to_numpy(), rows["cluster"].to_numpy(), capacity)
+        if ordered:
+            rows = rows.sort_values(ties, kind="stable")
+            rows["bin"] = pd.factorize(rows["bin"])[0]
+            rows = rows.sort_values(["bin", *ties], kind="stable")
         rows["place"] = rows.groupby("bin").cumcount()
         rows["start"] = rows["piece"].astype("int64") * capacity
         rows["shard"] = key[0]
@@ -75,6 +81,7 @@ def packed(
     cluster: str | None = None,
     capacity: int = CAPACITY,
     shard_rows: int = SHARD_ROWS,
+    position: Callable[[DataFrame], DataFrame] | None = None,
 ) -> DataFrame:
     """One row per piece of a document: doc_id, piece, start, length, shard, bin, place in the bin.
 
@@ -83,6 +90,10 @@ def packed(
     it equal texts (but for white space) form one. A null source or cluster is a value like any other.
     Only ids, lengths and hashes are shuffled; a shard has about shard_rows pieces, and the number of
     shards grows with the rows.
+
+    position gives rows with columns doc_id and from (the source) as _row with a distinct position from 0
+    on. Then a shard is shard_rows documents that follow each other, whatever their pieces, and its bins
+    and what they hold come in that order.
     """
     key = F.xxhash64(F.lit("c"), F.col(f"`{cluster}`")) if cluster else F.xxhash64(squeezed(F.col(f"`{text}`")))
     items = docs.select(
@@ -90,11 +101,17 @@ def packed(
         F.xxhash64(F.lit("s"), F.col(f"`{source}`")).alias("source"),
         key.alias("cluster"),
         F.size(words(F.col(f"`{text}`"))).alias("words"),
+        F.col(f"`{source}`").alias("from"),
     )
+    if position:
+        items = position(items).select("_row.*", "position")
     pieces = F.greatest(F.ceil(F.col("words") / capacity).cast("int"), F.lit(1))
     items = items.withColumn("piece", F.explode(F.sequence(F.lit(0), pieces - 1)))
     length = F.least(F.lit(capacity), F.col("words") - F.col("piece") * capacity)
     items = items.withColumn("length", length).drop("words")
+    if position:
+        shard = F.floor(F.col("position") / shard_rows).alias("shard")
+        return items.drop("from").withColumn("shard", shard).groupBy("shard").applyInPandas(_packer(capacity, True), _COLUMNS)
     rows = docs.count()
     shard = F.pmod(F.xxhash64("doc_id", "cluster", "piece"), F.lit(rows // shard_rows + 1)).alias("shard")
-    return items.withColumn("shard", shard).groupBy("shard").applyInPandas(_packer(capacity), _COLUMNS)
+    return items.drop("from").withColumn("shard", shard).groupBy("shard").applyInPandas(_packer(capacity, False), _COLUMNS)

@@ -67,3 +67,25 @@ def test_stages(spark, con):
 def test_run_returns_the_bins(spark, con):
     found = corpus_pipeline.run(spark, SF_DIR)
     assert set(found.columns) == {"doc_id", "piece", "start", "length", "shard", "bin", "place"} and found.count() > 50
+
+
+def test_bins_follow_the_mixture(docs, monkeypatch):
+    """Sources differ; the packed rows do, too, when the weights do, and shards are ranges of the mixture."""
+    frame = docs([(i, f"w{i} " * (1 + i % 9)) for i in range(9000)], ["a", "b", "c"])
+    shards = {}
+    for name, weights in (("even", {"a": 1, "b": 1, "c": 1}), ("a first", {"a": 98, "b": 1, "c": 1})):
+        monkeypatch.setattr(corpus_pipeline, "WEIGHTS", weights)
+        ordered = [r.doc_id for r in corpus_pipeline.source_mixing(frame.sparkSession, frame, "").collect()]
+        found = corpus_pipeline.best_fit_packing(frame.sparkSession, frame, "").collect()
+        shards[name] = {r.doc_id: (r.shard, r.bin, r.place) for r in found}
+        assert set(shards[name]) == set(range(9000))
+        at = {d: n for n, d in enumerate(ordered)}
+        by_shard = [sorted(at[d] for d, k in shards[name].items() if k[0] == s) for s in sorted({k[0] for k in shards[name].values()})]
+        assert len(by_shard) >= 3 and [n for own in by_shard for n in own] == list(range(9000))
+        held = {}
+        for d, (s, b, place) in shards[name].items():
+            held.setdefault((s, b), []).append((place, at[d]))
+        assert all(sorted(v) == [(n, p) for n, p in enumerate(sorted(p for _, p in v))] for v in held.values())
+    assert shards["even"] != shards["a first"]
+    first = {name: sum(k[0] == 0 and d % 3 == 0 for d, k in own.items()) for name, own in shards.items()}
+    assert first["a first"] > 1.5 * first["even"]
