@@ -23,6 +23,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from llm.graph import components
@@ -365,8 +366,24 @@ def near_duplicates(
     return found.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"))
 
 
-def one_of_each(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """The rows of docs whose id is the smallest of its component; rows that repeat an id stay with it."""
-    kept = near_duplicates(docs, doc_id, text).filter("doc_id = component_id").select("component_id").distinct()
-    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"), F.col(f"`{doc_id}`").cast("long").alias("component_id"))
-    return rows.hint("merge").join(kept, "component_id", "left_semi").select("_row.*")
+def one_of_each(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", percent: int = PERCENT) -> DataFrame:
+    """One row of each component of near duplicates: the one with the smallest id, a row without an id last.
+
+    Texts and not ids are linked, so a row without an id, or with the id of another text, counts by its own
+    text; of rows with the same id and text one stays. Rows without shingles link with nothing: all stay.
+    """
+    own, key = F.col(f"`{doc_id}`").cast("long"), F.xxhash64(F.col(f"`{text}`"))
+    found = near_duplicates(docs.select(key.alias("key"), F.col(f"`{text}`").alias("text")), "key", "text", percent)
+    found = found.groupBy(F.col("doc_id").alias("key")).agg(F.max("n_shingles").alias("n"), F.min("component_id").alias("component"))
+    lone = F.col("n") == 0
+    least = F.min(F.struct(F.col("id").isNull().alias("none"), "id", "key")).alias("least")
+    kept = docs.select(own.alias("id"), key.alias("key")).join(found, "key")
+    kept = kept.groupBy(F.when(~lone, F.col("component")), F.when(lone, F.col("key")), F.when(lone, F.col("id")), lone.alias("lone")).agg(least)
+    kept = kept.select("lone", F.col("least.key").alias("_key"), F.coalesce("least.id", F.lit(0)).alias("_id"), F.col("least.none").alias("_none"))
+    rows = docs.select(
+        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"),
+        key.alias("_key"), F.coalesce(own, F.lit(0)).alias("_id"), own.isNull().alias("_none"),
+    )
+    turn = F.row_number().over(W.partitionBy("_key", "_id", "_none").orderBy(F.lit(0)))
+    rows = rows.hint("merge").join(kept, ["_key", "_id", "_none"])
+    return rows.withColumn("turn", turn).filter("lone OR turn = 1").select("_row.*")

@@ -125,3 +125,12 @@ def test_components_of_a_graph(spark, rows):
             label[a] = label[b] = min(label[a], label[b])
     assert found == {x: r for x, r in label.items() if any(x in e and e[0] != e[1] for e in edges)}
     assert graph.components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_one_of_each_keeps_rows_without_id_and_repeated_ids(docs):
+    a, b, c = (" ".join(f"{x}{i}" for i in range(40)) for x in "abc")
+    near = a + " more"
+    pairs = [(1, a), (2, near), (2, b), (None, c), (None, c + " more"), (None, near), (None, None), (None, ""), (7, ""), (8, None), (9, "x y z"), (9, "x y z")]
+    got = [(r.doc_id, r.text) for r in jaccard.one_of_each(docs(pairs)).collect()]
+    assert len(got) == 8 and set(got) - {(None, c), (None, c + " more")} == {(1, a), (2, b), (None, None), (None, ""), (7, ""), (8, None), (9, "x y z")}
+    assert len({(None, c), (None, c + " more")} & set(got)) == 1
