@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from llm import chat, exact, jaccard, licenses, mixing, packing, pii, quality, urls, warc
+from llm import chat, exact, jaccard, licenses, mixing, packing, pii, quality, urls, vectors, warc
 from llm.shared import documents, stored
 
 
@@ -65,6 +65,10 @@ def op10_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("_row.doc_id", "_row.source", "block", "slot", "place")
 
 
+def op13_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vectors.near_duplicate_vectors(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
 TEMPLATE_ROWS = ", ".join(f"('{name}', {bigrams})" for name, bigrams in licenses.prepared())
 
 ORACLES = {
@@ -191,6 +195,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_pii_surrogates": op8_pii_surrogates,
         "op9_license_scans": op9_license_scans,
         "op10_source_mixing": op10_source_mixing,
+        "op13_embedding_near_dedup": op13_embedding_near_dedup,
     }
 
 
