@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from llm import chat, exact, jaccard, licenses, mixing, packing, pii, quality, urls, vectors, warc
+from llm import chat, divergence, exact, jaccard, licenses, mixing, packing, pii, quality, urls, vectors, warc
 from llm.shared import documents, stored
 
 
@@ -65,6 +65,10 @@ def op10_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("_row.doc_id", "_row.source", "block", "slot", "place")
 
 
+def op11_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audited(documents(spark, sf_dir))
+
+
 def op13_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vectors.near_duplicate_vectors(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
 
@@ -72,6 +76,43 @@ def op13_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 TEMPLATE_ROWS = ", ".join(f"('{name}', {bigrams})" for name, bigrams in licenses.prepared())
 
 ORACLES = {
+    "op11_source_divergence": r"""
+        WITH d AS (
+            SELECT row_number() OVER () AS rid, coalesce(lang, '') AS lang, coalesce(source, '') AS source, coalesce(text, '') AS text
+            FROM documents),
+        occ AS (
+            SELECT rid, lang, source, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                   '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+            FROM d),
+        kept AS (SELECT lang, term FROM occ GROUP BY lang, term HAVING count(DISTINCT rid) >= 30),
+        v AS (SELECT lang, count(*) AS v FROM kept GROUP BY lang),
+        groups AS (SELECT DISTINCT lang, source FROM d),
+        cnt AS (SELECT o.lang, o.source, o.term, count(*) AS n FROM occ o JOIN kept k ON k.lang = o.lang AND k.term = o.term GROUP BY ALL),
+        grid AS (
+            SELECT g.lang, g.source, k.term, coalesce(c.n, 0) AS n, v.v
+            FROM groups g JOIN kept k ON k.lang = g.lang JOIN v ON v.lang = g.lang
+            LEFT JOIN cnt c ON c.lang = g.lang AND c.source = g.source AND c.term = k.term),
+        gp AS (
+            SELECT *, 1 + (CAST(1000000000 AS HUGEINT) * (n + 5)) // (sum(n) OVER (PARTITION BY lang, source) + 5 * v) AS p FROM grid),
+        lsum AS (SELECT lang, term, sum(n) AS n, any_value(v) AS v FROM grid GROUP BY lang, term),
+        lq AS (SELECT lang, term, 1 + (CAST(1000000000 AS HUGEINT) * (n + 5)) // (sum(n) OVER (PARTITION BY lang) + 5 * v) AS q FROM lsum),
+        sums AS (
+            SELECT a.lang, a.source, b.source AS item, sum(abs(a.p - b.p)) AS value
+            FROM gp a JOIN gp b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL),
+        pairs AS (
+            SELECT g.lang, g.source, h.source AS item, coalesce(s.value, 0) AS value
+            FROM groups g JOIN groups h ON g.lang = h.lang AND g.source <> h.source
+            LEFT JOIN sums s ON s.lang = g.lang AND s.source = g.source AND s.item = h.source),
+        over AS (SELECT gp.lang, gp.source, gp.term AS item, p - q AS value FROM gp JOIN lq ON lq.lang = gp.lang AND lq.term = gp.term WHERE n > 0 AND p > q),
+        ranked AS (
+            SELECT lang, source, 'pair' AS part, item, value,
+                   row_number() OVER (PARTITION BY lang, source ORDER BY value DESC, encode(item)) AS rank FROM pairs
+            UNION ALL
+            SELECT lang, source, 'term', item, value,
+                   row_number() OVER (PARTITION BY lang, source ORDER BY value DESC, encode(item)) AS rank FROM over)
+        SELECT lang, source, part, item, CAST(value AS BIGINT) AS value, CAST(rank AS INTEGER) AS rank FROM ranked
+        WHERE part = 'pair' OR rank <= 50
+    """,
     "op2_exact_dedup": """
         WITH plain AS (
             SELECT doc_id, length(coalesce(text, '')) AS chars,
@@ -195,6 +236,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_pii_surrogates": op8_pii_surrogates,
         "op9_license_scans": op9_license_scans,
         "op10_source_mixing": op10_source_mixing,
+        "op11_source_divergence": op11_source_divergence,
         "op13_embedding_near_dedup": op13_embedding_near_dedup,
     }
 
