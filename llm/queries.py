@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from llm import chat, divergence, exact, jaccard, licenses, mixing, packing, pii, quality, urls, vectors, warc
+from llm import alignment, chat, divergence, exact, jaccard, licenses, mixing, packing, pii, quality, urls, vectors, warc
 from llm.shared import documents, stored
 
 
@@ -69,6 +69,10 @@ def op11_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return divergence.audited(documents(spark, sf_dir))
 
 
+def op12_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.aligned(documents(spark, sf_dir).select("doc_id", "text"))
+
+
 def op13_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vectors.near_duplicate_vectors(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
 
@@ -237,6 +241,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op9_license_scans": op9_license_scans,
         "op10_source_mixing": op10_source_mixing,
         "op11_source_divergence": op11_source_divergence,
+        "op12_tokenizer_alignment": op12_tokenizer_alignment,
         "op13_embedding_near_dedup": op13_embedding_near_dedup,
     }
 
