@@ -67,9 +67,20 @@ def string_schema(columns: Sequence[str]) -> T.StructType:
     return T.StructType([T.StructField(c, T.StringType()) for c in columns])
 
 
+RECORD = "_csv_record_"
+SURPLUS = ("fail", "split")
+
+
 def _options(encoding: str) -> dict:
-    # enforceSchema=false checks every file's header instead of mapping columns by position.
-    return {"header": True, "enforceSchema": False, "encoding": encoding, "escape": '"'}
+    # enforceSchema=false checks every file's header instead of mapping columns by position; multiLine keeps a
+    # quoted line break inside its field (a file is then read by one task); a row whose field count differs
+    # from the header's keeps its raw text in RECORD.
+    return {"header": True, "enforceSchema": False, "encoding": encoding, "escape": '"', "multiLine": True, "columnNameOfCorruptRecord": RECORD}
+
+
+def record_fields(record: Column) -> Column:
+    """Number of fields of a raw CSV record: commas outside quoted parts, plus one."""
+    return F.size(F.split(F.regexp_replace(record, r'"[^"]*(?:""[^"]*)*"', ""), ",", -1))
 
 
 def _clean(df: DataFrame, names: Sequence[str], na_words: bool) -> DataFrame:
@@ -109,7 +120,13 @@ def file_header(spark: SparkSession, path: str, encoding: str = "UTF-8") -> tupl
         codec = jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(conf).getCodec(where)
         if codec is not None:
             stream = codec.createInputStream(stream)
-        line = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(stream, encoding)).readLine()
+        reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(stream, encoding))
+        line = reader.readLine()
+        while line is not None and line.count('"') % 2:  # a quoted name with a line break goes on
+            more = reader.readLine()
+            if more is None:
+                break
+            line += "\n" + more
     finally:
         stream.close()
     return tuple(next(csv.reader([(line or "").removeprefix("\ufeff")]), ()))
@@ -120,20 +137,39 @@ def _escaped(path: str) -> str:
     return re.sub(r"([\\{}\[\]*?])", r"\\\1", path)
 
 
-def _scan(spark: SparkSession, paths: Sequence[str], header: Sequence[str], encoding: str, na_words: bool, derived: Mapping[str, Column]) -> DataFrame:
-    df = spark.read.options(**_options(encoding)).schema(string_schema(header)).csv(list(paths))
-    return _clean(df.select("*", *[c.alias(n) for n, c in derived.items()]), df.columns, na_words)
+def _scan(
+    spark: SparkSession, paths: Sequence[str], header: Sequence[str], encoding: str, na_words: bool, derived: Mapping[str, Column], surplus: str = "fail"
+) -> DataFrame:
+    """Rows of files with one header. A row with fewer fields has nulls in the rest; one with more fields fails
+    the job (surplus="fail") or, with "split", is marked in RECORD (its raw text) and "_csv_file_" for the caller."""
+    if surplus not in SURPLUS:
+        raise ValueError(f"surplus must be one of {SURPLUS}")
+    df = spark.read.options(**_options(encoding)).schema(string_schema(header).add(RECORD, T.StringType())).csv(list(paths))
+    extra = F.col(RECORD).isNotNull() & (record_fields(F.col(RECORD)) > len(header))
+    if surplus == "fail":
+        # the first field in the message also keeps the scan from being one of the raw record alone, which Spark refuses
+        message = F.format_string(
+            f"a row of %s has more fields than the {len(header)} of its header: %s (first field %s)", F.col("_metadata.file_path"), F.col(RECORD), col(header[0])
+        )
+        df = df.filter(F.when(extra, F.raise_error(message)).otherwise(F.lit(True)))
+        marks = []
+    else:
+        # an empty piece of the first field joins the record: a scan of the raw record alone is refused by Spark
+        kept = F.concat(F.col(RECORD), F.substring(F.coalesce(col(header[0]), F.lit("")), 1, 0))
+        marks = [F.when(extra, kept).alias(RECORD), F.when(extra, F.col("_metadata.file_path")).alias("_csv_file_")]
+    names = [c for c in df.columns if c != RECORD]
+    return _clean(df.select(*names, *[c.alias(n) for n, c in derived.items()], *marks), names, na_words)
 
 
 def _united(
-    spark: SparkSession, headers: Mapping[str, tuple[str, ...]], encoding: str, na_words: bool, derived: Mapping[str, Column]
+    spark: SparkSession, headers: Mapping[str, tuple[str, ...]], encoding: str, na_words: bool, derived: Mapping[str, Column], surplus: str = "fail"
 ) -> DataFrame | None:
     """One scan for each distinct header, united by name; None without a header."""
     by_header: dict[tuple[str, ...], list[str]] = {}
     for path, header in headers.items():
         if header:
             by_header.setdefault(header, []).append(_escaped(path))
-    frames = [_scan(spark, paths, header, encoding, na_words, derived) for header, paths in by_header.items()]
+    frames = [_scan(spark, paths, header, encoding, na_words, derived, surplus) for header, paths in by_header.items()]
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames) if frames else None
 
 
@@ -147,9 +183,14 @@ def read_text_table(
     na_words: bool = True,
     derived: Mapping[str, Column] | None = None,
     where: Column | None = None,
+    surplus: str = "fail",
 ) -> DataFrame:
     """CSV files with all columns as text; a file that cannot be read fails the job.
 
+    A quoted line break stays inside its field. A row with fewer fields than its header has nulls in
+    the rest, as pandas reads it; a row with more fields fails the job, naming file and row
+    (``read_with_rejects`` returns such rows instead).
+
     Every file is read under its own header: there is one scan for each distinct header,
     and the scans are united by name. Empty files add nothing. With ``columns`` the headers
     are not looked up; all files are one scan and must have just that header. ``derived``
@@ -163,7 +204,7 @@ def read_text_table(
     else:
         with ThreadPoolExecutor(8) as pool:
             headers = dict(zip(files, pool.map(lambda f: file_header(spark, f, encoding), files)))
-    found = _united(spark, headers, encoding, na_words, derived)
+    found = _united(spark, headers, encoding, na_words, derived, surplus)
     if found is None:
         if columns is None:
             raise FileNotFoundError(f"no files with a header under {list(paths)}")
@@ -172,6 +213,18 @@ def read_text_table(
     return found
 
 
+def read_with_rejects(spark: SparkSession, paths: Sequence[str], **options) -> tuple[DataFrame, DataFrame]:
+    """Like ``read_text_table``, but rows with more fields than their header are returned apart, as
+    (``path``, ``record``: the row's raw text), instead of failing the job. Both frames come from one scan
+    of each header; store the first result if both are used, or the files are read twice."""
+    found = read_text_table(spark, paths, surplus="split", **options)
+    if RECORD not in found.columns:
+        return found, spark.createDataFrame([], "path string, record string")
+    rejected = F.col(RECORD).isNotNull()
+    rows = found.filter(~rejected).drop(RECORD, "_csv_file_")
+    return rows, found.filter(rejected).select(F.col("_csv_file_").alias("path"), F.col(RECORD).alias("record"))
+
+
 def read_readable(
     spark: SparkSession,
     paths: Sequence[str],

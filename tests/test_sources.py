@@ -283,3 +283,43 @@ def test_dates_out_of_range_are_never_opened(spark, rows, tmp_path):
         spark, [str(tmp_path)], DROP, date(2026, 1, 1), columns=["H", "leadid"]
     )
     assert rows(found, "leadid") == [("a",)]
+
+
+def _csv(path: Path, text: str) -> str:
+    path.parent.mkdir(parents=True, exist_ok=True)
+    path.write_text(text)
+    return str(path)
+
+
+def test_quoted_line_breaks_stay_in_their_field(spark, tmp_path):
+    path = _csv(tmp_path / "a.csv", 'a,b\n"x\ny",2\n3,"p, ""q"""\n')
+    got = sorted(tuple(r) for r in fs.read_text_table(spark, [path], na_words=False).select("a", "b").collect())
+    assert got == [("3", 'p, "q"'), ("x\ny", "2")]
+
+
+def test_short_rows_have_nulls_and_surplus_fields_fail(spark, tmp_path):
+    short = _csv(tmp_path / "short" / "a.csv", "a,b,c\n1,2\n4,5,6\n")
+    got = sorted(tuple(r) for r in fs.read_text_table(spark, [short]).select("a", "b", "c").collect())
+    assert got == [("1", "2", None), ("4", "5", "6")]
+    long = _csv(tmp_path / "long" / "a.csv", 'a,b\n1,2\n1,2,3\n"x,y",2\n')
+    with pytest.raises(Exception, match="more fields than the 2 of its header"):
+        fs.read_text_table(spark, [long]).select("a").collect()
+    with pytest.raises(Exception, match="more fields"):
+        fs.read_text_table(spark, [long]).count()
+
+
+def test_rows_with_surplus_fields_are_returned_apart(spark, tmp_path):
+    _csv(tmp_path / "d" / "a.csv", 'a,b\n1,2\n1,2,3\n"x,\ny",2\n7\n')
+    _csv(tmp_path / "d" / "b.csv", 'b,a\n5,6\n"q","r",,\n')
+    rows, rejects = fs.read_with_rejects(spark, [str(tmp_path / "d")], na_words=False)
+    assert sorted(tuple(r) for r in rows.select("a", "b").collect()) == [("1", "2"), ("6", "5"), ("7", ""), ("x,\ny", "2")]
+    got = sorted((Path(r.path).name, r.record) for r in rejects.collect())
+    assert got == [("a.csv", "1,2,3"), ("b.csv", '"q","r",,')]
+    empty_rows, empty_rejects = fs.read_with_rejects(spark, [str(tmp_path / "d")], glob="*.none", columns=["a"])
+    assert empty_rows.count() == 0 and empty_rejects.count() == 0
+
+
+def test_a_header_with_a_quoted_line_break(spark, tmp_path):
+    path = _csv(tmp_path / "h.csv", '"first\nname",b\nx,1\n')
+    assert fs.file_header(spark, path) == ("first\nname", "b")
+    assert [tuple(r) for r in fs.read_text_table(spark, [path]).select("b").collect()] == [("1",)]
