@@ -182,8 +182,9 @@ def inbound_callbacks(
     """Inbound calls per number, optionally only for given numbers.
 
     ``numbers`` is a frame with ``member_phone`` or a short list; None or an empty list
-    keeps all. The semi join comes first, so calls of other numbers are neither counted nor
-    shuffled for the count; AQE splits a number that fills too large a partition of it.
+    keeps all. Calls are counted per number first, which every task folds before the shuffle,
+    so a number on a third of all calls arrives as one row a task; the semi join then meets one
+    row per number on each side, and no raw call is shuffled by number.
     """
     scoped = calls_in_scope(calls, window, rules, drop_unresolved=False).withColumn(
         "member_phone", F.col("inbound_number")
@@ -192,22 +193,23 @@ def inbound_callbacks(
         if numbers:
             scoped = scoped.filter(F.col("member_phone").isin(list(numbers)))
         numbers = None
+    counted = scoped.groupBy("member_phone").agg(F.count(F.lit(1)).alias("inbound_calls"))
     if numbers is not None:
-        scoped = scoped.select("member_phone").join(numbers.select("member_phone"), "member_phone", "left_semi")
-    return scoped.groupBy("member_phone").agg(F.count(F.lit(1)).alias("inbound_calls"))
+        counted = counted.join(numbers.select("member_phone"), "member_phone", "left_semi")
+    return counted
 
 
 def never_answered_destinations(calls: DataFrame, numbers: DataFrame, rules: CallRules = CallRules()) -> DataFrame:
-    """Those of the given ``destination`` numbers that no call in the log ever reached."""
-    return (
-        calls.join(numbers.select("destination"), "destination", "left_semi")
-        .groupBy("destination")
-        .agg(
-            F.count_if(rules.is_dialed()).alias("total_calls"),
-            F.count_if(rules.is_answered()).alias("answered_calls"),
-        )
-        .filter(F.col("answered_calls") == 0)
+    """Those of the given ``destination`` numbers that no call in the log ever reached.
+
+    Calls are counted per destination before the semi join (folded in every task), so a hot
+    destination is one row a task and the join meets one row per number.
+    """
+    counted = calls.groupBy("destination").agg(
+        F.count_if(rules.is_dialed()).alias("total_calls"),
+        F.count_if(rules.is_answered()).alias("answered_calls"),
     )
+    return counted.filter(F.col("answered_calls") == 0).join(numbers.select("destination"), "destination", "left_semi")
 
 
 def with_clean_number(df: DataFrame, column: str = "member_phone") -> DataFrame:

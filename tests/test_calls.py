@@ -186,3 +186,20 @@ def test_year_windows():
     now, before = year_windows(date(2026, 3, 4), ["out"], ["old"])
     assert (now.start, now.end, now.skills) == (utc(2026, 1, 1), utc(2026, 3, 4, 23, 59, 59), ["out"])
     assert (before.start, before.end, before.skills) == (utc(2025, 1, 1), utc(2025, 12, 31, 23, 59, 59), ["old"])
+
+
+def test_hot_number_is_folded_before_the_semi_join(spark, rows):
+    """A number on a third of all calls: the largest task of the join stage reads one row per number and input task."""
+    calls = [(1 + d % 28, "Busy", False, "hot") for d in range(3000)] + [(1 + d % 28, "Busy", False, f"n{d}") for d in range(6000)]
+    df = log(spark, *calls).repartition(12)
+    numbers = spark.createDataFrame([("hot",), ("n1",), ("z",)], "member_phone string")
+    joined = c.inbound_callbacks(df, JAN, numbers)
+    assert rows(joined) == [("hot", 3000), ("n1", 1)]
+    plan = joined._jdf.queryExecution().executedPlan().toString()
+    assert plan.index("LeftSemi") < plan.index("partial_count"), plan  # the join sits above the folded count
+    dest = log(spark, *[(1, "Busy", False, "hot")] * 2000, (1, "Completed", False, "b"), (2, "Busy", False, "c")).repartition(7)
+    wanted = spark.createDataFrame([("hot",), ("b",)], "destination string")
+    found = c.never_answered_destinations(dest, wanted)
+    assert rows(found) == [("hot", 2000, 0)]
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert plan.index("LeftSemi") < plan.index("partial_count"), plan
