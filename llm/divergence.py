@@ -138,16 +138,25 @@ class Transducer:
 
     def ordinal(self, word: bytes) -> int:
         """The word's place among the built words, -1 if it is none of them."""
+        moves = self._moves()
         state, total = 0, 0
-        labels, first = self.labels, self.first
         for byte in word:
-            lo, hi = first[state], first[state + 1]
-            at = lo + int(np.searchsorted(labels[lo:hi], byte))
-            if at >= hi or labels[at] != byte:
+            move = moves[state].get(byte)
+            if move is None:
                 return -1
-            total += int(self.outputs[at])
-            state = int(self.targets[at])
-        return total if self.final[state] else -1
+            total += move[1]
+            state = move[0]
+        return total if self._final[state] else -1
+
+    def _moves(self) -> list[dict[int, tuple[int, int]]]:
+        """Each state's transitions as label -> (target, output), made once from the flat arrays."""
+        if getattr(self, "_table", None) is None:
+            labels, targets, outputs, first = self.labels.tolist(), self.targets.tolist(), self.outputs.tolist(), self.first.tolist()
+            self._table = [
+                {labels[k]: (targets[k], outputs[k]) for k in range(first[s], first[s + 1])} for s in range(len(first) - 1)
+            ]
+            self._final = self.final.tolist()
+        return self._table
 
     def to_bytes(self) -> bytes:
         out = io.BytesIO()
@@ -161,7 +170,9 @@ class Transducer:
 
 
 def _terms(text: Column) -> Column:
-    return F.regexp_extract_all(lower_ascii(text), F.lit(TERM), 0)
+    """The text's terms: the pieces between runs of other characters (the same as the matches of TERM)."""
+    pieces = F.split(lower_ascii(text), r"[\x00-\x40\x5B-\x60\x7B-\x7F]+", -1)
+    return F.filter(pieces, lambda x: x != "")
 
 
 def prepared(docs: DataFrame) -> DataFrame:
