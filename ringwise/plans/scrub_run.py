@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from ..functions import PACIFIC
 from ..operators.scrub import MAX_CONTACT_DAYS, scrub_report, validate_scrub, without_scrubbed
 from ..sources.call_log import recent_calls
-from ..sources.sinks import path_exists, scrub_report_name, scrubbed_leads_name, write_csv
+from ..sources.sinks import is_written, scrub_report_name, scrubbed_leads_name, write_csv
 
 
 def scrub_run(
@@ -34,8 +34,8 @@ def scrub_run(
 
 
 def write_counted(df: DataFrame, path: str, overwrite: bool) -> int | None:
-    """Write and return the row count, observed on the way; None if the path was there and had to stay."""
-    if not overwrite and path_exists(df.sparkSession, path):
+    """Write and return the row count, observed on the way; None if a finished export was there and had to stay."""
+    if not overwrite and is_written(df.sparkSession, path):
         return None
     seen = Observation()
     write_csv(df.observe(seen, F.count(F.lit(1)).alias("rows")), path)

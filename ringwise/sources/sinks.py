@@ -25,17 +25,36 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return True
 
 
+def is_written(spark: SparkSession, path: str) -> bool:
+    """Whether a write to path has finished: its job's commit leaves ``_SUCCESS`` there. A folder that a killed
+    run left behind (part files, ``_temporary``) does not count. Asked of Hadoop's file system, so every store works."""
+    marker = spark._jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/_SUCCESS")
+    return bool(marker.getFileSystem(spark._jsc.hadoopConfiguration()).exists(marker))
+
+
+def _mode(spark: SparkSession, path: str, overwrite: bool) -> str | None:
+    """overwrite, or None when a finished write is to be left alone; an unfinished one is replaced."""
+    return "overwrite" if overwrite or not is_written(spark, path) else None
+
+
 def write_csv(df: DataFrame, path: str, overwrite: bool = True, files: int | None = None) -> None:
-    """CSV with header and nulls as empty text. Without ``overwrite`` an existing path is left alone.
+    """CSV with header and nulls as empty text. Without ``overwrite`` a finished export is left alone, and
+    one that a killed run left unfinished is written anew.
 
     ``files`` merges the output of reports known to be small; large ones keep their parallelism.
     """
+    mode = _mode(df.sparkSession, path, overwrite)
+    if mode is None:
+        return
     out = df if files is None else df.coalesce(files)
-    out.write.mode("overwrite" if overwrite else "ignore").options(**CSV_OPTIONS).csv(path)
+    out.write.mode(mode).options(**CSV_OPTIONS).csv(path)
 
 
 def write_table(df: DataFrame, path: str, partition_by: Sequence[str] = (), overwrite: bool = True) -> None:
-    writer = df.write.mode("overwrite" if overwrite else "ignore").option("partitionOverwriteMode", "dynamic")
+    mode = _mode(df.sparkSession, path, overwrite)
+    if mode is None:
+        return
+    writer = df.write.mode(mode).option("partitionOverwriteMode", "dynamic")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.parquet(path)
@@ -48,7 +67,9 @@ def write_split_reports(report: DataFrame, path: str, run_date: date, overwrite:
     """
     out = report.repartition("split").sortWithinPartitions("split", "file_date").drop("file_date")
     target = f"{path.rstrip('/')}/run_date={run_date.isoformat()}"
-    out.write.mode("overwrite" if overwrite else "ignore").options(**CSV_OPTIONS).partitionBy("split").csv(target)
+    mode = _mode(report.sparkSession, target, overwrite)
+    if mode is not None:
+        out.write.mode(mode).options(**CSV_OPTIONS).partitionBy("split").csv(target)
 
 
 def with_run_date(df: DataFrame, run_date: date) -> DataFrame:

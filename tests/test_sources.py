@@ -323,3 +323,20 @@ def test_a_header_with_a_quoted_line_break(spark, tmp_path):
     path = _csv(tmp_path / "h.csv", '"first\nname",b\nx,1\n')
     assert fs.file_header(spark, path) == ("first\nname", "b")
     assert [tuple(r) for r in fs.read_text_table(spark, [path]).select("b").collect()] == [("1",)]
+
+
+def test_a_killed_export_is_written_again(spark, tmp_path):
+    df = spark.createDataFrame([(1, "a"), (2, "b")], "a int, b string")
+    path = tmp_path / "killed.csv"
+    (path / "_temporary" / "0").mkdir(parents=True)
+    (path / "part-00000-half.csv").write_text("a,b\n1,")
+    assert not sinks.is_written(spark, str(path))
+    sinks.write_csv(df, str(path), overwrite=False)
+    assert sinks.is_written(spark, str(path))
+    assert sorted(tuple(r) for r in fs.read_text_table(spark, [str(path)]).collect()) == [("1", "a"), ("2", "b")]
+    sinks.write_csv(df.limit(1), str(path), overwrite=False)  # finished: left alone
+    assert fs.read_text_table(spark, [str(path)]).count() == 2
+    table = tmp_path / "table"
+    (table / "_temporary").mkdir(parents=True)
+    sinks.write_table(df, str(table), overwrite=False)
+    assert spark.read.parquet(str(table)).count() == 2
