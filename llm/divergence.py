@@ -171,8 +171,7 @@ class Transducer:
 
 def _terms(text: Column) -> Column:
     """The text's terms: the pieces between runs of other characters (the same as the matches of TERM)."""
-    pieces = F.split(lower_ascii(text), r"[\x00-\x40\x5B-\x60\x7B-\x7F]+", -1)
-    return F.filter(pieces, lambda x: x != "")
+    return F.array_remove(F.split(lower_ascii(text), r"[\x00-\x40\x5B-\x60\x7B-\x7F]+", -1), "")
 
 
 def prepared(docs: DataFrame) -> DataFrame:
@@ -260,7 +259,7 @@ def _share(n: Column, total: Column, v: Column) -> Column:
 
 def audited(docs: DataFrame, min_docs: int = MIN_DOCS, broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
     """lang, source, part ('pair' or 'term'), item, value long, rank int for every (lang, source) group of docs."""
-    docs = stored(prepared(docs), "divergence-docs")
+    docs = prepared(docs)  # read twice from the input rather than stored: a copy of all text costs more
     built = stored(transducers(kept_terms(docs, min_docs)), "divergence-fst")
     fsts = built.filter(F.col("fst").isNotNull()).select("lang", "fst", F.col("n_terms").alias("v"))
     ordinals = built.filter(F.col("fst").isNull()).select("lang", "term", "ordinal")
