@@ -20,13 +20,18 @@ doc_id, or have none, are separate documents (the count of a pair is over rows).
 from __future__ import annotations
 
 import hashlib
-from collections import Counter
+import json
+import os
+import re
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from llm.shared import arrow_batches, stored
@@ -34,6 +39,12 @@ from llm.shared import arrow_batches, stored
 BYTE_BPE = "/opt/tokenizers/byte_bpe_50k.json"
 PIECE_BPE = "/opt/tokenizers/piece_bpe_32k.model"
 TEXT_ROWS = 200
+CHUNK_CHARS = 1 << 20
+MEMO_CHARS, MEMO_PARTS = 4 << 20, 150_000
+JOINT_PARTS = 2000
+VISIBLE = "[!-~À-ɏ]"
+WIDE_LINKS = 4096
+BROADCAST_PAIRS = 2_000_000
 _TOKENIZED = (
     "_row long, doc_id long, n_a long, n_b long, n_groups long, n_links long, groups_sha256 string, "
     "pairs array<struct<a:int,b:int,m:long>>"
@@ -56,6 +67,7 @@ def _byte_alphabet() -> dict[str, int]:
 
 @lru_cache(maxsize=2)
 def _tokenizers(byte_bpe: str, piece_bpe: str):
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"  # one thread per task: Spark deals the texts to the cores
     import sentencepiece
     from tokenizers import Tokenizer
 
@@ -78,102 +90,254 @@ def _tokenizers(byte_bpe: str, piece_bpe: str):
     return a, b, a_bytes, b_bytes, a_len, b_len
 
 
-def aligned_groups(a_ends: np.ndarray, b_ends: np.ndarray) -> list[tuple[int, int, int, int]]:
-    """Groups (i0, i1, j0, j1): A tokens i0..i1-1 and B tokens j0..j1-1 between common ends.
+@lru_cache(maxsize=2)
+def _cut(byte_bpe: str, piece_bpe: str) -> re.Pattern | None:
+    """Where a text may be cut into parts encoded apart, without changing a token of either side: at a single
+    space between two visible ASCII or Latin characters. A's splitting expression starts a new piece at such a space,
+    and no piece of B holds the space mark after another character, so that no merge of either side crosses
+    it. None (texts are encoded whole) for tokenizers that are not built so."""
+    a, b, *_ = _tokenizers(byte_bpe, piece_bpe)
+    config = json.loads(a.to_str())
+    before = config["pre_tokenizer"] or {}
+    pieces = [before, *before.get("pretokenizers", [])]
+    level = [x for x in pieces if x.get("type") == "ByteLevel"]
+    plain = (
+        config["normalizer"] is None and len(pieces) == 1 and len(level) == 1
+        and not level[0]["add_prefix_space"] and level[0].get("use_regex", True)
+        and all(t["special"] for t in config["added_tokens"])
+    )
+    inner = re.compile("[^▁]▁")
+    plain = plain and not any(inner.search(b.id_to_piece(i)) for i in range(b.get_piece_size()))
+    return re.compile(f"(?<={VISIBLE}) (?={VISIBLE})") if plain else None
+
+
+class _Encoder:
+    """Ids of the parts of texts. Parts met before are looked up, those of a whole chunk at least; the memory
+    is cleared after a chunk that leaves it above MEMO_CHARS characters or MEMO_PARTS parts."""
+
+    def __init__(self, byte_bpe: str, piece_bpe: str):
+        self.a, self.b, self.a_bytes, self.b_bytes, self.a_len, self.b_len = _tokenizers(byte_bpe, piece_bpe)
+        self.cut = _cut(byte_bpe, piece_bpe)
+        self.ids_a: dict[str, bytes] = {}
+        self.ids_b: dict[str, bytes] = {}
+        self.odd: set[str] = set()  # parts whose joined bytes differ from space + part on one side
+        self.chars = 0
+
+    def _learn(self, parts: list[str]) -> None:
+        """Parts of visible ASCII and Latin characters are encoded as one text with single spaces, whose ids are cut at the parts."""
+        joint = list(filter(re.compile(f"{VISIBLE}+").fullmatch, parts)) if self.cut else []
+        for start in range(0, len(joint), JOINT_PARTS):
+            if not self._joint(joint[start : start + JOINT_PARTS]):
+                self._single(joint[start : start + JOINT_PARTS])
+        self._single(list(set(parts).difference(joint)))
+        self.chars += sum(map(len, parts))
+
+    def _joint(self, parts: list[str]) -> bool:
+        text = " " + " ".join(parts)
+        want = text.encode("utf-8")
+        ids_a = np.array(self.a.encode(text, add_special_tokens=False).ids, np.int32)
+        ids_b = np.array(self.b.encode(text[1:]), np.int32)
+        ends = np.cumsum([len(p.encode("utf-8")) + 1 for p in parts])
+        for memo, ids, names, sizes in ((self.ids_a, ids_a, self.a_bytes, self.a_len), (self.ids_b, ids_b, self.b_bytes, self.b_len)):
+            through = np.cumsum(sizes[ids])
+            cuts = np.searchsorted(through, ends) + 1
+            if b"".join(map(names.__getitem__, ids.tolist())) != want or (through[cuts - 1] != ends).any():
+                return False
+            raw, cuts = ids.tobytes(), (4 * cuts).tolist()
+            memo.update(zip(parts, map(raw.__getitem__, map(slice, [0, *cuts], cuts))))
+        return True
+
+    def _single(self, parts: list[str]) -> None:
+        if not parts:
+            return
+        found_a = self.a.encode_batch_fast([" " + p for p in parts], add_special_tokens=False)
+        found_b = self.b.encode(parts, num_threads=1)
+        for part, ea, ids_b in zip(parts, found_a, found_b):
+            ids_a, want = ea.ids, (" " + part).encode("utf-8")
+            if b"".join(map(self.a_bytes.__getitem__, ids_a)) != want or b"".join(map(self.b_bytes.__getitem__, ids_b)) != want:
+                self.odd.add(part)
+            self.ids_a[part] = array("i", ids_a).tobytes()
+            self.ids_b[part] = array("i", ids_b).tobytes()
+
+    def __call__(self, texts: list[str]) -> list[tuple[np.ndarray, np.ndarray]]:
+        """Ids of A and of B per text; none where the joined bytes of either differ from space + text."""
+        if self.chars > MEMO_CHARS or len(self.ids_a) > MEMO_PARTS:
+            self.ids_a.clear()
+            self.ids_b.clear()
+            self.odd.clear()
+            self.chars = 0
+        parted = [(self.cut.split(t) if self.cut else [t]) if t else [] for t in texts]
+        new = set(chain.from_iterable(parted)) - self.ids_a.keys()
+        if new:
+            self._learn(list(new))
+        out = []
+        for text, parts in zip(texts, parted):
+            ids_a = np.frombuffer(b"".join(map(self.ids_a.__getitem__, parts)), np.int32)
+            ids_b = np.frombuffer(b"".join(map(self.ids_b.__getitem__, parts)), np.int32)
+            if not self.odd.isdisjoint(parts):
+                want = (" " + text).encode("utf-8")
+                whole = all(b"".join(map(names.__getitem__, ids.tolist())) == want for names, ids in ((self.a_bytes, ids_a), (self.b_bytes, ids_b)))
+                if not whole:
+                    ids_a, ids_b = ids_a[:0], ids_b[:0]
+            out.append((ids_a, ids_b))
+        return out
+
+
+def aligned_sizes(a_ends: np.ndarray, b_ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Per group between common ends, in order, its number of A tokens and of B tokens.
     Both arrays are increasing and end at the same offset."""
-    na, nb = len(a_ends), len(b_ends)
-    groups: list[tuple[int, int, int, int]] = []
+    a, b = a_ends.tolist(), b_ends.tolist()
+    na, nb = len(a), len(b)
+    runs: list[int] = []  # one-to-one groups before each irregular one, then its sizes
+    wide_a: list[int] = []
+    wide_b: list[int] = []
     i = j = 0
     while i < na and j < nb:
-        shift, run, step = j - i, 0, 1
-        while True:  # exponential probe along the diagonal of the current shift
-            hi = min(i + run + step, na, nb - shift)
-            if hi <= i + run:
-                break
-            differ = np.flatnonzero(a_ends[i + run : hi] != b_ends[i + run + shift : hi + shift])
-            if len(differ):
-                run += int(differ[0])
-                break
-            run = hi - i
-            step *= 2
-        groups.extend((i + k, i + k + 1, j + k, j + k + 1) for k in range(run))
-        i, j = i + run, j + run
-        if i >= na or j >= nb:
-            break
+        i0, j0, step = i, j, 4
+        while i < na and a[i : i + step] == b[j : j + step]:  # exponential probe along the diagonal of the current shift
+            i, j, step = i + step, j + step, step * 2
+        if i >= na:
+            i, j = na, nb
+        while i < na and step > 1:  # the mismatch lies within the last probe: halve it
+            step //= 2
+            if a[i : i + step] == b[j : j + step]:
+                i, j = i + step, j + step
+        runs.append(i - i0)
         i0, j0 = i, j  # an irregular group: advance the side that ends first until the ends meet
-        while a_ends[i] != b_ends[j]:
-            if a_ends[i] < b_ends[j]:
-                i += 1
-            else:
-                j += 1
-        groups.append((i0, i + 1, j0, j + 1))
-        i, j = i + 1, j + 1
-    return groups
-
-
-def document(text: str | None, byte_bpe: str = BYTE_BPE, piece_bpe: str = PIECE_BPE, encoded=None) -> dict:
-    """n_a, n_b, n_groups, n_links, groups_sha256 and the linked id pairs with their multiplicity of one text."""
-    empty = {"n_a": 0, "n_b": 0, "n_groups": 0, "n_links": 0, "groups_sha256": "", "pairs": []}
-    if not text:
-        return empty
-    a, b, a_bytes, b_bytes, a_len, b_len = _tokenizers(byte_bpe, piece_bpe)
-    ids_a, ids_b = encoded if encoded is not None else (a.encode(" " + text, add_special_tokens=False).ids, b.encode(text))
-    want = (" " + text).encode("utf-8")
-    if b"".join(a_bytes[i] for i in ids_a) != want or b"".join(b_bytes[i] for i in ids_b) != want:
-        return empty
-    ids_a, ids_b = np.array(ids_a, np.int64), np.array(ids_b, np.int64)
-    groups = aligned_groups(np.cumsum(a_len[ids_a]), np.cumsum(b_len[ids_b]))
-    pairs: Counter = Counter()
-    parts, links = [], 0
-    for i0, i1, j0, j1 in groups:
-        ga, gb = ids_a[i0:i1].tolist(), ids_b[j0:j1].tolist()
-        parts.append(",".join(map(str, ga)) + "|" + ",".join(map(str, gb)))
-        links += len(ga) * len(gb)
-        if len(ga) == 1 and len(gb) == 1:
-            pairs[(ga[0], gb[0])] += 1
-        else:
-            ca, cb = Counter(ga), Counter(gb)
-            for x, nx in ca.items():
-                for y, ny in cb.items():
-                    pairs[(x, y)] += nx * ny
-    digest = hashlib.sha256(";".join(parts).encode("ascii")).hexdigest()
-    return {
-        "n_a": len(ids_a), "n_b": len(ids_b), "n_groups": len(groups), "n_links": links, "groups_sha256": digest,
-        "pairs": [{"a": x, "b": y, "m": m} for (x, y), m in pairs.items()],
-    }
-
-
-def _tokenized(batches: Iterator[pd.DataFrame], byte_bpe: str, piece_bpe: str) -> Iterator[pd.DataFrame]:
-    a, b, *_ = _tokenizers(byte_bpe, piece_bpe)
+        if i < na:
+            x, y = a[i], b[j]
+            while x != y:
+                if x < y:
+                    i += 1
+                    x = a[i]
+                else:
+                    j += 1
+                    y = b[j]
+            i, j = i + 1, j + 1
+        wide_a.append(i - i0)
+        wide_b.append(j - j0)
+    run, last_a, last_b = (np.array(x, np.int64) for x in (runs, wide_a, wide_b))
+    groups = run + (last_a > 0)
+    size_a = np.ones(int(groups.sum()), np.int64)
+    size_b = size_a.copy()
+    at = (np.cumsum(groups) - 1)[last_a > 0]
+    size_a[at], size_b[at] = last_a[last_a > 0], last_b[last_a > 0]
+    return size_a, size_b
+
+
+def aligned_groups(a_ends: np.ndarray, b_ends: np.ndarray) -> list[tuple[int, int, int, int]]:
+    """Groups (i0, i1, j0, j1): A tokens i0..i1-1 and B tokens j0..j1-1 between common ends.
+    Both arrays are increasing and end at the same offset."""
+    size_a, size_b = aligned_sizes(a_ends, b_ends)
+    i1, j1 = np.cumsum(size_a), np.cumsum(size_b)
+    return list(zip((i1 - size_a).tolist(), i1.tolist(), (j1 - size_b).tolist(), j1.tolist()))
+
+
+@lru_cache(maxsize=2)
+def _said(n_a: int, n_b: int) -> np.ndarray:
+    """What the digest holds for a token: A's ids within a group and at its end, then B's."""
+    said = [b"%d%s" % (i, after) for n, end in ((n_a, b"|"), (n_b, b";")) for after in (b",", end) for i in range(n)]
+    out = np.empty(len(said), object)
+    out[:] = said
+    return out
+
+
+def _links(ids_a, ids_b, size_a, size_b, i0, j0, doc, n_a: int, n_b: int) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct (doc, A id, B id) as one number each, ascending, with how often they are linked."""
+    key = doc * n_a
+    links = size_a * size_b
+    one, wide = links == 1, np.flatnonzero((links > 1) & (links <= WIDE_LINKS))
+    found = [(key[one] + ids_a[i0[one]]) * n_b + ids_b[j0[one]]]
+    n = links[wide]
+    group = np.repeat(wide, n)
+    place = np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n)
+    found.append((key[group] + ids_a[i0[group] + place // size_b[group]]) * n_b + ids_b[j0[group] + place % size_b[group]])
+    keys, times = np.unique(np.concatenate(found), return_counts=True)
+    more = []
+    for g in np.flatnonzero(links > WIDE_LINKS):  # distinct ids first: the product of the sizes may be large
+        x, nx = np.unique(ids_a[i0[g] : i0[g] + size_a[g]], return_counts=True)
+        y, ny = np.unique(ids_b[j0[g] : j0[g] + size_b[g]], return_counts=True)
+        more.append((((key[g] + x)[:, None] * n_b + y).ravel(), (nx[:, None] * ny).ravel()))
+    if more:
+        every, weight = np.concatenate([keys, *[k for k, _ in more]]), np.concatenate([times, *[m for _, m in more]])
+        keys, at = np.unique(every, return_inverse=True)
+        times = np.zeros(len(keys), np.int64)
+        np.add.at(times, at, weight)
+    return keys, times
+
+
+def _figures(texts: list[str], encoder: _Encoder) -> list[pa.Array]:
+    """n_a, n_b, n_groups, n_links, groups_sha256 and the linked id pairs with their multiplicity, per text.
+    The texts are aligned as one sequence: each ends at an offset common to both sides."""
+    a_len, b_len = encoder.a_len, encoder.b_len
+    found, n, va, vb = encoder(texts), len(texts), len(a_len), len(b_len)
+    count_a, count_b = (np.array([len(f[s]) for f in found], np.int64) for s in (0, 1))
+    ids_a, ids_b = (np.concatenate([f[s] for f in found] or [np.zeros(0, np.int32)]).astype(np.int64) for s in (0, 1))
+    size_a, size_b = aligned_sizes(np.cumsum(a_len[ids_a]), np.cumsum(b_len[ids_b]))
+    i1, j1 = np.cumsum(size_a), np.cumsum(size_b)
+    i0, j0 = i1 - size_a, j1 - size_b
+    doc = np.repeat(np.arange(n), count_a)[i0]
+    groups = np.bincount(doc, minlength=n)
+    through = np.concatenate([[0], np.cumsum(size_a * size_b)])
+    last = np.cumsum(groups)
+    links = through[last] - through[last - groups]
+
+    codes = np.empty(len(ids_a) + len(ids_b), np.int64)
+    ends = np.zeros(len(ids_a), np.int64)
+    ends[i1 - 1] = va
+    codes[np.arange(len(ids_a)) + np.repeat(j0, size_a)] = ids_a + ends
+    ends = np.zeros(len(ids_b), np.int64)
+    ends[j1 - 1] = vb
+    codes[np.arange(len(ids_b)) + np.repeat(i1, size_b)] = 2 * va + ids_b + ends
+    said, digests, start = _said(va, vb), [], 0
+    for tokens in (count_a + count_b).tolist():
+        part = b"".join(said[codes[start : start + tokens]].tolist())
+        digests.append(hashlib.sha256(memoryview(part)[:-1]).hexdigest() if tokens else "")
+        start += tokens
+
+    keys, times = _links(ids_a, ids_b, size_a, size_b, i0, j0, doc, va, vb)
+    offsets = np.searchsorted(keys, np.arange(n + 1) * (va * vb))
+    pair = pa.StructArray.from_arrays(
+        [pa.array((keys // vb % va).astype(np.int32)), pa.array((keys % vb).astype(np.int32)), pa.array(times.astype(np.int64))], ["a", "b", "m"]
+    )
+    pairs = pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pair)
+    return [*[pa.array(x.astype(np.int64)) for x in (count_a, count_b, groups, links)], pa.array(digests, pa.string()), pairs]
+
+
+def _tokenized(batches: Iterator[pa.RecordBatch], byte_bpe: str, piece_bpe: str) -> Iterator[pa.RecordBatch]:
+    encoder = _Encoder(byte_bpe, piece_bpe)
+    names = ["_row", "doc_id", "n_a", "n_b", "n_groups", "n_links", "groups_sha256", "pairs"]
     for batch in batches:
-        texts = [t if isinstance(t, str) else "" for t in batch.text]
-        live = [k for k, t in enumerate(texts) if t]
-        enc_a = a.encode_batch([" " + texts[k] for k in live], add_special_tokens=False) if live else []
-        enc_b = b.encode([texts[k] for k in live]) if live else []
-        found = {k: document(texts[k], byte_bpe, piece_bpe, (ea.ids, eb)) for k, ea, eb in zip(live, enc_a, enc_b)}
-        out = [found.get(k) or document(None) for k in range(len(texts))]
-        frame = pd.DataFrame(out)
-        frame.insert(0, "doc_id", batch.doc_id.to_numpy())
-        frame.insert(0, "_row", batch._row.to_numpy())
-        yield frame[["_row", "doc_id", "n_a", "n_b", "n_groups", "n_links", "groups_sha256", "pairs"]]
+        texts = [t or "" for t in batch.column("text").to_pylist()]
+        start = 0
+        while start < len(texts):
+            end, chars = start + 1, len(texts[start])
+            while end < len(texts) and chars + len(texts[end]) <= CHUNK_CHARS:
+                chars += len(texts[end])
+                end += 1
+            ids = [batch.column(c).slice(start, end - start) for c in ("_row", "doc_id")]
+            yield pa.RecordBatch.from_arrays([*ids, *_figures(texts[start:end], encoder)], names)
+            start = end
 
 
 def tokenized(docs: DataFrame, byte_bpe: str = BYTE_BPE, piece_bpe: str = PIECE_BPE) -> DataFrame:
     """Per row of docs: _row, doc_id, n_a, n_b, n_groups, n_links, groups_sha256, pairs (a, b, m), stored."""
     rows = docs.select(F.monotonically_increasing_id().alias("_row"), F.col("doc_id").cast("long"), F.col("text").cast("string"))
     with arrow_batches(docs.sparkSession, TEXT_ROWS):
-        return stored(rows.mapInPandas(lambda it: _tokenized(it, byte_bpe, piece_bpe), _TOKENIZED), "alignment")
+        return stored(rows.mapInArrow(lambda it: _tokenized(it, byte_bpe, piece_bpe), _TOKENIZED), "alignment")
 
 
-def aligned(docs: DataFrame, byte_bpe: str = BYTE_BPE, piece_bpe: str = PIECE_BPE) -> DataFrame:
+def aligned(docs: DataFrame, byte_bpe: str = BYTE_BPE, piece_bpe: str = PIECE_BPE, broadcast_pairs: int = BROADCAST_PAIRS) -> DataFrame:
     """doc_id, n_a, n_b, n_groups, n_links, n_best, count_sum, groups_sha256 for every row of docs."""
     found = tokenized(docs, byte_bpe, piece_bpe)
     links = found.select("_row", F.explode("pairs").alias("p")).select("_row", "p.a", "p.b", "p.m")
     counts = links.groupBy("a", "b").agg(F.count(F.lit(1)).alias("docs"))
-    best = counts.groupBy("a").agg(F.max("docs").alias("best"))
-    scored = links.join(counts, ["a", "b"]).join(best, "a")
+    best = F.max("docs").over(W.partitionBy("a"))
+    counts = stored(counts.select("a", "b", "docs", (F.col("docs") == best).alias("is_best")), "alignment-counts")
+    few = counts.count() <= broadcast_pairs
+    scored = links.join(F.broadcast(counts) if few else counts, ["a", "b"])
     sums = scored.groupBy("_row").agg(
-        F.sum(F.when(F.col("docs") == F.col("best"), F.col("m")).otherwise(0)).cast("long").alias("n_best"),
+        F.sum(F.when(F.col("is_best"), F.col("m")).otherwise(0)).cast("long").alias("n_best"),
         F.sum(F.col("m") * F.col("docs")).cast("long").alias("count_sum"),
     )
     out = found.drop("pairs").join(sums, "_row", "left")

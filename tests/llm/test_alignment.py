@@ -86,3 +86,27 @@ def test_table_equals_brute_force(spark):
 
 def test_empty_table(spark):
     assert alignment.aligned(spark.createDataFrame([], SCHEMA)).count() == 0
+
+
+TRICKY = [
+    "plain words here", "  a b", "a   b c", "x\n y", "tab\t t", "it's 'll 're", "1 000 3a", "a ", "é ñ ŉ ſ Ǆ ŀ", "ﬁ a b", "▁ a ▁b",
+    "\x1c a b", "é a ̈ b", "　 a b", "<0x41> </s> a", "", "word " * 300,
+]
+
+
+def test_parts_encoded_apart_equal_whole_texts():
+    a, b, a_bytes, b_bytes, *_ = alignment._tokenizers(alignment.BYTE_BPE, alignment.PIECE_BPE)
+    rng = np.random.default_rng(2)
+    bits = [" ", " ", "  ", "\n", "th", "A", "1", "'s", "é", "中", "́", "▁", "<", ".", "Ǆ"]
+    texts = TRICKY + ["".join(rng.choice(bits, size=int(rng.integers(1, 30)))) for _ in range(500)]
+    encoder = alignment._Encoder(alignment.BYTE_BPE, alignment.PIECE_BPE)
+    for text, (ids_a, ids_b) in zip(texts, encoder(texts)):
+        whole_a, whole_b, want = a.encode(" " + text, add_special_tokens=False).ids, b.encode(text), (" " + text).encode()
+        same = text and b"".join(a_bytes[i] for i in whole_a) == want and b"".join(b_bytes[i] for i in whole_b) == want
+        assert (ids_a.tolist(), ids_b.tolist()) == ((whole_a, whole_b) if same else ([], [])), text
+
+
+def test_shuffled_counts_equal_broadcast_counts(spark):
+    docs = spark.createDataFrame(EDGE, SCHEMA)
+    got = sorted((tuple(r) for r in alignment.aligned(docs, broadcast_pairs=0).collect()), key=str)
+    assert got == brute(EDGE)
