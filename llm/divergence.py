@@ -24,12 +24,12 @@ BROADCAST_BYTES; beyond that the recount is a join of terms with the vocabulary.
 from __future__ import annotations
 
 import io
-import re
 from collections import Counter
 from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -44,8 +44,8 @@ SCALE = 1_000_000_000
 TOP_TERMS = 50
 BROADCAST_BYTES = 64 << 20
 _FLUSH = 500_000
-_LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
-_PATTERN = re.compile(TERM)
+# per byte of a term's text: A-Z lower-cased, the bytes that TERM leaves out as spaces
+_BYTES = bytes(b + 32 if 65 <= b <= 90 else b if 97 <= b <= 122 or b >= 128 else 32 for b in range(256))
 
 
 class Transducer:
@@ -178,24 +178,57 @@ def prepared(docs: DataFrame) -> DataFrame:
     return docs.select(*[F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in ("lang", "source", "text")])
 
 
+def _words(text: bytes) -> list[bytes]:
+    """The text's terms in UTF-8: separators are ASCII, so that no byte of another character is one."""
+    return text.translate(_BYTES).split()
+
+
+def _document_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """lang, term, docs: in how many of the task's documents each term occurs, folded in the task."""
+    counts: dict[str, Counter] = {}
+    distinct = 0
+
+    def flush() -> Iterator[pa.RecordBatch]:
+        for lang, terms in counts.items():
+            term = pa.array(list(terms), pa.binary()).cast(pa.string())
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([lang] * len(terms), pa.string()), term, pa.array(list(terms.values()), pa.int64())], ["lang", "term", "docs"]
+            )
+        counts.clear()
+
+    for batch in batches:
+        for lang, text in zip(batch.column("lang").to_pylist(), batch.column("text").to_pylist()):
+            terms = counts.setdefault(lang, Counter())
+            before = len(terms)
+            terms.update(set(_words(text)))
+            distinct += len(terms) - before
+            if distinct > _FLUSH:
+                yield from flush()
+                distinct = 0
+    yield from flush()
+
+
 def kept_terms(docs: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
     """lang, term of the terms in at least min_docs documents of their language."""
-    per_doc = docs.select("lang", F.explode(F.array_distinct(_terms(F.col("text")))).alias("term"))
-    return per_doc.groupBy("lang", "term").agg(F.count(F.lit(1)).alias("docs")).filter(F.col("docs") >= min_docs).select("lang", "term")
+    per_task = docs.select("lang", F.col("text").cast("binary").alias("text")).mapInArrow(_document_counts, "lang string, term string, docs long")
+    return per_task.groupBy("lang", "term").agg(F.sum("docs").alias("docs")).filter(F.col("docs") >= min_docs).select("lang", "term")
 
 
-def _built(groups: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """One row with the transducer of the language, then its terms with their ordinals."""
-    for frame in groups:
+def _built(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """One row with the transducer of the language, then its terms with their ordinals. The language's terms
+    come in several batches; its transducer holds them all."""
+    lang, found = "", set()
+    for frame in batches:
         lang = frame.lang.iloc[0]
-        words = sorted({t.encode("utf-8") for t in frame.term})
-        fst = Transducer.build(words)
-        yield pd.DataFrame({"lang": [lang], "fst": [fst.to_bytes()], "n_terms": [len(words)], "ordinal": [None], "term": [None]})
-        for start in range(0, len(words), _FLUSH):
-            part = words[start : start + _FLUSH]
-            yield pd.DataFrame(
-                {"lang": lang, "fst": None, "n_terms": None, "ordinal": np.arange(start, start + len(part)), "term": [w.decode("utf-8") for w in part]}
-            )
+        found.update(t.encode("utf-8") for t in frame.term)
+    words = sorted(found)
+    fst = Transducer.build(words)
+    yield pd.DataFrame({"lang": [lang], "fst": [fst.to_bytes()], "n_terms": [len(words)], "ordinal": [None], "term": [None]})
+    for start in range(0, len(words), _FLUSH):
+        part = words[start : start + _FLUSH]
+        yield pd.DataFrame(
+            {"lang": lang, "fst": None, "n_terms": None, "ordinal": np.arange(start, start + len(part)), "term": [w.decode("utf-8") for w in part]}
+        )
 
 
 def transducers(vocabulary: DataFrame) -> DataFrame:
@@ -205,35 +238,42 @@ def transducers(vocabulary: DataFrame) -> DataFrame:
     return vocabulary.groupBy("lang").applyInPandas(_built, schema)
 
 
-def _streamed(batches: Iterator[pd.DataFrame], fsts: dict) -> Iterator[pd.DataFrame]:
-    """Occurrences of kept terms per (lang, source, ordinal), folded in the task."""
+def _streamed(batches: Iterator[pa.RecordBatch], fsts: dict) -> Iterator[pa.RecordBatch]:
+    """Occurrences of kept terms per (lang, source, ordinal), folded in the task: terms are counted as they
+    come, and each distinct one of a language passes the transducer once per fold."""
     loaded: dict[str, Transducer] = {}
-    memo: dict[tuple[str, str], int] = {}
-    counts: Counter = Counter()
-
-    def flush() -> pd.DataFrame:
-        keys = list(counts)
-        frame = pd.DataFrame({"lang": [k[0] for k in keys], "source": [k[1] for k in keys], "ordinal": [k[2] for k in keys], "n": list(counts.values())})
+    memo: dict[str, dict[bytes, int]] = {}
+    counts: dict[tuple[str, str], Counter] = {}
+    distinct = 0
+
+    def flush() -> Iterator[pa.RecordBatch]:
+        for (lang, source), terms in counts.items():
+            known = memo.setdefault(lang, {})
+            for term in terms.keys() - known.keys():
+                known[term] = loaded[lang].ordinal(term)
+            ordinals = np.fromiter(map(known.__getitem__, terms), np.int64, len(terms))
+            n = np.fromiter(terms.values(), np.int64, len(terms))
+            kept = np.flatnonzero(ordinals >= 0)
+            names = [pa.array([x] * len(kept), pa.string()) for x in (lang, source)]
+            yield pa.RecordBatch.from_arrays([*names, pa.array(ordinals[kept]), pa.array(n[kept])], ["lang", "source", "ordinal", "n"])
         counts.clear()
-        return frame
+        if sum(map(len, memo.values())) > 2 * _FLUSH:
+            memo.clear()
 
     for batch in batches:
-        for lang, source, text in zip(batch.lang, batch.source, batch.text):
+        for lang, source, text in zip(*(batch.column(c).to_pylist() for c in ("lang", "source", "text"))):
             if lang not in fsts or not text:
                 continue
-            fst = loaded.get(lang) or loaded.setdefault(lang, Transducer.from_bytes(fsts[lang].value))
-            for term, n in Counter(_PATTERN.findall(text.translate(_LOWER))).items():
-                ordinal = memo.get((lang, term))
-                if ordinal is None:
-                    ordinal = memo[(lang, term)] = fst.ordinal(term.encode("utf-8"))
-                if ordinal >= 0:
-                    counts[(lang, source, ordinal)] += n
-            if len(counts) > _FLUSH:
-                yield flush()
-            if len(memo) > 4 * _FLUSH:
-                memo.clear()
-    if counts:
-        yield flush()
+            if lang not in loaded:
+                loaded[lang] = Transducer.from_bytes(fsts[lang].value)
+            terms = counts.setdefault((lang, source), Counter())
+            before = len(terms)
+            terms.update(_words(text))
+            distinct += len(terms) - before
+            if distinct > _FLUSH:
+                yield from flush()
+                distinct = 0
+    yield from flush()
 
 
 def recounted(docs: DataFrame, ordinals: DataFrame, fsts: DataFrame, broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
@@ -243,7 +283,8 @@ def recounted(docs: DataFrame, ordinals: DataFrame, fsts: DataFrame, broadcast_b
     size = fsts.agg(F.coalesce(F.sum(F.length("fst")), F.lit(0))).first()[0]
     if size <= broadcast_bytes:
         shipped = {r.lang: spark.sparkContext.broadcast(bytes(r.fst)) for r in fsts.select("lang", "fst").collect()}
-        counts = docs.mapInPandas(lambda it: _streamed(it, shipped), "lang string, source string, ordinal long, n long")
+        texts = docs.select("lang", "source", F.col("text").cast("binary").alias("text"))
+        counts = texts.mapInArrow(lambda it: _streamed(it, shipped), "lang string, source string, ordinal long, n long")
     else:
         terms = docs.select("lang", "source", F.explode(_terms(F.col("text"))).alias("term"))
         counts = terms.join(ordinals, ["lang", "term"]).select("lang", "source", "ordinal", F.lit(1).cast("long").alias("n"))
@@ -267,24 +308,25 @@ def audited(docs: DataFrame, min_docs: int = MIN_DOCS, broadcast_bytes: int = BR
     groups = docs.select("lang", "source").distinct()
     sizes = fsts.select("lang", "v")
     group_totals = counts.groupBy("lang", "source").agg(F.sum("n").alias("total"))
-    grid = groups.join(sizes, "lang").join(group_totals, ["lang", "source"], "left")
-    grid = grid.select("lang", "source", "v", F.coalesce("total", F.lit(0)).alias("total"), F.explode(F.sequence(F.lit(0).cast("long"), F.col("v") - 1)).alias("ordinal"))
+    totals = groups.join(sizes, "lang").join(group_totals, ["lang", "source"], "left").withColumn("total", F.coalesce("total", F.lit(0)))
+    totals = totals.withColumn("lang_total", F.sum("total").over(W.partitionBy("lang")))
+    grid = totals.select("*", F.explode(F.sequence(F.lit(0).cast("long"), F.col("v") - 1)).alias("ordinal"))
     grid = grid.join(counts, ["lang", "source", "ordinal"], "left").withColumn("n", F.coalesce("n", F.lit(0).cast("long")))
-    grid = stored(grid.withColumn("p", _share(F.col("n"), F.col("total"), F.col("v"))), "divergence-grid")
+    # the language's count of a term is a sum over its groups' rows of the grid: no join of the two is needed
+    grid = grid.withColumn("lang_n", F.sum("n").over(W.partitionBy("lang", "ordinal")))
+    grid = stored(grid.withColumn("p", _share(F.col("n"), F.col("total"), F.col("v"))).drop("total"), "divergence-grid")
 
     other = grid.select("lang", "ordinal", F.col("source").alias("item"), F.col("p").alias("q"))
-    summed = grid.join(other, ["lang", "ordinal"]).filter(F.col("source") != F.col("item"))
+    summed = grid.select("lang", "ordinal", "source", "p").join(other, ["lang", "ordinal"]).filter(F.col("source") < F.col("item"))
     summed = summed.groupBy("lang", "source", "item").agg(F.sum(F.abs(F.col("p") - F.col("q"))).cast("long").alias("value"))
+    both = F.array(F.struct(F.col("source"), F.col("item")), F.struct(F.col("item").alias("source"), F.col("source").alias("item")))
+    summed = summed.select("lang", F.explode(both).alias("b"), "value").select("lang", "b.source", "b.item", "value")
     siblings = groups.join(groups.withColumnRenamed("source", "item"), "lang").filter(F.col("source") != F.col("item"))
     pairs = siblings.join(summed, ["lang", "source", "item"], "left").select("lang", "source", "item", F.coalesce("value", F.lit(0).cast("long")).alias("value"))
     by_item = W.partitionBy("lang", "source").orderBy(F.desc("value"), F.col("item").cast("binary"))
     pairs = pairs.select("lang", "source", F.lit("pair").alias("part"), "item", "value", F.row_number().over(by_item).cast("int").alias("rank"))
 
-    lang_totals = counts.groupBy("lang").agg(F.sum("n").alias("total"))
-    whole = sizes.join(lang_totals, "lang", "left").select("lang", "v", F.coalesce("total", F.lit(0)).alias("total"), F.explode(F.sequence(F.lit(0).cast("long"), F.col("v") - 1)).alias("ordinal"))
-    whole = whole.join(counts.groupBy("lang", "ordinal").agg(F.sum("n").alias("n")), ["lang", "ordinal"], "left")
-    whole = whole.select("lang", "ordinal", _share(F.coalesce("n", F.lit(0)), F.col("total"), F.col("v")).alias("q"))
-    over = grid.filter(F.col("n") > 0).join(whole, ["lang", "ordinal"]).filter(F.col("p") > F.col("q"))
+    over = grid.filter(F.col("n") > 0).withColumn("q", _share(F.col("lang_n"), F.col("lang_total"), F.col("v"))).filter(F.col("p") > F.col("q"))
     over = over.select("lang", "source", "ordinal", (F.col("p") - F.col("q")).alias("value"))
     by_term = W.partitionBy("lang", "source").orderBy(F.desc("value"), "ordinal")
     top = over.withColumn("rank", F.row_number().over(by_term)).filter(F.col("rank") <= TOP_TERMS)

@@ -80,3 +80,49 @@ def test_empty_table_and_language_without_terms(spark):
     rows = [(1, "a b", "xx", "s1", None), (2, None, "xx", "s2", None), (3, "...", None, None, None)]
     got = {tuple(r) for r in divergence.audited(spark.createDataFrame(rows, SCHEMA), min_docs=5).collect()}
     assert got == {("xx", "s1", "pair", "s2", 0, 1), ("xx", "s2", "pair", "s1", 0, 1)}
+
+
+def test_vocabulary_larger_than_a_batch_is_one_transducer(spark):
+    """A language's terms reach its task in batches of rows: all of them make one transducer."""
+    rows = fixture()
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "3")
+    try:
+        got = [tuple(r) for r in divergence.audited(spark.createDataFrame(rows, SCHEMA), min_docs=10).collect()]
+    finally:
+        spark.conf.set(name, before)
+    assert sorted(got) == sorted(brute(rows, 10))
+
+
+def test_words_of_bytes_are_the_terms():
+    import re
+
+    texts = ["Alpha, ÉPS\x85x\xa0Y zZ_a`b{c|d~e\x7ff@g[h^i", "İ ſ K 中文12 a\u2028b\u3000c", "", " 12 "]
+    for text in texts:
+        lowered = text.translate(str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"))
+        assert [w.decode() for w in divergence._words(text.encode())] == re.findall(divergence.TERM, lowered)
+
+
+def test_recount_folds_before_the_transducer(monkeypatch):
+    """A term of a language passes the transducer once per fold, whatever the number of documents."""
+    import pyarrow as pa
+
+    class Value:
+        value = Transducer.build([b"alpha", b"beta"]).to_bytes()
+
+    calls = []
+    ordinal = Transducer.ordinal
+    monkeypatch.setattr(Transducer, "ordinal", lambda self, word: calls.append(word) or ordinal(self, word))
+    texts = [x.encode() for x in ["Alpha alpha gamma", "BETA délta"]] * 25
+    rows = pa.RecordBatch.from_pydict({"lang": ["en"] * 50, "source": ["a", "b"] * 25, "text": texts})
+    found = divergence._streamed(iter([rows[:20], rows[20:]]), {"en": Value})
+    got = sorted(tuple(r.values()) for f in found for r in f.to_pylist())
+    assert got == [("en", "a", 0, 50), ("en", "b", 1, 25)]
+    assert sorted(calls) == sorted(["alpha".encode(), b"gamma", b"beta", "délta".encode()])
+
+
+def test_shares_join_only_the_counts_and_the_siblings(spark):
+    """The plan holds no join of the grid with the language's shares on p > q."""
+    plan = divergence.audited(spark.createDataFrame(fixture(), SCHEMA), min_docs=10)._jdf.queryExecution().optimizedPlan().toString()
+    assert not [line for line in plan.splitlines() if "Join" in line and "p#" in line and "> q#" in line]
