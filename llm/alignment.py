@@ -4,12 +4,14 @@ A text is encoded by a byte-level BPE (A, on space + text) and a sentencepiece B
 space itself). Byte offsets where an A token and a B token both end cut the two sequences into groups;
 every A token of a group is linked with every B token of it.
 
-The alignment walks the arrays of token ends with a current index shift (j - i). From a group boundary it
-probes exponentially longer stretches, comparing the A ends with the B ends at that shift in one vector
-operation, and jumps the whole stretch of one-to-one groups; at the first mismatch it resolves the
-irregular group locally (advancing whichever side ends first until the ends meet) and carries on with the
-new shift. Tokenizing and aligning run in tasks over Arrow batches; the counts of pairs over documents,
-each pair's best count per A id and the per-document sums are Spark aggregates and joins.
+The alignment walks the token ends with a current index shift (j - i). From a group boundary it probes
+exponentially longer stretches, comparing the A ends with the B ends at that shift, and jumps the whole
+stretch of one-to-one groups; at the first mismatch it resolves the irregular group locally (advancing
+whichever side ends first until the ends meet) and carries on with the new shift. Texts are cut where no
+token of either side crosses (a single space between visible characters; checked on the tokenizers), so that
+both sides have a common end there: new parts are encoded and aligned together as one long sequence, and
+parts met before are looked up. Tokenizing and aligning run in tasks over Arrow batches; the counts of pairs
+over documents, each pair's best count per A id and the per-document sums are Spark aggregates and joins.
 
 Defined cases: a null or empty text, or one whose joined A or B token bytes differ from space + text
 (sentencepiece may normalise, or emit <unk>), has no tokens: all figures 0 and groups_sha256 ''. Special
@@ -23,7 +25,6 @@ import hashlib
 import json
 import os
 import re
-from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 from itertools import chain
@@ -40,7 +41,7 @@ BYTE_BPE = "/opt/tokenizers/byte_bpe_50k.json"
 PIECE_BPE = "/opt/tokenizers/piece_bpe_32k.model"
 TEXT_ROWS = 200
 CHUNK_CHARS = 1 << 20
-MEMO_CHARS, MEMO_PARTS = 4 << 20, 150_000
+MEMO_CHARS, MEMO_PARTS = 4 << 20, 250_000
 JOINT_PARTS = 2000
 VISIBLE = "[!-~À-ɏ]"
 WIDE_LINKS = 4096
@@ -111,76 +112,90 @@ def _cut(byte_bpe: str, piece_bpe: str) -> re.Pattern | None:
     return re.compile(f"(?<={VISIBLE}) (?={VISIBLE})") if plain else None
 
 
-class _Encoder:
-    """Ids of the parts of texts. Parts met before are looked up, those of a whole chunk at least; the memory
-    is cleared after a chunk that leaves it above MEMO_CHARS characters or MEMO_PARTS parts."""
+class _Parts:
+    """Aligned parts of texts, each worked on once and then looked up by its number: what it adds to the digest,
+    its n_a, n_b, n_groups, n_links, and its distinct id pairs with their multiplicity. Forgotten together before
+    a chunk that finds more than MEMO_CHARS characters or MEMO_PARTS parts."""
 
     def __init__(self, byte_bpe: str, piece_bpe: str):
         self.a, self.b, self.a_bytes, self.b_bytes, self.a_len, self.b_len = _tokenizers(byte_bpe, piece_bpe)
         self.cut = _cut(byte_bpe, piece_bpe)
-        self.ids_a: dict[str, bytes] = {}
-        self.ids_b: dict[str, bytes] = {}
-        self.odd: set[str] = set()  # parts whose joined bytes differ from space + part on one side
+        self.forget()
+
+    def forget(self) -> None:
+        self.number: dict[str, int] = {}
+        self.said: list[bytes] = []
+        self.odd: dict[str, tuple[bytes, bytes]] = {}  # joined bytes of parts that differ from space + part
+        self.figures = np.zeros((4, 0), np.int64)
+        self.n_pairs = np.zeros(0, np.int64)
+        self.pairs = np.zeros((2, 0), np.int64)
         self.chars = 0
 
-    def _learn(self, parts: list[str]) -> None:
-        """Parts of visible ASCII and Latin characters are encoded as one text with single spaces, whose ids are cut at the parts."""
+    def learn(self, parts: list[str]) -> None:
+        """Parts of visible ASCII and Latin characters are encoded as one text with single spaces, cut afterwards."""
         joint = list(filter(re.compile(f"{VISIBLE}+").fullmatch, parts)) if self.cut else []
         for start in range(0, len(joint), JOINT_PARTS):
-            if not self._joint(joint[start : start + JOINT_PARTS]):
-                self._single(joint[start : start + JOINT_PARTS])
-        self._single(list(set(parts).difference(joint)))
-        self.chars += sum(map(len, parts))
-
-    def _joint(self, parts: list[str]) -> bool:
+            part = joint[start : start + JOINT_PARTS]
+            self._keep(part, *(self._joint(part) or self._single(part)))
+        rest = list(set(parts).difference(joint))
+        for start in range(0, len(rest), JOINT_PARTS):
+            part = rest[start : start + JOINT_PARTS]
+            self._keep(part, *self._single(part))
+
+    def _joint(self, parts: list[str]) -> list[np.ndarray] | None:
+        """Ids of A, their number per part, and the same of B; None if the joined bytes are not the text's."""
         text = " " + " ".join(parts)
         want = text.encode("utf-8")
-        ids_a = np.array(self.a.encode(text, add_special_tokens=False).ids, np.int32)
-        ids_b = np.array(self.b.encode(text[1:]), np.int32)
         ends = np.cumsum([len(p.encode("utf-8")) + 1 for p in parts])
-        for memo, ids, names, sizes in ((self.ids_a, ids_a, self.a_bytes, self.a_len), (self.ids_b, ids_b, self.b_bytes, self.b_len)):
+        found = []
+        found_a = self.a.encode_batch_fast([text], add_special_tokens=False)[0].ids
+        for ids, names, sizes in ((found_a, self.a_bytes, self.a_len), (self.b.encode(text[1:]), self.b_bytes, self.b_len)):
+            if b"".join(map(names.__getitem__, ids)) != want:
+                return None
+            ids = np.array(ids, np.int64)
             through = np.cumsum(sizes[ids])
             cuts = np.searchsorted(through, ends) + 1
-            if b"".join(map(names.__getitem__, ids.tolist())) != want or (through[cuts - 1] != ends).any():
-                return False
-            raw, cuts = ids.tobytes(), (4 * cuts).tolist()
-            memo.update(zip(parts, map(raw.__getitem__, map(slice, [0, *cuts], cuts))))
-        return True
-
-    def _single(self, parts: list[str]) -> None:
-        if not parts:
-            return
-        found_a = self.a.encode_batch_fast([" " + p for p in parts], add_special_tokens=False)
+            if (through[cuts - 1] != ends).any():
+                return None
+            found += [ids, np.diff(cuts, prepend=0)]
+        return found
+
+    def _single(self, parts: list[str]) -> list[np.ndarray]:
+        """The same for parts encoded one by one; odd ones are noted and have no ids."""
+        found_a = [e.ids for e in self.a.encode_batch_fast([" " + p for p in parts], add_special_tokens=False)]
         found_b = self.b.encode(parts, num_threads=1)
-        for part, ea, ids_b in zip(parts, found_a, found_b):
-            ids_a, want = ea.ids, (" " + part).encode("utf-8")
-            if b"".join(map(self.a_bytes.__getitem__, ids_a)) != want or b"".join(map(self.b_bytes.__getitem__, ids_b)) != want:
-                self.odd.add(part)
-            self.ids_a[part] = array("i", ids_a).tobytes()
-            self.ids_b[part] = array("i", ids_b).tobytes()
-
-    def __call__(self, texts: list[str]) -> list[tuple[np.ndarray, np.ndarray]]:
-        """Ids of A and of B per text; none where the joined bytes of either differ from space + text."""
-        if self.chars > MEMO_CHARS or len(self.ids_a) > MEMO_PARTS:
-            self.ids_a.clear()
-            self.ids_b.clear()
-            self.odd.clear()
-            self.chars = 0
+        for k, part in enumerate(parts):
+            want = (" " + part).encode("utf-8")
+            joined = b"".join(map(self.a_bytes.__getitem__, found_a[k])), b"".join(map(self.b_bytes.__getitem__, found_b[k]))
+            if joined != (want, want):
+                self.odd[part] = joined
+                found_a[k] = found_b[k] = []
+        return [x for f in (found_a, found_b) for x in (np.array(list(chain.from_iterable(f)), np.int64), np.array([len(i) for i in f], np.int64))]
+
+    def _keep(self, parts: list[str], ids_a: np.ndarray, count_a: np.ndarray, ids_b: np.ndarray, count_b: np.ndarray) -> None:
+        figures, said, n_pairs, pairs = _aligned(ids_a, count_a, ids_b, count_b, self.a_len, self.b_len)
+        self.number.update(zip(parts, range(len(self.said), len(self.said) + len(parts))))
+        self.said += said
+        self.figures = np.concatenate([self.figures, figures], axis=1)
+        self.n_pairs = np.concatenate([self.n_pairs, n_pairs])
+        self.pairs = np.concatenate([self.pairs, pairs], axis=1)
+        self.chars += sum(map(len, parts))
+
+    def of(self, texts: list[str]) -> list[list[str]]:
+        """The parts of each text, all of them learned; none where the joined bytes of either side differ from
+        space + text."""
+        if self.chars > MEMO_CHARS or len(self.number) > MEMO_PARTS:
+            self.forget()
         parted = [(self.cut.split(t) if self.cut else [t]) if t else [] for t in texts]
-        new = set(chain.from_iterable(parted)) - self.ids_a.keys()
-        if new:
-            self._learn(list(new))
-        out = []
-        for text, parts in zip(texts, parted):
-            ids_a = np.frombuffer(b"".join(map(self.ids_a.__getitem__, parts)), np.int32)
-            ids_b = np.frombuffer(b"".join(map(self.ids_b.__getitem__, parts)), np.int32)
-            if not self.odd.isdisjoint(parts):
-                want = (" " + text).encode("utf-8")
-                whole = all(b"".join(map(names.__getitem__, ids.tolist())) == want for names, ids in ((self.a_bytes, ids_a), (self.b_bytes, ids_b)))
-                if not whole:
-                    ids_a, ids_b = ids_a[:0], ids_b[:0]
-            out.append((ids_a, ids_b))
-        return out
+        self.learn(list(set(chain.from_iterable(parted)) - self.number.keys()))
+        if self.odd:
+            for k, (text, parts) in enumerate(zip(texts, parted)):
+                if not self.odd.keys().isdisjoint(parts):
+                    want = (" " + text).encode("utf-8")
+                    joined = [b"".join(self.odd[p][s] if p in self.odd else (" " + p).encode("utf-8") for p in parts) for s in (0, 1)]
+                    parted[k] = [text] if joined == [want, want] else []
+                    self.learn([t for t in parted[k] if t not in self.number])
+        return parted
 
 
 def aligned_sizes(a_ends: np.ndarray, b_ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -242,45 +257,48 @@ def _said(n_a: int, n_b: int) -> np.ndarray:
     return out
 
 
-def _links(ids_a, ids_b, size_a, size_b, i0, j0, doc, n_a: int, n_b: int) -> tuple[np.ndarray, np.ndarray]:
-    """The distinct (doc, A id, B id) as one number each, ascending, with how often they are linked."""
-    key = doc * n_a
+def _links(ids_a, ids_b, size_a, size_b, i0, j0, part, n_a: int, n_b: int) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct (part, A id, B id) as one number each, ascending, with how often they are linked."""
+    key = part * n_a
     links = size_a * size_b
     one, wide = links == 1, np.flatnonzero((links > 1) & (links <= WIDE_LINKS))
-    found = [(key[one] + ids_a[i0[one]]) * n_b + ids_b[j0[one]]]
     n = links[wide]
     group = np.repeat(wide, n)
     place = np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n)
-    found.append((key[group] + ids_a[i0[group] + place // size_b[group]]) * n_b + ids_b[j0[group] + place % size_b[group]])
-    keys, times = np.unique(np.concatenate(found), return_counts=True)
-    more = []
+    found = [
+        (key[one] + ids_a[i0[one]]) * n_b + ids_b[j0[one]],
+        (key[group] + ids_a[i0[group] + place // size_b[group]]) * n_b + ids_b[j0[group] + place % size_b[group]],
+    ]
+    times = [np.ones(len(f), np.int64) for f in found]
     for g in np.flatnonzero(links > WIDE_LINKS):  # distinct ids first: the product of the sizes may be large
         x, nx = np.unique(ids_a[i0[g] : i0[g] + size_a[g]], return_counts=True)
         y, ny = np.unique(ids_b[j0[g] : j0[g] + size_b[g]], return_counts=True)
-        more.append((((key[g] + x)[:, None] * n_b + y).ravel(), (nx[:, None] * ny).ravel()))
-    if more:
-        every, weight = np.concatenate([keys, *[k for k, _ in more]]), np.concatenate([times, *[m for _, m in more]])
-        keys, at = np.unique(every, return_inverse=True)
-        times = np.zeros(len(keys), np.int64)
-        np.add.at(times, at, weight)
-    return keys, times
-
-
-def _figures(texts: list[str], encoder: _Encoder) -> list[pa.Array]:
-    """n_a, n_b, n_groups, n_links, groups_sha256 and the linked id pairs with their multiplicity, per text.
-    The texts are aligned as one sequence: each ends at an offset common to both sides."""
-    a_len, b_len = encoder.a_len, encoder.b_len
-    found, n, va, vb = encoder(texts), len(texts), len(a_len), len(b_len)
-    count_a, count_b = (np.array([len(f[s]) for f in found], np.int64) for s in (0, 1))
-    ids_a, ids_b = (np.concatenate([f[s] for f in found] or [np.zeros(0, np.int32)]).astype(np.int64) for s in (0, 1))
+        found.append(((key[g] + x)[:, None] * n_b + y).ravel())
+        times.append((nx[:, None] * ny).ravel())
+    return _summed(np.concatenate(found), np.concatenate(times))
+
+
+def _summed(keys: np.ndarray, times: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct keys, ascending, and the sum of their times."""
+    order = np.argsort(keys)
+    keys = keys[order]
+    first = np.flatnonzero(np.diff(keys, prepend=-1))
+    return keys[first], np.add.reduceat(times[order], first) if len(first) else times[:0]
+
+
+def _aligned(ids_a, count_a, ids_b, count_b, a_len, b_len) -> tuple[np.ndarray, list[bytes], np.ndarray, np.ndarray]:
+    """Per part its n_a, n_b, n_groups, n_links; its digest text; its number of distinct pairs; and the pairs of
+    all, as A id * B's size + B id, with their multiplicity. The parts are aligned as one sequence: each ends at
+    an offset common to both sides."""
+    n, va, vb = len(count_a), len(a_len), len(b_len)
     size_a, size_b = aligned_sizes(np.cumsum(a_len[ids_a]), np.cumsum(b_len[ids_b]))
     i1, j1 = np.cumsum(size_a), np.cumsum(size_b)
     i0, j0 = i1 - size_a, j1 - size_b
-    doc = np.repeat(np.arange(n), count_a)[i0]
-    groups = np.bincount(doc, minlength=n)
-    through = np.concatenate([[0], np.cumsum(size_a * size_b)])
+    part = np.repeat(np.arange(n), count_a)[i0]
+    groups = np.bincount(part, minlength=n)
     last = np.cumsum(groups)
-    links = through[last] - through[last - groups]
+    through = np.concatenate([[0], np.cumsum(size_a * size_b)])
+    figures = np.stack([count_a, count_b, groups, through[last] - through[last - groups]])
 
     codes = np.empty(len(ids_a) + len(ids_b), np.int64)
     ends = np.zeros(len(ids_a), np.int64)
@@ -289,23 +307,43 @@ def _figures(texts: list[str], encoder: _Encoder) -> list[pa.Array]:
     ends = np.zeros(len(ids_b), np.int64)
     ends[j1 - 1] = vb
     codes[np.arange(len(ids_b)) + np.repeat(i1, size_b)] = 2 * va + ids_b + ends
-    said, digests, start = _said(va, vb), [], 0
-    for tokens in (count_a + count_b).tolist():
-        part = b"".join(said[codes[start : start + tokens]].tolist())
-        digests.append(hashlib.sha256(memoryview(part)[:-1]).hexdigest() if tokens else "")
-        start += tokens
-
-    keys, times = _links(ids_a, ids_b, size_a, size_b, i0, j0, doc, va, vb)
-    offsets = np.searchsorted(keys, np.arange(n + 1) * (va * vb))
+    names, at = _said(va, vb)[codes].tolist(), np.cumsum(count_a + count_b)
+    said = [b"".join(names[x:y]) for x, y in zip((at - count_a - count_b).tolist(), at.tolist())]
+
+    keys, times = _links(ids_a, ids_b, size_a, size_b, i0, j0, part, va, vb)
+    n_pairs = np.diff(np.searchsorted(keys, np.arange(n + 1) * (va * vb)))
+    return figures, said, n_pairs, np.stack([keys % (va * vb), times])
+
+
+def _figures(texts: list[str], memo: _Parts) -> list[pa.Array]:
+    """n_a, n_b, n_groups, n_links, groups_sha256 and the linked id pairs with their multiplicity, per text:
+    the sums over its parts."""
+    parted, n, vb = memo.of(texts), len(texts), len(memo.b_len)
+    both = len(memo.a_len) * vb
+    count = np.array([len(p) for p in parted], np.int64)
+    numbers = np.array(list(map(memo.number.__getitem__, chain.from_iterable(parted))), np.int64)
+    last = np.cumsum(count)
+    through = np.zeros((4, len(numbers) + 1), np.int64)
+    np.cumsum(memo.figures[:, numbers], axis=1, out=through[:, 1:])
+    sums = through[:, last] - through[:, last - count]
+    each, digests = list(map(memo.said.__getitem__, numbers.tolist())), []
+    for x, y in zip((last - count).tolist(), last.tolist()):
+        digests.append(hashlib.sha256(memoryview(b"".join(each[x:y]))[:-1]).hexdigest() if y > x else "")
+
+    n_pairs = memo.n_pairs[numbers]
+    at = np.repeat((np.cumsum(memo.n_pairs) - memo.n_pairs)[numbers] - (np.cumsum(n_pairs) - n_pairs), n_pairs) + np.arange(int(n_pairs.sum()))
+    text = np.repeat(np.repeat(np.arange(n), count), n_pairs)
+    keys, times = _summed(memo.pairs[0, at] + text * both, memo.pairs[1, at])
+    offsets = np.searchsorted(keys, np.arange(n + 1) * both)
     pair = pa.StructArray.from_arrays(
-        [pa.array((keys // vb % va).astype(np.int32)), pa.array((keys % vb).astype(np.int32)), pa.array(times.astype(np.int64))], ["a", "b", "m"]
+        [pa.array((keys % both // vb).astype(np.int32)), pa.array((keys % vb).astype(np.int32)), pa.array(times)], ["a", "b", "m"]
     )
     pairs = pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pair)
-    return [*[pa.array(x.astype(np.int64)) for x in (count_a, count_b, groups, links)], pa.array(digests, pa.string()), pairs]
+    return [*[pa.array(x) for x in sums], pa.array(digests, pa.string()), pairs]
 
 
 def _tokenized(batches: Iterator[pa.RecordBatch], byte_bpe: str, piece_bpe: str) -> Iterator[pa.RecordBatch]:
-    encoder = _Encoder(byte_bpe, piece_bpe)
+    memo = _Parts(byte_bpe, piece_bpe)
     names = ["_row", "doc_id", "n_a", "n_b", "n_groups", "n_links", "groups_sha256", "pairs"]
     for batch in batches:
         texts = [t or "" for t in batch.column("text").to_pylist()]
@@ -316,7 +354,7 @@ def _tokenized(batches: Iterator[pa.RecordBatch], byte_bpe: str, piece_bpe: str)
                 chars += len(texts[end])
                 end += 1
             ids = [batch.column(c).slice(start, end - start) for c in ("_row", "doc_id")]
-            yield pa.RecordBatch.from_arrays([*ids, *_figures(texts[start:end], encoder)], names)
+            yield pa.RecordBatch.from_arrays([*ids, *_figures(texts[start:end], memo)], names)
             start = end
 
 

@@ -99,11 +99,19 @@ def test_parts_encoded_apart_equal_whole_texts():
     rng = np.random.default_rng(2)
     bits = [" ", " ", "  ", "\n", "th", "A", "1", "'s", "é", "中", "́", "▁", "<", ".", "Ǆ"]
     texts = TRICKY + ["".join(rng.choice(bits, size=int(rng.integers(1, 30)))) for _ in range(500)]
-    encoder = alignment._Encoder(alignment.BYTE_BPE, alignment.PIECE_BPE)
-    for text, (ids_a, ids_b) in zip(texts, encoder(texts)):
-        whole_a, whole_b, want = a.encode(" " + text, add_special_tokens=False).ids, b.encode(text), (" " + text).encode()
-        same = text and b"".join(a_bytes[i] for i in whole_a) == want and b"".join(b_bytes[i] for i in whole_b) == want
-        assert (ids_a.tolist(), ids_b.tolist()) == ((whole_a, whole_b) if same else ([], [])), text
+    memo = alignment._Parts(alignment.BYTE_BPE, alignment.PIECE_BPE)
+    for _ in range(2):  # learned, then looked up
+        n_a, n_b, n_groups, _, digests, _ = (x.to_pylist() for x in alignment._figures(texts, memo))
+        for k, text in enumerate(texts):
+            whole_a, whole_b, want = a.encode(" " + text, add_special_tokens=False).ids, b.encode(text), (" " + text).encode()
+            if not text or b"".join(a_bytes[i] for i in whole_a) != want or b"".join(b_bytes[i] for i in whole_b) != want:
+                assert (n_a[k], n_b[k], n_groups[k], digests[k]) == (0, 0, 0, ""), text
+                continue
+            ends = [list(np.cumsum([len(names[i]) for i in ids])) for names, ids in ((a_bytes, whole_a), (b_bytes, whole_b))]
+            groups = brute_groups(*ends)
+            said = ";".join(",".join(map(str, whole_a[i:p])) + "|" + ",".join(map(str, whole_b[j:q])) for i, p, j, q in groups)
+            assert (n_a[k], n_b[k], n_groups[k]) == (len(whole_a), len(whole_b), len(groups)), text
+            assert digests[k] == hashlib.sha256(said.encode()).hexdigest(), text
 
 
 def test_shuffled_counts_equal_broadcast_counts(spark):
