@@ -100,6 +100,18 @@ def available_counts(
     )
 
 
+def split_calls(dated: DataFrame, splits: Splits, measures: Sequence[str]) -> DataFrame:
+    """Folded calls once per split of their member; those on another day than the lead's carry no lead."""
+    n = len(splits.names)
+    on_day = [either(F.col("attempt_date") == F.col(f"index_{i}")) for i in range(n)]
+    entries = splits.entries([F.col(f"in_{i}") for i in range(n)], right_day=on_day)
+    return (
+        dated.select("file_date", "leadid", *measures, F.explode(entries).alias("s"))
+        .filter(F.col("s").isNotNull())
+        .select("file_date", F.when(F.col("s.right_day"), F.col("leadid")).alias("leadid"), *measures, "s.split", "s.right_day")
+    )
+
+
 def contact_counts(
     dispositions: DataFrame,
     members: DataFrame,
@@ -112,7 +124,9 @@ def contact_counts(
     Attempts need the call to fall on the lead's contact date; reached and outcome
     counts take every row. A lead's first call decides whether a second one is allowed;
     of calls at the very same time a final one counts as first, as in ``first_disposition``,
-    which lets time of day and flag travel as one sortable long. Hot keys of both joins are
+    which lets time of day and flag travel as one sortable long. Only right-day calls are
+    kept apart by lead; all others meet in one group per split and date, without a lead,
+    inside the input tasks, since their outcome counts are sums over leads anyway. Hot keys of both joins are
     counted on the folded rows, whose shuffle is read again for it.
     """
     flags = status_flags()
@@ -147,15 +161,8 @@ def contact_counts(
         in_member, index_dates, ["leadid"], "left", counted=folded.select("leadid"), rows_per_slice=rows_per_slice
     )
 
-    n = len(splits.names)
-    on_day = [either(F.col("attempt_date") == F.col(f"index_{i}")) for i in range(n)]
-    entries = splits.entries([F.col(f"in_{i}") for i in range(n)], right_day=on_day)
     measures = ["calls", "first_call", *flags]
-    per_split = (
-        dated.select("file_date", "leadid", *measures, F.explode(entries).alias("s"))
-        .filter(F.col("s").isNotNull())
-        .select("file_date", "leadid", *measures, "s.split", "s.right_day")
-    )
+    per_split = split_calls(dated, splits, measures)
     per_lead = per_split.groupBy("split", "file_date", "leadid").agg(
         F.sum(F.when(F.col("right_day"), F.col("calls"))).alias("day_calls"),
         F.min(F.when(F.col("right_day"), F.col("first_call"))).alias("day_first"),

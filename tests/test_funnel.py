@@ -308,3 +308,18 @@ def test_status_flags(spark, rows):
         "file_date date, call_status_1 string, call_status_2 string, call_status_3 string",
     )
     assert rows(le.counts_by_file_date(df, fu.status_flags())) == [(D1, 2, 1, 0, 0)]
+
+
+def test_calls_on_another_day_meet_without_their_lead(spark):
+    """They only add to sums per split and date: kept apart by lead they would all be shuffled."""
+    splits = fu.Splits([("MAPD", "Stars")])
+    day, other = date(2026, 1, 1), date(2026, 1, 2)
+    rows = [(day, "L1", day, 1, True, True, day, day), (day, "L1", other, 2, True, True, day, other), (day, None, day, 4, False, True, None, None)]
+    dated = spark.createDataFrame(
+        rows, "file_date date, leadid string, attempt_date date, calls long, in_0 boolean, in_1 boolean, index_0 date, index_1 date"
+    )
+    got = {tuple(r) for r in fu.split_calls(dated, splits, ["calls"]).select("split", "leadid", "calls", "right_day").collect()}
+    assert got == {
+        ("MAPD:Stars", "L1", 1, True), ("MAPD:Stars", None, 2, False), ("ALL:All", "L1", 1, True),
+        ("ALL:All", "L1", 2, True), ("ALL:All", None, 4, False),
+    }
