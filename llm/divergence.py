@@ -1,6 +1,6 @@
 """Audit of how far each source's term distribution strays from its language's and its siblings'.
 
-Document frequencies are counted by Spark. The kept terms of each language (in at least MIN_DOCS of its
+Document frequencies are folded in every task and summed by Spark. The kept terms of each language (in at least MIN_DOCS of its
 documents), sorted by their UTF-8 bytes, become a minimal acyclic transducer: equal suffix states are
 shared, and the outputs along a path add up to the term's lexicographic ordinal. Texts are streamed
 through it to recount occurrences per (lang, source), folded in every task; the ordinals stand for the
