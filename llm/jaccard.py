@@ -4,15 +4,18 @@ Candidates come from partitioning the hashed universe. Sizes fall into bands, ea
 segments; a shingle's hash decides its segment. Two sets that link differ in at most H shingles, so of
 the segments in which a set has shingles, all but H must be the same in the other set. Each set
 therefore indexes H + 1 of its segment subsets in its own band and, where a larger partner may lie
-there, in the next. The allocation is by cost: the subsets with most shingles come first, since they
-are the rarest, and both sets of a pair rank a common subset alike. A set with shingles in too few
-segments (only tiny ones) also indexes half as many, larger segments with their one-deletion
-neighbourhoods: if each of H // 2 + 1 segments differed in two shingles, more than H would differ.
+there, in the next. The allocation is by cost: subsets of common shingles alone come last (a first pass
+over the texts finds the common ones), and of the others those with most shingles first, since they are
+the rarest; both sets of a pair rank a common subset alike. So a line that many texts share connects
+only texts that consist of little else. A set with shingles in too few segments (only tiny ones) also
+indexes half as many, larger segments with their one-deletion neighbourhoods: if each of H // 2 + 1
+segments differed in two shingles, more than H would differ.
 
 Sets that share an entry are candidates; only the connections are kept (a star for each entry, folded
-in every task first), never the pairs. Each connected group of candidates is then joined exactly, small
-groups together in one task, large ones as pairs of blocks of bounded size. Equal sets are one class
-throughout.
+in every task first), never the pairs. Entries and sets go to the stars as hashes of 40 bits: two that
+meet by chance only make a group of candidates larger. Each connected group of candidates is then
+joined exactly, small groups together in one task, large ones as pairs of blocks of bounded size. Only
+the texts of candidates are dealt out for that. Equal sets are one class throughout.
 """
 
 from __future__ import annotations
@@ -27,7 +30,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from llm.graph import components
-from llm.shared import arrow_batches, shared_path, stored
+from llm.shared import arrow_batches, marked, shared_path, stored
 from llm.shingles import arrow_bytes, mixed, shingle_sets
 
 PERCENT = 80
@@ -35,12 +38,16 @@ BLOCK_SHINGLES = 1_000_000
 _FLUSH = 1_000_000
 _SLICE = 1_500_000
 TEXT_ROWS = 400
-_META, _ENTRY, _EDGE = 0, 1, 2
-_SIGNED = "kind int, doc_id long, text_key long, n long, f1 long, f2 long, part int, entries binary, nodes binary"
-_ARROW = pa.schema(
-    [("kind", pa.int32()), *[(c, pa.int64()) for c in ("doc_id", "text_key", "n", "f1", "f2")]]
-    + [("part", pa.int32()), ("entries", pa.binary()), ("nodes", pa.binary())]
-)
+#: Shingles counted at once, how often one occurs among them at least to be reported, and in all to be common; most common ones.
+_COUNTED, _OFTEN, _COMMON_SETS, _COMMON = 2_000_000, 3, 16, 1 << 18
+_META, _OFTEN_HERE = 0, 1
+_DESCRIBED = "kind int, doc_id long, text_key long, n long, f1 long, f2 long"
+_DESCRIBED_ARROW = pa.schema([("kind", pa.int32()), *[(c, pa.int64()) for c in ("doc_id", "text_key", "n", "f1", "f2")]])
+#: A task's entries for one part with their nodes, or (a, b) edges among its own sets.
+_SIGNED = "part int, entries binary, nodes binary, a binary, b binary"
+_SIGNED_ARROW = pa.schema([("part", pa.int32()), *[(c, pa.binary()) for c in ("entries", "nodes", "a", "b")]])
+_BYTES = 5
+_NODE = (1 << 8 * _BYTES) - 1
 
 
 def _bands(limit: int) -> np.ndarray:
@@ -70,11 +77,22 @@ def _deletions(values: np.ndarray, high: int, band: int, percent: int) -> np.nda
     return np.concatenate(out)
 
 
-def index_entries(values: np.ndarray, offsets: np.ndarray, percent: int = PERCENT) -> tuple[np.ndarray, np.ndarray]:
-    """Entries of the sets (entry, number of the set)."""
+def _classes(values: np.ndarray, common: tuple[np.ndarray, np.ndarray] | None) -> np.ndarray:
+    """How common each shingle is: 0 unless it is among common (sorted shingles, their classes)."""
+    if common is None or not len(common[0]):
+        return np.zeros(len(values), np.uint8)
+    at = np.minimum(np.searchsorted(common[0], values), len(common[0]) - 1)
+    return np.where(common[0][at] == values, common[1][at], 0).astype(np.uint8)
+
+
+def index_entries(
+    values: np.ndarray, offsets: np.ndarray, percent: int = PERCENT, common: tuple[np.ndarray, np.ndarray] | None = None
+) -> tuple[np.ndarray, np.ndarray]:
+    """Entries of the sets (entry, number of the set); a subset is as common as its least common shingle."""
     n = np.diff(offsets)
     if not len(values):
         return np.empty(0, np.uint64), np.empty(0, np.int64)
+    classes = _classes(values, common)
     low = _bands(int(n.max()))
     own_band = np.searchsorted(low, n, "right") - 1
     entries, owners = [], []
@@ -99,8 +117,9 @@ def index_entries(values: np.ndarray, offsets: np.ndarray, percent: int = PERCEN
         owner = own[begin]
         place = segment[begin] + band[owner].astype(np.uint64) * np.uint64(0x100000001)
         entry = mixed(subset + mixed(place, 4), 6)
-        # the most shingles first: 255 - held in the leading byte
-        entry = (np.uint64(255) - np.minimum(held, 255).astype(np.uint64) << np.uint64(56)) | (entry >> np.uint64(8))
+        # the least common first, then the most shingles: class and 255 - held in the leading bytes
+        turn = np.minimum.reduceat(classes[at], begin).astype(np.uint64) << np.uint64(8) | np.uint64(255) - np.minimum(held, 255).astype(np.uint64)
+        entry = turn << np.uint64(48) | entry >> np.uint64(16)
         filled = np.bincount(owner, minlength=len(use))
         first = np.concatenate([[0], np.cumsum(filled)])
         for i in np.flatnonzero(filled > 1):
@@ -148,59 +167,121 @@ def _forest(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return names[moved], names[root[moved]]
 
 
-def _batch(kind: int, rows: int, **columns) -> pa.RecordBatch:
-    arrays = [pa.array(np.full(rows, kind, np.int32)) if f.name == "kind" else columns.get(f.name) for f in _ARROW]
-    arrays = [pa.nulls(rows, f.type) if a is None else a if isinstance(a, pa.Array) else pa.array(a, f.type) for a, f in zip(arrays, _ARROW)]
-    return pa.RecordBatch.from_arrays(arrays, schema=_ARROW)
+def _batch(schema: pa.Schema, rows: int, **columns) -> pa.RecordBatch:
+    arrays = [columns.get(f.name) for f in schema]
+    arrays = [pa.nulls(rows, f.type) if a is None else a if isinstance(a, pa.Array) else pa.array(a, f.type) for a, f in zip(arrays, schema)]
+    return pa.RecordBatch.from_arrays(arrays, schema=schema)
+
+
+def _packed(numbers: np.ndarray) -> bytes:
+    """The low 40 bits of each number."""
+    return numbers.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :_BYTES].tobytes()
+
 
+def _unpacked(data: bytes) -> np.ndarray:
+    out = np.zeros((len(data) // _BYTES, 8), np.uint8)
+    out[:, :_BYTES] = np.frombuffer(data, np.uint8).reshape(-1, _BYTES)
+    return out.view("<u8").reshape(-1)
 
-def _signer(parts: int, percent: int):
-    """Task: descriptions of the documents, then the folded entries dealt to parts, and local edges."""
+
+def _print(values: np.ndarray, offsets: np.ndarray, k: int) -> np.ndarray:
+    """The k-th fingerprint (0 or 1) of each set; 0 for an empty one."""
+    n = np.diff(offsets)
+    total, some = np.zeros(len(n), np.uint64), n > 0
+    if len(values):
+        total[some] = np.add.reduceat(mixed(values, 20 + k), offsets[:-1][some])
+    prints = mixed(total + n.astype(np.uint64), 22).view(np.int64)
+    prints[~some] = 0
+    return prints
+
+
+class _New:
+    """Tells sets that come for the first time since the last flush."""
+
+    def __init__(self) -> None:
+        self.seen: set[int] = set()
+
+    def among(self, prints: np.ndarray, n: np.ndarray) -> np.ndarray:
+        fresh = np.zeros(len(n), bool)
+        for i, f in enumerate(prints.tolist()):
+            if n[i] and f not in self.seen:
+                self.seen.add(f)
+                fresh[i] = True
+        return fresh
+
+
+def _describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Task: descriptions of the documents, and the shingles that occur in several sets among a few thousand."""
+
+    def often(held: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
+        shingle, count = np.unique(np.concatenate(held), return_counts=True)
+        use = count >= _OFTEN
+        if use.any():
+            rows = int(use.sum())
+            yield _batch(_DESCRIBED_ARROW, rows, kind=np.full(rows, _OFTEN_HERE, np.int32), n=count[use], f1=shingle[use].view(np.int64))
+
+    held, total, new = [], 0, _New()
+    for batch in _slices(batches):
+        values, offsets = shingle_sets(*arrow_bytes(batch.column("text")))
+        n = np.diff(offsets)
+        prints = [_print(values, offsets, k) for k in (0, 1)]
+        f1, f2 = (pa.array(p, pa.int64(), mask=n == 0) for p in prints)
+        kind = np.full(len(n), _META, np.int32)
+        yield _batch(_DESCRIBED_ARROW, len(n), kind=kind, doc_id=batch.column("doc_id"), text_key=batch.column("text_key"), n=n, f1=f1, f2=f2)
+        held.append(values[np.repeat(new.among(prints[0], n), n)])
+        total += len(held[-1])
+        if total > _COUNTED:
+            yield from often(held)
+            held, total, new = [], 0, _New()
+    if total:
+        yield from often(held)
+    held = []
+    pa.default_memory_pool().release_unused()
+
+
+def _common(described: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """The most common shingles, sorted, with their classes; they decide on ranks only, never on what is linked."""
+    counts = described.filter(F.col("kind") == _OFTEN_HERE).groupBy(F.col("f1").alias("shingle")).agg(F.sum("n").alias("n"))
+    found = counts.filter(F.col("n") >= _COMMON_SETS).orderBy(F.desc("n"), "shingle").limit(_COMMON).toArrow().combine_chunks()
+    shingle = found.column("shingle").to_numpy().view(np.uint64)
+    order = np.argsort(shingle)
+    return shingle[order], np.log2(found.column("n").to_numpy()[order]).astype(np.uint8)
+
+
+def _signer(parts: int, percent: int, common: tuple[np.ndarray, np.ndarray] | None):
+    """Task: the folded entries dealt to parts, and local edges."""
 
     def out(entries: list[np.ndarray], nodes: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
-        if not entries:
-            return
         entry, node, hub, other = _fold(np.concatenate(entries), np.concatenate(nodes))
-        part = (mixed(entry, 8) % np.uint64(parts)).astype(np.int32)
+        entry = mixed(entry, 8)
+        part = (entry % np.uint64(parts)).astype(np.int32)
         order = np.argsort(part, kind="stable")
         cuts = np.searchsorted(part[order], np.arange(parts + 1))
         full = np.flatnonzero(np.diff(cuts))
         slices = [order[cuts[p] : cuts[p + 1]] for p in full]
-        packed = {"entries": [entry[s].tobytes() for s in slices], "nodes": [node[s].tobytes() for s in slices]}
+        entry >>= np.uint64(64 - 8 * _BYTES)
         if len(full):
-            yield _batch(_ENTRY, len(full), part=full.astype(np.int32), **packed)
+            yield _batch(_SIGNED_ARROW, len(full), part=full.astype(np.int32), entries=[_packed(entry[s]) for s in slices], nodes=[_packed(node[s]) for s in slices])
         a, b = _forest(hub, other)
         if len(a):
-            yield _batch(_EDGE, len(a), f1=a, f2=b)
+            yield _batch(_SIGNED_ARROW, 1, part=[int(mixed(a[:1].astype(np.uint64))[0] % np.uint64(parts))], a=[a.tobytes()], b=[b.tobytes()])
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        entries, nodes, held, seen = [], [], 0, set()
+        entries, nodes, held, new = [], [], 0, _New()
         for batch in _slices(batches):
             values, offsets = shingle_sets(*arrow_bytes(batch.column("text")))
-            n = np.diff(offsets)
-            total = np.zeros((2, len(n)), np.uint64)
-            some = n > 0
-            if len(values):
-                for k in (0, 1):
-                    total[k][some] = np.add.reduceat(mixed(values, 20 + k), offsets[:-1][some])
-            prints = mixed(total + n.astype(np.uint64), 22).view(np.int64)
-            prints[:, ~some] = 0
-            f1, f2 = (pa.array(p, pa.int64(), mask=~some) for p in prints)
-            yield _batch(_META, len(n), doc_id=batch.column("doc_id"), text_key=batch.column("text_key"), n=n, f1=f1, f2=f2)
-            fresh = np.zeros(len(n), bool)
-            for i, f in enumerate(prints[0].tolist()):
-                if n[i] and f not in seen:
-                    seen.add(f)
-                    fresh[i] = True
-            entry, owner = index_entries(values, offsets, percent)
+            prints = _print(values, offsets, 0)
+            fresh = new.among(prints, np.diff(offsets))
+            entry, owner = index_entries(values, offsets, percent, common)
             use = fresh[owner]
             entries.append(entry[use])
-            nodes.append(prints[0][owner[use]])
+            nodes.append(prints[owner[use]] & _NODE)
             held += len(entries[-1])
             if held > _FLUSH:
                 yield from out(entries, nodes)
-                entries, nodes, held, seen = [], [], 0, set()
-        yield from out(entries, nodes)
+                entries, nodes, held, new = [], [], 0, _New()
+        if entries:
+            yield from out(entries, nodes)
         entries, nodes = [], []
         pa.default_memory_pool().release_unused()
 
@@ -220,10 +301,13 @@ def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _part_edges(table: pa.Table) -> pa.Table:
-    entries = np.concatenate([np.frombuffer(x, np.uint64) for x in table.column("entries").to_pylist()])
-    nodes = np.concatenate([np.frombuffer(x, np.int64) for x in table.column("nodes").to_pylist()])
-    _, _, hub, other = _fold(entries, nodes)
-    a, b = _forest(hub, other)
+    held = {c: [x for x in table.column(c).to_pylist() if x is not None] for c in ("entries", "nodes", "a", "b")}
+    entries, nodes = ([_unpacked(x) for x in held[c]] for c in ("entries", "nodes"))
+    a, b = ([np.frombuffer(x, np.int64) for x in held[c]] for c in ("a", "b"))
+    if entries:
+        _, _, hub, other = _fold(np.concatenate(entries), np.concatenate(nodes).view(np.int64))
+        a, b = [*a, hub], [*b, other]
+    a, b = _forest(np.concatenate(a), np.concatenate(b))
     return pa.table({"a": a, "b": b})
 
 
@@ -339,21 +423,24 @@ def near_duplicates(
     parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 2 * docs.rdd.getNumPartitions())
     path = shared_path(spark, "jaccard")
     with arrow_batches(spark, TEXT_ROWS):
-        rows.mapInArrow(_signer(parts, percent), _SIGNED).write.partitionBy("kind").parquet(path)
-    signed = spark.read.schema(_SIGNED).parquet(path)
+        rows.mapInArrow(_describe, _DESCRIBED).write.partitionBy("kind").parquet(path)
+    described = spark.read.schema(_DESCRIBED).parquet(path)
 
-    dealt = signed.filter(F.col("kind") == _ENTRY).select("part", "entries", "nodes")
-    edges = dealt.groupBy("part").applyInArrow(_part_edges, "a long, b long")
-    local = signed.filter(F.col("kind") == _EDGE).select(F.col("f1").alias("a"), F.col("f2").alias("b"))
-    candidates = components(edges.union(local))
+    # entries take more room than the texts: they go straight to their parts and are not stored
+    signed = rows.select("text").mapInArrow(_signer(parts, percent, _common(described)), _SIGNED)
+    edges = signed.groupBy("part").applyInArrow(_part_edges, "a long, b long")
+    with arrow_batches(spark, TEXT_ROWS):
+        candidates = components(edges)
 
-    meta = signed.filter(F.col("kind") == _META).select("doc_id", "text_key", "n", "f1", "f2")
+    meta = described.filter(F.col("kind") == _META).drop("kind")
     first = F.min(F.when(F.col("doc_id").isNotNull(), F.struct("doc_id", "text_key"))).alias("first")
     classes = meta.filter("n > 0").groupBy("f1", "f2").agg(first, F.max("n").alias("n"))
     classes = stored(classes.select("f1", "f2", "n", "first.*"), "classes")
-    members = classes.filter("doc_id IS NOT NULL").join(candidates, F.col("f1") == F.col("node"))
+    members = classes.filter("doc_id IS NOT NULL").join(candidates, F.col("f1").bitwiseAND(F.lit(_NODE)) == F.col("node"))
     members = stored(_grouped(members.select("root", "n", "doc_id", "text_key"), block_shingles), "members")
-    texts = rows.hint("merge").join(members, ["doc_id", "text_key"])  # the same plan at every size
+    keys = ["doc_id", "text_key"]
+    texts = marked(rows, members, keys, "candidate").filter("candidate").drop("candidate")
+    texts = texts.hint("merge").join(members, keys)  # the same plan at every size
     links = texts.groupBy("grp", "low", "high").applyInArrow(_group_links(percent), "a long, b long")
     with arrow_batches(spark, TEXT_ROWS):
         links = stored(links, "links")

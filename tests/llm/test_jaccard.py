@@ -1,10 +1,11 @@
 import random
 import re
+from pathlib import Path
 
 import numpy as np
 import pytest
 
-from llm import graph, jaccard
+from llm import graph, jaccard, shared
 from llm.shingles import shingle_sets
 
 LOWER = {i: i + 32 for i in range(65, 91)}
@@ -134,3 +135,61 @@ def test_one_of_each_keeps_rows_without_id_and_repeated_ids(docs):
     got = [(r.doc_id, r.text) for r in jaccard.one_of_each(docs(pairs)).collect()]
     assert len(got) == 8 and set(got) - {(None, c), (None, c + " more")} == {(1, a), (2, b), (None, None), (None, ""), (7, ""), (8, None), (9, "x y z")}
     assert len({(None, c), (None, c + " more")} & set(got)) == 1
+
+
+def written(spark):
+    """Bytes of all files in the shared folder."""
+    return sum(p.stat().st_size for p in Path(shared.shared_folder(spark).removeprefix("file:")).rglob("*") if p.is_file())
+
+
+def unrelated(n, words, prefix=""):
+    rng = random.Random(n)
+    return [(i, prefix + " ".join(str(rng.randrange(10**6)) for _ in range(words))) for i in range(n)]
+
+
+def test_entries_are_not_stored(spark, docs):
+    pairs = unrelated(200, 600)
+    shared.shared_folder(spark)
+    before = written(spark)
+    assert jaccard.near_duplicates(docs(pairs)).count() == 200
+    assert written(spark) - before < sum(len(t) for _, t in pairs) / 4
+
+
+def test_a_passage_of_many_texts_connects_none_of_them(docs, monkeypatch):
+    groups, grouped = [], jaccard._grouped
+
+    def watched(members, block_shingles):
+        groups.append(members.count())
+        return grouped(members, block_shingles)
+
+    monkeypatch.setattr(jaccard, "_grouped", watched)
+    pairs = unrelated(200, 50, "one line of boilerplate that very many of these long texts begin with ")
+    pairs.append((900, pairs[7][1] + " tail"))
+    found = {r.doc_id: r.component_id for r in jaccard.near_duplicates(docs(pairs)).collect()}
+    assert found == {i: i for i in range(200)} | {900: 7}
+    assert groups[0] < 20
+
+
+def test_every_linked_pair_shares_an_entry_whatever_is_common():
+    rng = np.random.default_rng(6)
+    for n in [*range(2, 60, 3), 173, 250]:
+        for _ in range(15):
+            a = np.unique(rng.integers(0, 2**63, n, dtype=np.uint64) * np.uint64(2))
+            both = rng.permutation(a)[rng.integers(0, len(a) // 5 + 1) :]
+            b = np.unique(np.concatenate([both, rng.integers(0, 2**63, max(0, 100 * len(both) // 80 - len(a)), dtype=np.uint64)]))
+            if 180 * len(both) < 80 * (len(a) + len(b)):
+                continue
+            common = np.sort(rng.permutation(np.union1d(a, b))[: rng.integers(0, n + 1)])
+            common = common, rng.integers(1, 20, len(common)).astype(np.uint8)
+            values, offsets = np.concatenate([a, b]), np.array([0, len(a), len(a) + len(b)])
+            entry, owner = jaccard.index_entries(values, offsets, common=common)
+            assert set(entry[owner == 0]) & set(entry[owner == 1]), (len(a), len(b), len(both))
+
+
+def test_marked_rows_are_all_that_match_and_few_others(spark):
+    rows = spark.createDataFrame([(i, None if i % 3 else i) for i in range(2000)] + [(None, None)], "a long, b long")
+    keys = spark.createDataFrame([(i, None if i % 3 else i) for i in range(0, 2000, 50)] + [(None, None)], "a long, b long")
+    found = shared.marked(rows, keys, ["a", "b"], "hit").filter("hit").collect()
+    assert {r.a for r in found} >= {None, *range(0, 2000, 50)} and len(found) < 60
+    none = shared.marked(rows, keys.limit(0), ["a", "b"], "hit")
+    assert none.columns == ["a", "b", "hit"] and none.filter("NOT hit").count() == 2001
