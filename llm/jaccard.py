@@ -462,15 +462,23 @@ def one_of_each(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", per
     own, key = F.col(f"`{doc_id}`").cast("long"), F.xxhash64(F.col(f"`{text}`"))
     found = near_duplicates(docs.select(key.alias("key"), F.col(f"`{text}`").alias("text")), "key", "text", percent)
     found = found.groupBy(F.col("doc_id").alias("key")).agg(F.max("n_shingles").alias("n"), F.min("component_id").alias("component"))
-    lone = F.col("n") == 0
+    known = docs.select(own.alias("id"), key.alias("key")).join(found, "key")
+    known = stored(known.select("id", "key", "component", (F.col("n") == 0).alias("lone")), "known")
+    lone = F.col("lone")
     least = F.min(F.struct(F.col("id").isNull().alias("none"), "id", "key")).alias("least")
-    kept = docs.select(own.alias("id"), key.alias("key")).join(found, "key")
-    kept = kept.groupBy(F.when(~lone, F.col("component")), F.when(lone, F.col("key")), F.when(lone, F.col("id")), lone.alias("lone")).agg(least)
+    kept = known.groupBy(F.when(~lone, F.col("component")), F.when(lone, F.col("key")), F.when(lone, F.col("id")), "lone").agg(least)
     kept = kept.select("lone", F.col("least.key").alias("_key"), F.coalesce("least.id", F.lit(0)).alias("_id"), F.col("least.none").alias("_none"))
+    # a row alone in its component, or without shingles, stays where it is: only the others are dealt out
+    linked = known.filter(~lone)
+    several = stored(linked.groupBy("component").agg(F.count(F.lit(1)).alias("rows")).filter("rows > 1").select("component"), "several")
+    involved = marked(linked, several, ["component"], "_several").filter("_several")
+    involved = stored(involved.select(F.col("key").alias("_key")).distinct(), "involved")
     rows = docs.select(
         F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"),
         key.alias("_key"), F.coalesce(own, F.lit(0)).alias("_id"), own.isNull().alias("_none"),
     )
+    rows = marked(rows, involved, ["_key"], "_involved")
     turn = F.row_number().over(W.partitionBy("_key", "_id", "_none").orderBy(F.lit(0)))
-    rows = rows.hint("merge").join(kept, ["_key", "_id", "_none"])
-    return rows.withColumn("turn", turn).filter("lone OR turn = 1").select("_row.*")
+    dealt = rows.filter("_involved").hint("merge").join(kept, ["_key", "_id", "_none"])
+    dealt = dealt.withColumn("turn", turn).filter("lone OR turn = 1")
+    return rows.filter("NOT _involved").select("_row.*").unionByName(dealt.select("_row.*"))

@@ -155,6 +155,21 @@ def test_entries_are_not_stored(spark, docs):
     assert written(spark) - before < sum(len(t) for _, t in pairs) / 4
 
 
+def test_only_texts_of_candidates_are_dealt_out(docs, monkeypatch):
+    seen, marked = [], jaccard.marked
+
+    def watched(rows, keys, columns, name):
+        out = marked(rows, keys, columns, name)
+        seen.append((keys.count(), out.count(), out.filter(f"`{name}`").count()))
+        return out
+
+    monkeypatch.setattr(jaccard, "marked", watched)
+    pairs = unrelated(300, 60)
+    pairs += [(1000 + i, pairs[i][1] + " tail") for i in range(5)]
+    assert sorted(r.doc_id for r in jaccard.one_of_each(docs(pairs)).collect()) == list(range(300))
+    assert [s[:2] for s in seen] == [(10, 305), (5, 305), (10, 305)] and all(least <= s <= 40 for least, (*_, s) in zip((10, 10, 10), seen))
+
+
 def test_a_passage_of_many_texts_connects_none_of_them(docs, monkeypatch):
     groups, grouped = [], jaccard._grouped
 
